@@ -46,8 +46,13 @@ def plausible(amount: Column, low: int, high: int) -> Column:
 
 
 def canonical(value: Column, data_type: str) -> Column:
-    """One text form per value, so that results of different engines can be compared."""
+    """One text form per value, so that results of different engines can be compared.
+
+    Numbers lose trailing zeros. A double that ten decimals cannot hold keeps its own text form.
+    """
     if data_type.startswith("decimal") or data_type in ("double", "float"):
-        text = value.cast(PLAIN_NUMBER).cast("string")
-        return F.regexp_replace(text, r"\.?0+$", "")
+        exact = value.try_cast(PLAIN_NUMBER)
+        held = exact.cast("double") == value.cast("double")
+        plain = F.regexp_replace(exact.cast("string"), r"\.?0+$", "")
+        return F.when(held, F.when(exact == 0, "0").otherwise(plain)).otherwise(value.cast("string"))
     return value.cast("string")
