@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobtide.operators.ranking import same_keys, top_per_key
+from jobtide.operators.ranking import join_null_safe, top_per_key
 
 # Width of the coarse buckets in which a median is first located.
 MEDIAN_BUCKET = 100.0
@@ -54,10 +54,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str, bucket:
         .filter(F.col("__low") < F.col("__below") + F.col("__in_bucket"))
         .filter(F.col("__high") >= F.col("__below"))
     )
-    match = same_keys(counted, middle, [*keys, "__bucket"])
-    inside = counted.join(middle, match).select(
-        *[counted[k] for k in keys], counted["__bucket"], "__value", "__n", "__below", "__low", "__high"
-    )
+    inside = join_null_safe(counted, middle, [*keys, "__bucket"])
     upto = Window.partitionBy(*keys, "__bucket").orderBy("__value")
     last = F.col("__below") + F.sum("__n").over(upto) - 1
     placed = inside.withColumn("__last", last).withColumn("__first", F.col("__last") - F.col("__n") + 1)
@@ -69,12 +66,6 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str, bucket:
     return picked.select(*keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * 0.5).alias(name))
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys that may be null, keeping each key column once."""
-    joined = left.join(right, same_keys(left, right, keys), "left")
-    return joined.select(*[left[c] for c in left.columns], *[right[c] for c in right.columns if c not in keys])
-
-
 def joined_distinct(df: DataFrame, keys: list[str], value: str, separator: str, chars: int, name: str) -> DataFrame:
     """Sorted distinct values of each group joined by a separator and cut to `chars` characters.
 

@@ -16,15 +16,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobtide.session import require_checkpoint_dir
+from jobtide.session import local_frame, require_checkpoint_dir
 
 # monotonically_increasing_id keeps the partition number above bit 33.
 PARTITION_SHIFT = 33
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality on all keys."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """Equi-join on keys where null equals null. `small` says the right side has a known bound."""
+    theirs = {k: f"__their_{k}" for k in keys}
+    right = right.withColumnsRenamed(theirs)
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(t)) for k, t in theirs.items()])
+    return left.join(F.broadcast(right) if small else right, match, how).drop(*theirs.values())
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str | None = None) -> DataFrame:
@@ -44,7 +47,8 @@ def last_wins(df: DataFrame, keys: list[str], read_order: list[str]) -> DataFram
 
 
 def number_small_groups(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(name, number.cast("bigint"))
 
 
 def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str, hot_rows: int) -> DataFrame:
@@ -59,10 +63,9 @@ def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str,
     if not oversized:
         return number_small_groups(df, keys, order, name)
 
-    hot = spark.createDataFrame(oversized, df.select(*keys).schema)
-    is_hot = same_keys(df, hot, keys)
-    small = df.join(F.broadcast(hot), is_hot, "left_anti")
-    large = df.join(F.broadcast(hot), is_hot, "left_semi")
+    hot = local_frame(spark, oversized, df.select(*keys).schema)
+    small = join_null_safe(df, hot, keys, "left_anti", small=True)
+    large = join_null_safe(df, hot, keys, "left_semi", small=True)
     numbered = number_small_groups(small, keys, order, name)
     return numbered.unionByName(_number_by_range(large, keys, order, name))
 
@@ -88,7 +91,6 @@ def _number_by_range(df: DataFrame, keys: list[str], order: list[Column], name:
     stretches = stretches.withColumn(
         "__before", F.coalesce(F.sum("__length").over(earlier), F.lit(0))
     )
-    here = same_keys(placed, stretches, [*keys, "__part"])
-    columns = [placed[c] for c in df.columns]
-    number = placed["__at"] - stretches["__start"] + stretches["__before"] + 1
-    return placed.join(F.broadcast(stretches), here).select(*columns, number.cast("int").alias(name))
+    numbered = join_null_safe(placed, stretches, [*keys, "__part"], small=True)
+    number = F.col("__at") - F.col("__start") + F.col("__before") + 1
+    return numbered.select(*df.columns, number.alias(name))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as fixed
 from jobtide.functions.numbers import half_even_int, half_up_int, plausible, share
 from jobtide.functions.text import has_text
-from jobtide.operators.aggregates import by_group_and_all, count_where, exact_median, join_on_keys
+from jobtide.operators.aggregates import by_group_and_all, count_where, exact_median
 from jobtide.operators.dictionary import dictionary_match
+from jobtide.operators.ranking import join_null_safe
 from jobtide.params import Params
 
 SKILL = ["skill_key", "display_name", "category"]
@@ -55,8 +56,8 @@ def salary_by_skill(postings: DataFrame, mentioned: DataFrame, params: Params =
         )
         .filter(F.col("postings_with_salary") >= params.min_salaried)
     )
-    both = join_on_keys(sizes, exact_median(paid, SKILL, "salary_from", "mid_from"), SKILL)
-    both = join_on_keys(both, exact_median(paid, SKILL, "salary_to", "mid_to"), SKILL)
+    both = join_null_safe(sizes, exact_median(paid, SKILL, "salary_from", "mid_from"), SKILL, "left")
+    both = join_null_safe(both, exact_median(paid, SKILL, "salary_to", "mid_to"), SKILL, "left")
     return both.select(
         *SKILL,
         "postings_with_salary",
@@ -80,7 +81,7 @@ def city_stats(postings: DataFrame, params: Params = Params()) -> DataFrame:
         .filter(F.col("postings") >= params.min_city_postings)
     )
     paid = named.filter(plausible(F.col("salary_from"), params.salary_low, params.salary_high))
-    joined = join_on_keys(sizes, exact_median(paid, place, "salary_from", "mid"), place)
+    joined = join_null_safe(sizes, exact_median(paid, place, "salary_from", "mid"), place, "left")
     return joined.withColumn("median_salary_from", half_even_int(F.col("mid"))).drop("mid").orderBy(
         F.col("postings").desc(), "city", F.col("region").asc_nulls_last()
     )

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Runtime settings that fix result semantics or let AQE deal with skewed joins.
 RUNTIME_SETTINGS = {
@@ -48,3 +51,10 @@ def require_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="jobtide-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def local_frame(spark: SparkSession, rows: list, schema: str | T.StructType) -> DataFrame:
+    """A few rows as a local relation, whose size the planner knows."""
+    kind = schema if isinstance(schema, T.StructType) else T.DataType.fromDDL(schema)
+    named = [dict(zip(kind.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, schema=to_arrow_schema(kind)), schema=kind)

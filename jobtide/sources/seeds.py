@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide import fixed_values as fixed
+from jobtide.session import local_frame
 
 SKILL_COLUMNS = ["skill_key", "display_name", "category", "pattern"]
 ALIAS_COLUMNS = ["alias", "city", "note"]
@@ -15,11 +16,11 @@ def _text_schema(columns: list[str]) -> str:
 
 
 def skills(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.SKILLS, _text_schema(SKILL_COLUMNS))
+    return local_frame(spark, fixed.SKILLS, _text_schema(SKILL_COLUMNS))
 
 
 def city_aliases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.CITY_ALIASES, _text_schema(ALIAS_COLUMNS))
+    return local_frame(spark, fixed.CITY_ALIASES, _text_schema(ALIAS_COLUMNS))
 
 
 def read_seed(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
