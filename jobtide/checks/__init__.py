@@ -1,0 +1,14 @@
+"""Registered queries over the given tables, each with the SQL that has to give the same rows."""
+
+from jobtide.checks import pipeline
+from jobtide.checks.base import Query
+
+REGISTRIES = [pipeline.registry]
+
+
+def queries() -> dict[str, Query]:
+    return {name: query for r in REGISTRIES for name, query in r.queries.items()}
+
+
+def oracles() -> dict[str, str]:
+    return {name: sql for r in REGISTRIES for name, sql in r.oracles.items()}

@@ -31,6 +31,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "job
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
@@ -39,18 +40,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "job
     return tune(spark)
 
 
-def require_checkpoint_dir(spark: SparkSession) -> None:
-    """Make `checkpoint()` usable: the cluster's shared folder, or a scratch one on one machine."""
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate results go: the cluster's shared folder, or a scratch one on one machine."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="jobtide-checkpoint-"))
-    else:
+        return shared
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="jobtide-"))
+    return context.getCheckpointDir()
+
+
+def require_checkpoint_dir(spark: SparkSession) -> None:
+    """Make `checkpoint()` usable."""
+    folder = shared_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def local_frame(spark: SparkSession, rows: list, schema: str | T.StructType) -> DataFrame:
