@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.text import WORD_END, WORD_START, bounded, ignore_case
 from jobtide.operators.phrases import phrase_join
+from jobtide.operators.ranking import first_per_key
 
-PLAIN_TERM = re.compile(r"[A-Za-z0-9_ \-/&#,:;]+")
+PLAIN_TERM = re.compile(r"[A-Za-z0-9_](?:[A-Za-z0-9_ \-/&#,:;]*[A-Za-z0-9_])?")
 MAX_LITERAL_PATTERNS = 500
 
 
@@ -27,8 +28,7 @@ def _starts_with_word(longer: str, shorter: str) -> bool:
 
 def _plain_terms(pattern: str) -> list[str] | None:
     terms = pattern.split("|")
-    plain = all(PLAIN_TERM.fullmatch(t) and re.match(r"\w", t) for t in terms)
-    return [t.lower() for t in terms] if plain else None
+    return [t.lower() for t in terms] if all(PLAIN_TERM.fullmatch(t) for t in terms) else None
 
 
 def _keys_by_single_scan(text: Column, keys_of_term: dict[str, list[str]]) -> Column:
@@ -109,7 +109,7 @@ def _match_by_phrases(
         raise ValueError("a dictionary this long has to consist of plain terms with whole-word bounds")
     as_compared = (lambda c: c) if cased else F.lower
     terms = terms.withColumn("__term", as_compared(F.col("__term")))
-    rows = df.withColumn("__text", as_compared(F.col(text))).drop(text)
-    pairs = phrase_join(rows.select("__text").distinct(), "__text", terms, "__term")
-    pairs = pairs.drop("__term").distinct()
-    return rows.join(pairs, "__text").select(*kept, *dictionary.columns)
+    rows = df.withColumn("__text", as_compared(F.col(text))).withColumn("__digest", F.sha2("__text", 256))
+    distinct = first_per_key(rows.select("__digest", "__text"), ["__digest"], [F.col("__digest").asc()])
+    pairs = phrase_join(distinct, "__text", terms, "__term", key="__digest").drop("__term").distinct()
+    return rows.select(*kept, "__digest").join(pairs, "__digest").select(*kept, *dictionary.columns)

@@ -23,38 +23,42 @@ def _core(phrase: Column) -> Column:
     return F.regexp_extract(phrase, rf"(?s){WORD}(?:.*{WORD})?", 0)
 
 
-def word_runs(text: Column, widest: Column) -> Column:
-    """Distinct runs of up to `widest` pieces (words and the separators between them)."""
-    pieces = _pieces(text)
+def _word_runs(pieces: Column, widest: Column) -> Column:
+    """Distinct runs of up to `widest` pieces (words and the separators between them).
 
-    def runs_from(start: Column) -> Column:
-        lengths = F.sequence(F.lit(1), F.least(widest, F.size(pieces) - start + 1), F.lit(2))
-        return F.transform(lengths, lambda n: F.array_join(F.slice(pieces, start, n), ""))
+    `pieces` has to be a column of its own: a lambda would work out an expression anew per element.
+    """
+    size = F.size(pieces)
 
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1))),
-        lambda i: F.rlike(F.try_element_at(pieces, i), F.lit(f"^{WORD}")),
-    )
-    return F.array_distinct(F.flatten(F.transform(starts, runs_from)))
+    def runs_from(piece: Column, i: Column) -> Column:
+        lengths = F.sequence(F.lit(1), F.least(widest, size - i), F.lit(2))
+        runs = F.transform(lengths, lambda n: F.array_join(F.slice(pieces, i + 1, n), ""))
+        return F.when(F.rlike(piece, F.lit(f"^{WORD}")), runs).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.transform(pieces, runs_from)))
 
 
-def phrase_join(texts: DataFrame, text: str, phrases: DataFrame, phrase: str) -> DataFrame:
-    """All pairs of a distinct text and a phrase it contains as whole words.
+def phrase_join(
+    texts: DataFrame, text: str, phrases: DataFrame, phrase: str, key: str | None = None
+) -> DataFrame:
+    """All pairs of a text and a phrase it contains as whole words.
 
-    `texts` has one row per distinct text; the result has the text column and all phrase columns.
+    `texts` has one row per distinct text. Short texts are their own key; long ones should come with
+    a short `key` column, which is then all that travels, and phrases that begin and end in a word
+    character. The result has the key (or text) and all phrase columns.
     """
+    identity = key or text
     keyed = phrases.withColumn("__core", _core(F.col(phrase))).filter(F.col("__core") != "")
     widest = keyed.agg(F.coalesce(F.max(F.size(_pieces(F.col("__core")))), F.lit(1))).scalar()
-    runs = texts.withColumn("__widest", widest).select(
-        text, F.explode(word_runs(F.col(text), F.col("__widest"))).alias("__run")
-    )
+    split = texts.select(identity, _pieces(F.col(text)).alias("__pieces"), widest.alias("__widest"))
+    runs = split.select(identity, F.explode(_word_runs(F.col("__pieces"), F.col("__widest"))).alias("__run"))
     found = runs.join(keyed, F.col("__run") == F.col("__core"))
-    # Phrases that begin or end in punctuation still have to be there in full.
-    quoted = F.concat(
-        F.lit(WORD_START + r"\Q"), F.col(phrase), F.lit(r"\E" + WORD_END)
-    )
-    whole = (F.col(phrase) == F.col("__core")) | F.rlike(F.col(text), quoted)
-    return found.filter(whole).select(text, *phrases.columns)
+    whole = F.col(phrase) == F.col("__core")
+    if key is None:
+        # Phrases that begin or end in punctuation still have to be there in full.
+        quoted = F.concat(F.lit(WORD_START + r"\Q"), F.col(phrase), F.lit(r"\E" + WORD_END))
+        whole = whole | F.rlike(F.col(text), quoted)
+    return found.filter(whole).select(identity, *phrases.columns)
 
 
 def longest_only(matches: DataFrame, text: str, phrases: DataFrame, phrase: str) -> DataFrame:
