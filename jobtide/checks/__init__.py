@@ -1,9 +1,9 @@
 """Registered queries over the given tables, each with the SQL that has to give the same rows."""
 
-from jobtide.checks import pipeline, texts
+from jobtide.checks import pipeline, runs, tables, texts
 from jobtide.checks.base import Query
 
-REGISTRIES = [texts.registry, pipeline.registry]
+REGISTRIES = [texts.registry, runs.registry, tables.registry, pipeline.registry]
 
 
 def queries() -> dict[str, Query]:

@@ -6,6 +6,8 @@ functions also serve JSON that is already in a table. `file` and `position` keep
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,11 @@ from jobtide import fixed_values as fixed
 from jobtide.functions.json import first_present, json_array_size, json_elements, json_text
 from jobtide.functions.text import first_truthy
 from jobtide.operators.ranking import last_wins
+from jobtide.session import local_frame
 
 RUN_PATH = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/(?:details/)?[^/]+$"
+RUN_FILE = "source string, run_date date, file string, document string"
+MANIFEST_NAME = "_manifest.json"
 COUNT_FIELD = r'"(?:rows_read|duplicates_collapsed)"\s*:\s*(?:-?\d+|null)\s*,?'
 
 
@@ -28,7 +33,7 @@ def read_run_files(spark: SparkSession, raw: str, source: str, name: str, run_da
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], "source string, run_date date, file string, document string")
+        return spark.createDataFrame([], RUN_FILE)
     return text.select(
         F.regexp_extract(path, RUN_PATH, 1).alias("source"),
         F.regexp_extract(path, RUN_PATH, 2).cast("date").alias("run_date"),
@@ -43,6 +48,28 @@ def list_runs(spark: SparkSession, raw: str, run_date: str | None = None) -> Dat
     return files.select("source", "run_date").distinct().orderBy("source", "run_date")
 
 
+def read_manifests(spark: SparkSession, raw: str, run_date: str | None = None) -> DataFrame:
+    """The manifest of each run that has one.
+
+    Spark's file sources skip names that begin with an underscore, so these are read through the
+    file system; there is one small file per retained run.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{raw}/*/{run_date or '*'}/{MANIFEST_NAME}")
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in system.globStatus(pattern) or []:
+        path = status.getPath()
+        stream = system.open(path)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        run = path.getParent()
+        day = datetime.date.fromisoformat(run.getName())
+        found.append((run.getParent().getName(), day, path.toString(), text))
+    return local_frame(spark, found, RUN_FILE)
+
+
 def enveloped_rows(documents: DataFrame) -> DataFrame:
     """Postings of pages that name their own results array, one row per element with an id."""
     document = F.col("document")
