@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 
 from jobtide.checks import world as w
 from jobtide.checks.base import Registry
+from jobtide.functions.text import fold_german
 from jobtide.operators.quality import growing_stages, tail_mismatch
 from jobtide.operators.phrases import longest_only
 from jobtide.plans import audits, marts, reporting
 from jobtide.plans.places import place_matches
 from jobtide.plans.postings import PUBLISHED_COLUMNS, published
+from jobtide.session import settle
 
 registry = Registry()
 SCORED = [
@@ -308,8 +310,6 @@ def dashboard_salary_ranking(spark, sf):
 
 
 def _board_texts(world):
-    from jobtide.functions.text import fold_german
-
     return world.board.select(fold_german(F.coalesce("city", F.lit(""))).alias("loc_norm")).distinct()
 
 
@@ -317,12 +317,12 @@ def _board_texts(world):
 select loc as loc_norm, city_norm, city, region, at_start as is_leading from hit"""))
 def place_matches_events(spark, sf):
     world = w.World(spark, sf)
-    return place_matches(_board_texts(world), world.places())
+    return place_matches(_board_texts(world), settle(world.places()))
 
 
 @registry.add("longest_places_events", w.with_sql(w.EVENTS_SQL, w.PLACES_SQL, w.VERDICTS_SQL, select="""
 select loc as loc_norm, city_norm, city, region, at_start as is_leading from long_hit"""))
 def longest_places_events(spark, sf):
     world = w.World(spark, sf)
-    places = world.places()
+    places = settle(world.places())
     return longest_only(place_matches(_board_texts(world), places), "loc_norm", places, "city_norm")

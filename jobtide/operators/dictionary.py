@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from jobtide.functions.text import WORD_END, WORD_START, bounded, ignore_case
 from jobtide.operators.phrases import phrase_join
 from jobtide.operators.ranking import first_per_key
+from jobtide.session import spread
 
 PLAIN_TERM = re.compile(r"[A-Za-z0-9_](?:[A-Za-z0-9_ \-/&#,:;]*[A-Za-z0-9_])?")
 MAX_LITERAL_PATTERNS = 500
@@ -96,7 +97,7 @@ def dictionary_match(
     if len(patterns) > max_literals:
         return _match_by_phrases(df, text, dictionary, pattern, kept, grouped, cased)
     keys = matching_keys(F.col(text), patterns, cased, grouped)
-    found = df.select(*kept, F.explode(keys).alias(key))
+    found = spread(df).select(*kept, F.explode(keys).alias(key))
     # At most max_literals rows, checked above.
     return found.join(F.broadcast(dictionary), key).select(*kept, *dictionary.columns)
 
@@ -109,7 +110,7 @@ def _match_by_phrases(
         raise ValueError("a dictionary this long has to consist of plain terms with whole-word bounds")
     as_compared = (lambda c: c) if cased else F.lower
     terms = terms.withColumn("__term", as_compared(F.col("__term")))
-    rows = df.withColumn("__text", as_compared(F.col(text))).withColumn("__digest", F.sha2("__text", 256))
+    rows = spread(df).withColumn("__text", as_compared(F.col(text))).withColumn("__digest", F.sha2("__text", 256))
     distinct = first_per_key(rows.select("__digest", "__text"), ["__digest"], [F.col("__digest").asc()])
     pairs = phrase_join(distinct, "__text", terms, "__term", key="__digest").drop("__term").distinct()
     return rows.select(*kept, "__digest").join(pairs, "__digest").select(*kept, *dictionary.columns)

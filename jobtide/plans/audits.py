@@ -12,6 +12,7 @@ from jobtide.operators.dictionary import dictionary_match, matching_keys
 from jobtide.operators.ranking import join_null_safe, top_per_key
 from jobtide.params import any_of
 from jobtide.plans.postings import dedup_keys, newest_details
+from jobtide.session import spread
 
 VACANCY = ["employer_key", "title_key"]
 NO_CITY = "?"
@@ -194,7 +195,7 @@ def keyword_in_context(
     """
     risky = [(r[0], r[1]) for r in skills.filter(F.col("skill_key").isin(*keys)).select("skill_key", "pattern").collect()]
     texts = postings.filter(F.col("description").isNotNull()).select("posting_id", "source", "description")
-    matched = texts.select(
+    matched = spread(texts).select(
         "posting_id", "source", F.explode(matching_keys(F.col("description"), risky)).alias("skill_key")
     )
     order = [F.col("posting_id").asc(), F.col("source").asc()]

@@ -9,6 +9,7 @@ from jobtide.plans import marts
 from jobtide.plans.places import gazetteer, resolve_locations
 from jobtide.plans.postings import published, scored_postings
 from jobtide.plans.staging import flatten_board, flatten_details, flatten_listings, flatten_runs
+from jobtide.session import settle
 
 
 def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -28,7 +29,8 @@ def score(
     tags: SourceTags = SourceTags(),
     params: Params = Params(),
 ) -> DataFrame:
-    places = gazetteer(staged["listings"], aliases, params.min_place_chars, rules.home_country)
+    # The gazetteer is small and looked into at several points of the resolution.
+    places = settle(gazetteer(staged["listings"], aliases, params.min_place_chars, rules.home_country))
     verdicts = resolve_locations(staged["board"], places, home_country=rules.home_country)
     return scored_postings(
         staged["listings"], staged["details"], staged["board"], verdicts, rules, language, tags, params

@@ -14,6 +14,7 @@ from jobtide.functions.text import finds_ignoring_case, has_text
 from jobtide.operators.flags import as_group, in_country, in_scope
 from jobtide.operators.ranking import first_per_key, number_rows, number_small_groups
 from jobtide.params import LanguageRules, Params, ScopeRules, SourceTags
+from jobtide.session import settle
 
 SCORED_COLUMNS = [
     "posting_id", "source", "run_date", "title", "employer", "city", "region", "country",
@@ -57,10 +58,9 @@ def narrow_rows(
     )
 
 
-def newest_run(listings: DataFrame, board: DataFrame) -> Column:
+def newest_run(rows: DataFrame) -> Column:
     """The newest run in the data, not today's date, as a one-value subquery."""
-    runs = listings.select("run_date").unionByName(board.select("run_date"))
-    return runs.agg(F.max("run_date")).scalar()
+    return rows.agg(F.max("run_date")).scalar()
 
 
 def dedup_keys() -> dict[str, Column]:
@@ -81,47 +81,33 @@ def dedup_order(tags: SourceTags) -> list[Column]:
     ]
 
 
-def _texts(details: DataFrame, board: DataFrame, tags: SourceTags, language: LanguageRules) -> DataFrame:
-    """Description and what it says, once per detail or board row, before any join."""
-    federal = newest_details(details).select(
-        F.lit(tags.federal).alias("source"),
-        "posting_id",
-        F.lit(None).cast("date").alias("text_run"),
-        "description",
-        "allows_home_office",
-        "is_temp_agency",
-    )
-    boarded = board.select(
-        F.lit(tags.board).alias("source"),
-        "posting_id",
-        F.col("run_date").alias("text_run"),
-        "description",
-        "allows_home_office",
-        F.lit(None).cast("boolean").alias("is_temp_agency"),
-    )
-    text = F.col("description")
-    return federal.unionByName(boarded).withColumns(
-        {
-            "requires_german": finds_ignoring_case(text, language.requires),
-            "mentions_english": finds_ignoring_case(text, language.mentions),
-        }
-    )
+def _read_from(text: Column, language: LanguageRules) -> dict[str, Column]:
+    return {
+        "requires_german": finds_ignoring_case(text, language.requires),
+        "mentions_english": finds_ignoring_case(text, language.mentions),
+    }
 
 
-def _with_texts(rows: DataFrame, texts: DataFrame, tags: SourceTags, params: Params) -> DataFrame:
-    """Federal rows take the posting's newest detail, board rows the text of their own run."""
-    keyed = rows.withColumn("text_run", F.when(F.col("source") != tags.federal, F.col("run_date")))
-    match = (
-        (keyed["source"] == texts["source"])
-        & (keyed["posting_id"] == texts["posting_id"])
-        & keyed["text_run"].eqNullSafe(texts["text_run"])
-    )
-    extra = [c for c in texts.columns if c not in ("source", "posting_id", "text_run")]
-    joined = keyed.join(texts, match, "left").select(
-        *[keyed[c] for c in rows.columns], *[texts[c] for c in extra]
-    )
+def _with_texts(
+    rows: DataFrame, details: DataFrame, board: DataFrame, language: LanguageRules, tags: SourceTags, params: Params
+) -> DataFrame:
+    """Federal rows take the posting's newest detail, board rows the text of their own run.
+
+    The sources are joined apart: the newest details already lie by posting id, so their texts are
+    shuffled once. What is read from a text is worked out before the join, once per text and not
+    once per run that lists it.
+    """
     text = F.col("description")
-    return joined.withColumns(
+    described = newest_details(details).select(
+        "posting_id", "description", "allows_home_office", "is_temp_agency"
+    ).withColumns(_read_from(text, language))
+    offered = board.select(
+        "posting_id", "run_date", "description", "allows_home_office",
+        F.lit(None).cast("boolean").alias("is_temp_agency"),
+    ).withColumns(_read_from(text, language))
+    federal = rows.filter(F.col("source") == tags.federal).join(described, "posting_id", "left")
+    boarded = rows.filter(F.col("source") == tags.board).join(offered, ["posting_id", "run_date"], "left")
+    return federal.unionByName(boarded).withColumns(
         {
             "description_length": F.length(F.coalesce(text, F.lit(""))),
             "has_description": has_text(text, params.description_min_chars),
@@ -146,10 +132,10 @@ def scored_postings(
     # A posting has one row per retained run, so these groups stay small.
     ranked = number_small_groups(
         rows.withColumn("passed", passed), ["source", "posting_id", "passed"], [F.col("run_date").desc()], "run_rank"
-    ).drop("passed")
-    dated = ranked.withColumn(
-        "days_since_latest_run", days_between(newest_run(listings, board), F.col("run_date"))
     )
+    # Read three times below, and narrow: no texts.
+    ranked = settle(ranked.drop("passed"))
+    dated = ranked.withColumn("days_since_latest_run", days_between(newest_run(ranked), F.col("run_date")))
     advertised = (
         F.col("title_in_scope")
         & F.col("country_known")
@@ -161,8 +147,7 @@ def scored_postings(
     numbered = number_rows(
         keyed, ["employer_key", "title_key", "advertised"], dedup_order(tags), "dedup_rank", params.hot_rows
     )
-    texts = _texts(details, board, tags, language)
-    return _with_texts(numbered, texts, tags, params).select(*SCORED_COLUMNS)
+    return _with_texts(numbered, details, board, language, tags, params).select(*SCORED_COLUMNS)
 
 
 def published(scored: DataFrame) -> DataFrame:
@@ -188,10 +173,11 @@ def published_postings(
     rows = narrow_rows(listings, board, verdicts, tags, rules)
     passed = rows.filter(F.col("title_in_scope") & F.col("country_known"))
     latest = first_per_key(passed, ["source", "posting_id"], [F.col("run_date").desc()])
-    fresh = latest.filter(
-        is_fresh(F.col("run_date"), newest_run(listings, board), params.freshness_days)
-    )
-    keyed = fresh.withColumns(dedup_keys())
-    kept = first_per_key(keyed, ["employer_key", "title_key"], dedup_order(tags))
-    texts = _texts(details, board, tags, language)
-    return _with_texts(kept, texts, tags, params).select(*PUBLISHED_COLUMNS)
+    newest = newest_run(listings.select("run_date").unionByName(board.select("run_date")))
+    fresh = latest.filter(is_fresh(F.col("run_date"), newest, params.freshness_days))
+    # The vacancies are few next to the texts, which are thinned out by their ids before the join.
+    kept = settle(first_per_key(fresh.withColumns(dedup_keys()), ["employer_key", "title_key"], dedup_order(tags)))
+    ids = kept.select("posting_id").distinct()
+    wanted_details = details.join(ids, "posting_id", "left_semi")
+    wanted_board = board.join(ids, "posting_id", "left_semi")
+    return _with_texts(kept, wanted_details, wanted_board, language, tags, params).select(*PUBLISHED_COLUMNS)
