@@ -87,7 +87,7 @@ def published_from_scored(spark, sf):
 @registry.add("mentions_events", w.with_sql(*w.TO_MENTIONS, select="select * from mention"))
 def mentions_events(spark, sf):
     world = w.World(spark, sf)
-    return world.mentions(world.published())
+    return marts.mentions(world.published(), world.skills)
 
 
 @registry.add("skill_frequency_events", w.with_sql(*w.TO_MENTIONS, w.FREQUENCY_SQL, select="select * from frequency"))

@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from jobtide.checks.base import Registry, table
 from jobtide.functions.numbers import half_even_int, plausible, share
-from jobtide.operators.aggregates import any_true, count_where, exact_median, scale_to_leader, sole_value
+from jobtide.operators.aggregates import any_true, count_where, exact_medians, merge_groups, scale_to_leader, sole_value
 from jobtide.operators.quality import AcceptedValues, NonNegative, NotNull, Relationship, Unique, duplicates, run_checks
-from jobtide.operators.ranking import join_null_safe
 from jobtide.operators.tables import canonical_lines, diff_tables, orphans, reconcile
 from jobtide.plans import marts, reporting
 
@@ -24,11 +23,11 @@ def median_by_group(spark, sf):
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     lines = table(spark, sf, "lineitem").select("l_partkey", "l_extendedprice", "l_returnflag")
     priced = lines.filter(plausible(F.col("l_extendedprice"), 20_000, 250_000)).join(part, "l_partkey")
-    sizes = priced.groupBy("p_type").agg(F.count("*").alias("lines")).filter("lines >= 30")
-    both = join_null_safe(sizes, exact_median(priced, ["p_type"], "l_extendedprice", "a"), ["p_type"], "left")
-    returned = exact_median(priced.filter("l_returnflag = 'R'"), ["p_type"], "l_extendedprice", "b")
-    both = join_null_safe(both, returned, ["p_type"], "left")
-    return both.select(
+    price = F.col("l_extendedprice")
+    returned = F.when(F.col("l_returnflag") == "R", price)
+    sizes = priced.groupBy("p_type").agg(F.count("*").alias("lines"))
+    both = merge_groups(["p_type"], sizes, exact_medians(priced, ["p_type"], {"a": price, "b": returned}))
+    return both.filter("lines >= 30").select(
         "p_type", "lines", half_even_int(F.col("a")).alias("median_price"),
         half_even_int(F.col("b")).alias("median_returned"),
     )
@@ -37,7 +36,9 @@ def median_by_group(spark, sf):
 @registry.add("median_of_all", """
 select l_linestatus, quantile_cont(l_quantity, 0.5) as mid_quantity from lineitem group by 1""")
 def median_of_all(spark, sf):
-    return exact_median(table(spark, sf, "lineitem"), ["l_linestatus"], "l_quantity", "mid_quantity", bucket=1.0)
+    return exact_medians(
+        table(spark, sf, "lineitem"), ["l_linestatus"], {"mid_quantity": F.col("l_quantity")}, bucket=1.0
+    )
 
 
 @registry.add("geo_stats", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,26 +27,31 @@ def sole_value(value: Column) -> Column:
     return F.when(F.min(value) == F.max(value), F.max(value))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str, bucket: float = MEDIAN_BUCKET) -> DataFrame:
-    """Exact interpolated median per group (percentile_cont(0.5)), one row per group.
+def exact_medians(
+    df: DataFrame, keys: list[str], values: dict[str, Column], bucket: float = MEDIAN_BUCKET
+) -> DataFrame:
+    """Exact interpolated medians per group (percentile_cont(0.5)), one row per group.
 
-    Equal values are counted before the shuffle and counts are keyed by value, so a hot group is
-    spread over many tasks. Only the bucket holding the middle is ordered value by value.
+    `values` maps result names to the measured columns; null values do not count. Equal values are
+    counted before the shuffle and counts are keyed by value, so a hot group is spread over many
+    tasks. Only the bucket holding the middle is ordered value by value.
     """
-    number = F.col(value).cast("double")
+    measures = [F.struct(F.lit(n).alias("name"), v.cast("double").alias("value")) for n, v in values.items()]
+    long = df.select(*keys, F.inline(F.array(*measures)).alias("__name", "__value"))
+    group = [*keys, "__name"]
     counted = (
-        df.filter(F.col(value).isNotNull())
-        .select(*keys, number.alias("__value"), F.floor(number / bucket).alias("__bucket"))
-        .groupBy(*keys, "__bucket", "__value")
+        long.filter(F.col("__value").isNotNull())
+        .withColumn("__bucket", F.floor(F.col("__value") / bucket))
+        .groupBy(*group, "__bucket", "__value")
         .agg(F.count("*").alias("__n"))
     )
-    by_bucket = counted.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__in_bucket"))
-    group = Window.partitionBy(*keys)
-    below = group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("__in_bucket").over(group)
+    by_bucket = counted.groupBy(*group, "__bucket").agg(F.sum("__n").alias("__in_bucket"))
+    whole = Window.partitionBy(*group)
+    below = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("__in_bucket").over(whole)
     middle = (
         by_bucket.select(
-            *keys,
+            *group,
             "__bucket",
             F.coalesce(F.sum("__in_bucket").over(below), F.lit(0)).alias("__below"),
             "__in_bucket",
@@ -54,16 +61,29 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str, bucket:
         .filter(F.col("__low") < F.col("__below") + F.col("__in_bucket"))
         .filter(F.col("__high") >= F.col("__below"))
     )
-    inside = join_null_safe(counted, middle, [*keys, "__bucket"])
-    upto = Window.partitionBy(*keys, "__bucket").orderBy("__value")
+    inside = join_null_safe(counted, middle, [*group, "__bucket"])
+    upto = Window.partitionBy(*group, "__bucket").orderBy("__value")
     last = F.col("__below") + F.sum("__n").over(upto) - 1
     placed = inside.withColumn("__last", last).withColumn("__first", F.col("__last") - F.col("__n") + 1)
 
-    def at(position: str) -> Column:
-        return F.max(F.when(F.col(position).between(F.col("__first"), F.col("__last")), F.col("__value")))
+    def middle_of(name: str) -> Column:
+        def at(position: str) -> Column:
+            here = F.col(position).between(F.col("__first"), F.col("__last")) & (F.col("__name") == name)
+            return F.max(F.when(here, F.col("__value")))
+
+        return at("__low") + (at("__high") - at("__low")) * 0.5
+
+    return placed.groupBy(*keys).agg(*[middle_of(name).alias(name) for name in values])
 
-    picked = placed.groupBy(*keys).agg(at("__low").alias("__a"), at("__high").alias("__b"))
-    return picked.select(*keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * 0.5).alias(name))
+
+def merge_groups(keys: list[str], *parts: DataFrame) -> DataFrame:
+    """Side by side what several results say about the same groups, each having one row per group.
+
+    An aggregation instead of a join: null keys meet, and no part has to come first.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    others = [c for c in stacked.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in others])
 
 
 def joined_distinct(df: DataFrame, keys: list[str], value: str, separator: str, chars: int, name: str) -> DataFrame:

@@ -42,7 +42,8 @@ def publish(
 ) -> dict[str, DataFrame]:
     """The five published tables from scored rows that have been written once."""
     postings = published(scored)
-    mentioned = marts.mentions(postings, skills, params, grouped)
+    # Two tables are made from the mentions; the texts are searched once.
+    mentioned = settle(marts.mentions(postings, skills, params, grouped))
     return {
         "mart_skill_frequency": marts.skill_frequency(postings, mentioned, params),
         "mart_language_requirement": marts.language_requirement(postings, params),

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as fixed
 from jobtide.functions.numbers import half_even_int, half_up_int, plausible, share
 from jobtide.functions.text import has_text
-from jobtide.operators.aggregates import by_group_and_all, count_where, exact_median
+from jobtide.operators.aggregates import by_group_and_all, count_where, exact_medians, merge_groups
 from jobtide.operators.dictionary import dictionary_match
-from jobtide.operators.ranking import join_null_safe
 from jobtide.params import Params
 
 SKILL = ["skill_key", "display_name", "category"]
@@ -47,17 +46,13 @@ def salary_by_skill(postings: DataFrame, mentioned: DataFrame, params: Params =
     """Medians and extremes of plausible annual salaries per tool with enough of them."""
     salaried = postings.filter(plausible(F.col("salary_from"), params.salary_low, params.salary_high))
     paid = salaried.select("posting_id", "salary_from", "salary_to").join(mentioned, "posting_id")
-    sizes = (
-        paid.groupBy(*SKILL)
-        .agg(
-            F.count("*").alias("postings_with_salary"),
-            half_up_int(F.min("salary_from")).alias("min_salary_from"),
-            half_up_int(F.max("salary_to")).alias("max_salary_to"),
-        )
-        .filter(F.col("postings_with_salary") >= params.min_salaried)
+    sizes = paid.groupBy(*SKILL).agg(
+        F.count("*").alias("postings_with_salary"),
+        half_up_int(F.min("salary_from")).alias("min_salary_from"),
+        half_up_int(F.max("salary_to")).alias("max_salary_to"),
     )
-    both = join_null_safe(sizes, exact_median(paid, SKILL, "salary_from", "mid_from"), SKILL, "left")
-    both = join_null_safe(both, exact_median(paid, SKILL, "salary_to", "mid_to"), SKILL, "left")
+    mids = exact_medians(paid, SKILL, {"mid_from": F.col("salary_from"), "mid_to": F.col("salary_to")})
+    both = merge_groups(SKILL, sizes, mids).filter(F.col("postings_with_salary") >= params.min_salaried)
     return both.select(
         *SKILL,
         "postings_with_salary",
@@ -71,19 +66,18 @@ def salary_by_skill(postings: DataFrame, mentioned: DataFrame, params: Params =
 def city_stats(postings: DataFrame, params: Params = Params()) -> DataFrame:
     place = ["city", "region"]
     named = postings.withColumn("city", F.coalesce("city", F.lit("Unknown")))
-    sizes = (
-        named.groupBy(*place)
-        .agg(
-            F.count("*").alias("postings"),
-            count_where(F.col("allows_home_office")).alias("home_office_postings"),
-            count_where(F.col("salary_from").isNotNull()).alias("postings_with_salary"),
-        )
-        .filter(F.col("postings") >= params.min_city_postings)
+    sizes = named.groupBy(*place).agg(
+        F.count("*").alias("postings"),
+        count_where(F.col("allows_home_office")).alias("home_office_postings"),
+        count_where(F.col("salary_from").isNotNull()).alias("postings_with_salary"),
     )
     paid = named.filter(plausible(F.col("salary_from"), params.salary_low, params.salary_high))
-    joined = join_null_safe(sizes, exact_median(paid, place, "salary_from", "mid"), place, "left")
-    return joined.withColumn("median_salary_from", half_even_int(F.col("mid"))).drop("mid").orderBy(
-        F.col("postings").desc(), "city", F.col("region").asc_nulls_last()
+    both = merge_groups(place, sizes, exact_medians(paid, place, {"mid": F.col("salary_from")}))
+    return (
+        both.filter(F.col("postings") >= params.min_city_postings)
+        .withColumn("median_salary_from", half_even_int(F.col("mid")))
+        .drop("mid")
+        .orderBy(F.col("postings").desc(), "city", F.col("region").asc_nulls_last())
     )
 
 

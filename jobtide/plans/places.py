@@ -10,6 +10,7 @@ from jobtide.functions.text import finds, finds_word, fold_german
 from jobtide.operators.aggregates import any_true, sole_value
 from jobtide.operators.phrases import longest_only, phrase_join
 from jobtide.operators.ranking import first_per_key
+from jobtide.session import settle
 
 # Names made of anything else false-match in free text.
 PLACE_NAME = "^[a-z0-9 .-]+$"
@@ -61,8 +62,10 @@ def place_matches(texts: DataFrame, places: DataFrame) -> DataFrame:
 
 def resolve_texts(texts: DataFrame, places: DataFrame, foreign_terms: list[str]) -> DataFrame:
     """Verdict per distinct folded text; several names published as one city count once."""
+    # Looked at twice by the longest-match rule; taking a text apart is the costly step.
+    matches = settle(place_matches(texts, places))
     named = (
-        longest_only(place_matches(texts, places), "loc_norm", places, "city_norm")
+        longest_only(matches, "loc_norm", places, "city_norm")
         .groupBy("loc_norm")
         .agg(
             any_true(F.col("is_leading")).alias("opens"),
@@ -95,7 +98,9 @@ def resolve_locations(
     """Country and city per (posting_id, run_date). A foreign marker beats a place; neither is null.
 
     The same location text recurs over many postings and runs, so it is resolved once per distinct
-    text and joined back.
+    text and joined back. One text, such as none at all, may stand on a large part of the rows: the
+    verdicts are written first, so that the join either broadcasts them, if their true size allows,
+    or meets two plain shuffles, which AQE splits where a text is hot.
     """
     located = board.select(
         "posting_id",
@@ -103,7 +108,7 @@ def resolve_locations(
         F.col("city").alias("raw_location"),
         fold_german(F.coalesce("city", F.lit(""))).alias("loc_norm"),
     )
-    verdicts = resolve_texts(located.select("loc_norm").distinct(), places, foreign_terms)
+    verdicts = settle(resolve_texts(located.select("loc_norm").distinct(), places, foreign_terms))
     country = F.when(F.col("has_foreign_marker"), fixed.FOREIGN).when(
         F.col("matches_german_place"), home_country
     )

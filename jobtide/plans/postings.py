@@ -177,7 +177,6 @@ def published_postings(
     fresh = latest.filter(is_fresh(F.col("run_date"), newest, params.freshness_days))
     # The vacancies are few next to the texts, which are thinned out by their ids before the join.
     kept = settle(first_per_key(fresh.withColumns(dedup_keys()), ["employer_key", "title_key"], dedup_order(tags)))
-    ids = kept.select("posting_id").distinct()
-    wanted_details = details.join(ids, "posting_id", "left_semi")
-    wanted_board = board.join(ids, "posting_id", "left_semi")
+    wanted_details = details.join(kept.select("posting_id").distinct(), "posting_id", "left_semi")
+    wanted_board = board.join(kept.select("posting_id", "run_date"), ["posting_id", "run_date"], "left_semi")
     return _with_texts(kept, wanted_details, wanted_board, language, tags, params).select(*PUBLISHED_COLUMNS)

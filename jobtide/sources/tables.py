@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.operators.ranking import first_per_key
 from jobtide.sources.schemas import RAW_TABLES
 
 
@@ -56,13 +55,16 @@ def stamped(rows: DataFrame) -> DataFrame:
 
 
 def merge_rows(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Target with rows added; a key present on both sides takes the new row."""
-    aged = target.withColumn("__age", F.lit(1)).unionByName(rows.withColumn("__age", F.lit(0)))
-    return first_per_key(aged, keys, [F.col("__age").asc()]).drop("__age")
+    """Target with rows added; a key present on both sides takes the new row.
+
+    `rows` has one row per key. Only its keys meet the target, so the target's payloads stay where
+    they are whenever the keys are few enough to broadcast.
+    """
+    return target.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
 
 
 def upsert(table: RawTable, rows: DataFrame, staging: str) -> None:
-    """Insert rows or overwrite those with the same key, touching only the runs they belong to.
+    """Insert rows, one per key, or overwrite those with the same key; only their runs are touched.
 
     The merged runs go to a staging folder first, because a table cannot be overwritten while the
     same plan reads it; the second write then replaces whole partitions. With no rows, nothing

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.numbers import epoch_date, half_even_int, half_up_int
 from jobtide.functions.text import fold_german, in_context
-from jobtide.operators.aggregates import exact_median, joined_distinct
+from jobtide.operators.aggregates import exact_medians, joined_distinct
 from jobtide.operators.dictionary import dictionary_match
 from jobtide.operators.flags import in_scope
 from jobtide.operators.phrases import longest_only, phrase_join
@@ -103,7 +103,7 @@ def test_median(spark):
     data = [(rng.choice(["a", "b", None]), rng.choice([None, round(rng.uniform(-500, 90000), 2), 60000.5])) for _ in range(999)]
     data.append(("one", 5.5))
     df = spark.createDataFrame(data, "g string, v double")
-    got = {r["g"]: r["m"] for r in exact_median(df, ["g"], "v", "m").collect()}
+    got = {r["g"]: r["m"] for r in exact_medians(df, ["g"], {"m": F.col("v")}).collect()}
     for g in ("a", "b", None, "one"):
         assert got[g] == pytest.approx(statistics.median([v for k, v in data if k == g and v is not None]))
 
