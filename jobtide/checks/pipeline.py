@@ -8,7 +8,7 @@ from jobtide.functions.text import fold_german
 from jobtide.operators.quality import growing_stages, tail_mismatch
 from jobtide.operators.phrases import longest_only
 from jobtide.plans import audits, marts, reporting
-from jobtide.plans.places import place_matches
+from jobtide.plans.places import place_matches, with_verdicts
 from jobtide.plans.postings import PUBLISHED_COLUMNS, published
 from jobtide.session import settle
 
@@ -65,6 +65,16 @@ def location_verdicts(spark, sf):
     return w.World(spark, sf).verdicts()
 
 
+@registry.add("board_with_verdicts", w.with_sql(w.EVENTS_SQL, w.PLACES_SQL, w.VERDICTS_SQL, select="""
+select o.posting_id, o.run_date, o.title, v.raw_location, v.resolved_country, v.resolved_city
+from offer o left join verdict v on v.posting_id = o.posting_id and v.run_date = o.run_date"""))
+def board_with_verdicts(spark, sf):
+    world = w.World(spark, sf)
+    return with_verdicts(world.board, settle(world.verdicts())).select(
+        "posting_id", "run_date", "title", "raw_location", "resolved_country", "resolved_city"
+    )
+
+
 @registry.add("scored_events", w.with_sql(*w.TO_SCORED, select=f"select {', '.join(SCORED)}, md5(description) as digest from scored"))
 def scored_events(spark, sf):
     return w.World(spark, sf).score().select(*SCORED, F.md5("description").alias("digest"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from jobtide.params import LanguageRules, Params, ScopeRules, SourceTags
 from jobtide.plans import marts
-from jobtide.plans.places import gazetteer, resolve_locations
+from jobtide.plans.places import gazetteer, locate
 from jobtide.plans.postings import published, scored_postings
 from jobtide.plans.staging import flatten_board, flatten_details, flatten_listings, flatten_runs
 from jobtide.session import settle
@@ -31,9 +31,9 @@ def score(
 ) -> DataFrame:
     # The gazetteer is small and looked into at several points of the resolution.
     places = settle(gazetteer(staged["listings"], aliases, params.min_place_chars, rules.home_country))
-    verdicts = resolve_locations(staged["board"], places, home_country=rules.home_country)
+    located = locate(staged["board"], places, home_country=rules.home_country)
     return scored_postings(
-        staged["listings"], staged["details"], staged["board"], verdicts, rules, language, tags, params
+        staged["listings"], staged["details"], staged["board"], located, rules, language, tags, params
     )
 
 

@@ -14,6 +14,9 @@ from jobtide.session import settle
 
 # Names made of anything else false-match in free text.
 PLACE_NAME = "^[a-z0-9 .-]+$"
+VERDICT = [
+    "raw_location", "has_foreign_marker", "matches_german_place", "resolved_country", "resolved_city", "resolved_region",
+]
 # What may follow a place that opens a location; a hyphen separates only with spaces around it.
 AFTER_PLACE = r"^ *(\z|[,;/|(]| - )"
 
@@ -89,36 +92,37 @@ def resolve_texts(texts: DataFrame, places: DataFrame, foreign_terms: list[str])
     )
 
 
-def resolve_locations(
+def locate(
     board: DataFrame,
     places: DataFrame,
     foreign_terms: list[str] = fixed.FOREIGN_TERMS,
     home_country: str = fixed.HOME_COUNTRY,
 ) -> DataFrame:
-    """Country and city per (posting_id, run_date). A foreign marker beats a place; neither is null.
+    """Board rows with their verdict. A foreign marker beats a place; neither leaves country null.
 
     The same location text recurs over many postings and runs, so it is resolved once per distinct
     text and joined back. One text, such as none at all, may stand on a large part of the rows: the
     verdicts are written first, so that the join either broadcasts them, if their true size allows,
     or meets two plain shuffles, which AQE splits where a text is hot.
     """
-    located = board.select(
-        "posting_id",
-        "run_date",
-        F.col("city").alias("raw_location"),
-        fold_german(F.coalesce("city", F.lit(""))).alias("loc_norm"),
-    )
-    verdicts = settle(resolve_texts(located.select("loc_norm").distinct(), places, foreign_terms))
+    folded = board.withColumn("loc_norm", fold_german(F.coalesce("city", F.lit(""))))
+    verdicts = settle(resolve_texts(folded.select("loc_norm").distinct(), places, foreign_terms))
     country = F.when(F.col("has_foreign_marker"), fixed.FOREIGN).when(
         F.col("matches_german_place"), home_country
     )
-    return located.join(verdicts, "loc_norm", "left").select(
-        "posting_id",
-        "run_date",
-        "raw_location",
-        "has_foreign_marker",
-        "matches_german_place",
-        country.alias("resolved_country"),
-        "resolved_city",
-        "resolved_region",
+    return (
+        folded.join(verdicts, "loc_norm", "left")
+        .withColumn("resolved_country", country)
+        .withColumnRenamed("city", "raw_location")
+        .drop("loc_norm")
     )
+
+
+def verdict_table(located: DataFrame) -> DataFrame:
+    """Country and city per (posting_id, run_date), as a table of its own."""
+    return located.select("posting_id", "run_date", *VERDICT)
+
+
+def with_verdicts(board: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Board rows with a stored verdict table. Both keys count: a posting is judged anew each run."""
+    return board.drop("city").join(verdicts, ["posting_id", "run_date"], "left")

@@ -31,16 +31,13 @@ def newest_details(details: DataFrame) -> DataFrame:
     return first_per_key(details, ["posting_id"], [F.col("run_date").desc()])
 
 
-def narrow_rows(
-    listings: DataFrame, board: DataFrame, verdicts: DataFrame, tags: SourceTags, rules: ScopeRules
-) -> DataFrame:
+def narrow_rows(listings: DataFrame, located: DataFrame, tags: SourceTags, rules: ScopeRules) -> DataFrame:
     """Both sources under one column list, with scope and country flags and without texts."""
     federal = listings.select(
         "posting_id", F.lit(tags.federal).alias("source"), "run_date", "title", "employer", "city",
         "region", "country", "salary_from", "salary_to", "is_full_time", "published_at",
     )
-    placed = board.drop("city").join(verdicts, ["posting_id", "run_date"], "left")
-    boarded = placed.select(
+    boarded = located.select(
         "posting_id", F.lit(tags.board).alias("source"), "run_date", "title", "employer",
         F.col("resolved_city").alias("city"),
         F.col("resolved_region").alias("region"),
@@ -119,15 +116,18 @@ def scored_postings(
     listings: DataFrame,
     details: DataFrame,
     board: DataFrame,
-    verdicts: DataFrame,
+    located: DataFrame,
     rules: ScopeRules = ScopeRules(),
     language: LanguageRules = LanguageRules(),
     tags: SourceTags = SourceTags(),
     params: Params = Params(),
 ) -> DataFrame:
-    """All rows read with flags and ranks. Ranks partition on the flag before them, so rows that
-    failed a stage are ranked apart and a rank means nothing without its flag."""
-    rows = narrow_rows(listings, board, verdicts, tags, rules)
+    """All rows read with flags and ranks; `located` is the board with its verdicts.
+
+    Ranks partition on the flag before them, so rows that failed a stage are ranked apart and a
+    rank means nothing without its flag.
+    """
+    rows = narrow_rows(listings, located, tags, rules)
     passed = as_group(F.col("title_in_scope") & F.col("country_known"))
     # A posting has one row per retained run, so these groups stay small.
     ranked = number_small_groups(
@@ -159,7 +159,7 @@ def published_postings(
     listings: DataFrame,
     details: DataFrame,
     board: DataFrame,
-    verdicts: DataFrame,
+    located: DataFrame,
     rules: ScopeRules = ScopeRules(),
     language: LanguageRules = LanguageRules(),
     tags: SourceTags = SourceTags(),
@@ -170,7 +170,7 @@ def published_postings(
     Both selections keep one row per key, which Spark applies before each shuffle, so neither a
     posting listed in many runs nor a title advertised by everyone gathers in one task.
     """
-    rows = narrow_rows(listings, board, verdicts, tags, rules)
+    rows = narrow_rows(listings, located, tags, rules)
     passed = rows.filter(F.col("title_in_scope") & F.col("country_known"))
     latest = first_per_key(passed, ["source", "posting_id"], [F.col("run_date").desc()])
     newest = newest_run(listings.select("run_date").unionByName(board.select("run_date")))

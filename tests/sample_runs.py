@@ -2,7 +2,7 @@
 
 import json
 
-from jobtide.plans.places import gazetteer, resolve_locations
+from jobtide.plans.places import gazetteer, locate, verdict_table
 from jobtide.plans.postings import scored_postings
 from jobtide.plans.staging import flatten_board, flatten_details, flatten_listings, flatten_runs
 from jobtide.session import local_frame
@@ -114,11 +114,11 @@ def build(spark, listings, details, offers, manifests, **options):
     flat_details = flatten_details(raw_documents(spark, details))
     flat_board = flatten_board(raw_documents(spark, offers))
     places = gazetteer(flat, seeds.city_aliases(spark))
-    verdicts = resolve_locations(flat_board, places)
-    scored = scored_postings(flat, flat_details, flat_board, verdicts, **options)
+    located = locate(flat_board, places)
+    scored = scored_postings(flat, flat_details, flat_board, located, **options)
     return {
         "listings": flat, "details": flat_details, "board": flat_board, "places": places,
-        "verdicts": verdicts, "scored": scored, "runs": flatten_runs(raw_runs(spark, manifests)),
+        "located": located, "verdicts": verdict_table(located), "scored": scored, "runs": flatten_runs(raw_runs(spark, manifests)),
     }
 
 

@@ -68,7 +68,7 @@ def test_scored_keeps_every_row(models):
 def test_published(spark, models):
     kept = sorted(r["posting_id"] for r in models["published"].collect())
     assert kept == ["ag1", "ag11", "ag2", "an1", "an5", "an6", "an7"]
-    direct = published_postings(models["listings"], models["details"], models["board"], models["verdicts"])
+    direct = published_postings(models["listings"], models["details"], models["board"], models["located"])
     assert rows(direct, "posting_id") == rows(models["published"], "posting_id")
     assert len(direct.columns) == 18
 

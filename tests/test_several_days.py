@@ -7,6 +7,7 @@ from conftest import rows
 from jobtide.params import Params
 from jobtide.plans import marts, reporting
 from jobtide.plans.daily import publish
+from jobtide.plans.places import with_verdicts
 from jobtide.plans.postings import SCORED_COLUMNS, published, published_postings
 from jobtide.session import local_frame
 from jobtide.sources import seeds, snapshots
@@ -94,10 +95,18 @@ def test_dedup_merges_across_sources_and_missing_employers(models):
     kept = {r["posting_id"] for r in published(models["scored"]).collect()}
     assert "back" in kept and "o3" not in kept
     assert len(kept & {"noname", "noname2"}) == 1
-    direct = published_postings(models["listings"], models["details"], models["board"], models["verdicts"])
+    direct = published_postings(models["listings"], models["details"], models["board"], models["located"])
     assert rows(direct, "posting_id") == rows(published(models["scored"]), "posting_id")
 
 
+def test_stored_verdicts_join_on_both_keys(models):
+    joined = with_verdicts(models["board"], models["verdicts"])
+    assert joined.count() == len(OFFERS)
+    assert rows(joined.select(*models["located"].columns), "posting_id", "run_date") == rows(
+        models["located"], "posting_id", "run_date"
+    )
+
+
 def test_places(models):
     found = by_id(models["verdicts"], "resolved_country", "resolved_city", "resolved_region")
     assert found["o1", D3] == ("DEUTSCHLAND", "Frankfurt am Main", "Hessen")
