@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 
 from jobtide.params import LanguageRules, Params, ScopeRules, SourceTags
 from jobtide.plans import marts
-from jobtide.plans.places import gazetteer, locate
+from jobtide.plans.model_checks import check_build, require_clean
+from jobtide.plans.places import gazetteer, locate, verdict_table
 from jobtide.plans.postings import published, scored_postings
 from jobtide.plans.staging import flatten_board, flatten_details, flatten_listings, flatten_runs
-from jobtide.session import settle
 
 
 def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -23,27 +23,21 @@ def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def score(
     staged: dict[str, DataFrame],
-    aliases: DataFrame,
+    located: DataFrame,
     rules: ScopeRules = ScopeRules(),
     language: LanguageRules = LanguageRules(),
     tags: SourceTags = SourceTags(),
     params: Params = Params(),
 ) -> DataFrame:
-    # The gazetteer is small and looked into at several points of the resolution.
-    places = settle(gazetteer(staged["listings"], aliases, params.min_place_chars, rules.home_country))
-    located = locate(staged["board"], places, home_country=rules.home_country)
     return scored_postings(
         staged["listings"], staged["details"], staged["board"], located, rules, language, tags, params
     )
 
 
 def publish(
-    scored: DataFrame, runs: DataFrame, skills: DataFrame, params: Params = Params(), grouped: bool = True
+    scored: DataFrame, postings: DataFrame, runs: DataFrame, mentioned: DataFrame, params: Params = Params()
 ) -> dict[str, DataFrame]:
-    """The five published tables from scored rows that have been written once."""
-    postings = published(scored)
-    # Two tables are made from the mentions; the texts are searched once.
-    mentioned = settle(marts.mentions(postings, skills, params, grouped))
+    """The five published tables from models that have been written once."""
     return {
         "mart_skill_frequency": marts.skill_frequency(postings, mentioned, params),
         "mart_language_requirement": marts.language_requirement(postings, params),
@@ -66,9 +60,26 @@ def daily_build(
     aliases: DataFrame,
     warehouse: str,
     params: Params = Params(),
+    grouped: bool = True,
 ) -> dict[str, DataFrame]:
-    """Build everything from the raw tables, writing the scored rows and the published tables."""
+    """Build all models from the raw tables, write them, and check them before handing them out."""
     staged = stage(raw)
-    scored = materialise(score(staged, aliases, params=params), f"{warehouse}/intermediate/postings_scored")
-    tables = publish(scored, staged["runs"], skills, params)
-    return {name: materialise(df, f"{warehouse}/marts/{name}") for name, df in tables.items()}
+    models = f"{warehouse}/intermediate"
+    places = materialise(gazetteer(staged["listings"], aliases, params.min_place_chars), f"{models}/places")
+    located = locate(staged["board"], places)
+    verdicts = materialise(verdict_table(located), f"{models}/verdicts")
+    scored = materialise(score(staged, located, params=params), f"{models}/scored")
+    # Few of the scored rows are published; the tables read those and not the texts of the rest.
+    postings = materialise(published(scored), f"{models}/published")
+    mentioned = materialise(marts.mentions(postings, skills, params, grouped), f"{models}/mentions")
+    tables = {
+        name: materialise(df, f"{warehouse}/marts/{name}")
+        for name, df in publish(scored, postings, staged["runs"], mentioned, params).items()
+    }
+    inputs = {name: raw[name] for name in ("listings", "details", "board")}
+    checked = {
+        **inputs, "skills": skills, "aliases": aliases, "places": places, "verdicts": verdicts,
+        "published": postings, "mentions": mentioned, **tables,
+    }
+    require_clean(check_build(checked))
+    return tables

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as fixed
 from jobtide.functions.numbers import days_between, share
 from jobtide.functions.text import stage_label
-from jobtide.operators.aggregates import scale_to_leader
+from jobtide.operators.aggregates import merge_groups, scale_to_leader
 from jobtide.params import Params
 
 
@@ -60,7 +60,7 @@ def lead_ratio(frequency: DataFrame, keys: list[str] = fixed.CLOUD_SKILLS) -> Da
 def headline(
     language: DataFrame, frequency: DataFrame, postings: DataFrame, keys: list[str] = fixed.CLOUD_SKILLS
 ) -> DataFrame:
-    """One row of headline figures. Each input is a single row, joined by that fact."""
+    """One row of headline figures, put together from three single rows."""
     figures = overall(language).select(
         F.col("postings").alias("with_text"),
         "pct_requires_german",
@@ -69,12 +69,7 @@ def headline(
             neither(F.col("postings"), F.col("requires_german"), F.col("english_without_german")), F.col("postings")
         ).alias("pct_neither"),
     )
-    one = F.lit(1).alias("one")
-    parts = [figures, profile(postings), lead_ratio(frequency, keys)]
-    joined = parts[0].select(one, "*")
-    for part in parts[1:]:
-        joined = joined.join(part.select(one, "*"), "one")
-    return joined.drop("one")
+    return merge_groups([], figures, profile(postings), lead_ratio(frequency, keys))
 
 
 def kpis(language: DataFrame, frequency: DataFrame, cities: DataFrame) -> DataFrame:

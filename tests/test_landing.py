@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from jobtide.plans.daily import daily_build
+from jobtide.plans.model_checks import require_clean
 from jobtide.plans.staging import flatten_runs
 from jobtide.sources import landing, seeds
 from jobtide.sources.tables import RawTable, prune, read_table, replace_run, stamped, upsert
@@ -174,3 +175,10 @@ def test_daily_build_from_files(spark, tmp_path):
     assert tables["mart_skill_frequency"].count() == 15
     assert stamped(raw["board"]).columns[-1] == "loaded_at"
     assert rows(tables["mart_language_requirement"])[0]["postings"] == 7
+
+
+def test_violations_stop_a_build(spark):
+    clean = spark.createDataFrame([("not_null", "t", "c", 0)], "check string, table_name string, column_name string, violations long")
+    require_clean(clean)
+    with pytest.raises(ValueError, match="not_null on t.c: 2"):
+        require_clean(clean.withColumn("violations", F.lit(2)))

@@ -153,7 +153,8 @@ def test_language_rows(models):
 
 def test_empty_inputs_still_give_the_overall_row(spark, models):
     none = models["scored"].limit(0)
-    tables = publish(none, models["runs"].limit(0), seeds.skills(spark))
+    mentioned = marts.mentions(published(none), seeds.skills(spark))
+    tables = publish(none, published(none), models["runs"].limit(0), mentioned)
     assert [tuple(r) for r in tables["mart_language_requirement"].collect()] == [("ALL", 0, 0, 0, 0, None, None)]
     assert tables["mart_skill_frequency"].isEmpty() and tables["mart_city_stats"].isEmpty()
     assert tables["mart_salary_by_skill"].isEmpty()
@@ -163,7 +164,8 @@ def test_empty_inputs_still_give_the_overall_row(spark, models):
 
 def test_snapshots_and_history(spark, models, tmp_path):
     root = str(tmp_path / "snapshots")
-    tables = publish(models["scored"], models["runs"], seeds.skills(spark))
+    mentioned = marts.mentions(published(models["scored"]), seeds.skills(spark))
+    tables = publish(models["scored"], published(models["scored"]), models["runs"], mentioned)
     for day in ("2026-09-11", "2026-09-12"):
         snapshots.export_snapshot(tables, root, day)
     empty = tables | {"mart_salary_by_skill": tables["mart_salary_by_skill"].limit(0)}
