@@ -24,10 +24,6 @@ def _events(spark, sf):
     return table(spark, sf, "events").withColumn("run_date", F.col("ts").cast("date"))
 
 
-def _json_list(*fields):
-    return F.collect_list(F.struct(*fields))
-
-
 @registry.add("land_pages_conversations", """
 select 'c' || conv_id || '/' || (turn // 2) as source_id, role as search_term, md5(text) as digest, conv_id as file_no
 from conversations where role <> 'system'
@@ -60,13 +56,15 @@ select 'u' || user_id as source_id, {DAY} as run_date, event_id, value from even
 where json_extract_string(props, '$.k') <> '0'
 qualify row_number() over (partition by user_id, {DAY} order by event_id desc) = 1""")
 def land_board_events(spark, sf):
-    """A day's page per user; entries whose slug is empty are skipped."""
+    """A page per event, with a second entry whose slug is empty; empty slugs are skipped."""
     k = json_text(F.col("props"), "k")
     slug = F.when(k == "0", "").otherwise(F.concat(F.lit("u"), F.col("user_id")))
-    pages = _events(spark, sf).groupBy("user_id", "run_date").agg(
-        F.to_json(F.struct(F.array_sort(_json_list("event_id", slug.alias("slug"), "value")).alias("data"))).alias("document")
+    entry = F.struct("event_id", slug.alias("slug"), "value")
+    nameless = F.struct("event_id", F.lit("").alias("slug"), "value")
+    files = _events(spark, sf).select(
+        "run_date", F.lpad(F.col("event_id").cast("string"), 19, "0").alias("file"),
+        F.to_json(F.struct(F.array(entry, nameless).alias("data"))).alias("document"),
     )
-    files = pages.select("run_date", F.col("user_id").cast("string").alias("file"), "document")
     payload = F.col("payload")
     return collapse(plain_rows(files)).select(
         "source_id", "run_date", json_text(payload, "event_id").cast("bigint").alias("event_id"),

@@ -207,25 +207,19 @@ def json_text_events(spark, sf):
 
 
 @registry.add("json_array_len_conv", """
-with doc as (
-  select conv_id, to_json({'turns': list({'role': role, 'at': turn} order by turn)}) as body
-  from conversations group by conv_id
-)
-select conv_id, cast(json_array_length(body, '$.turns') as integer) as turns,
-       json_extract_string(body, '$.turns[0].role') as first_role,
-       json_array_length(body, '$.absent') as absent
-from doc""")
+select conv_id, turn, cast(turn as integer) as turns, case when turn > 1 then role end as second_role,
+       cast(null as integer) as absent
+from conversations""")
 def json_array_len_conv(spark, sf):
-    turns = F.transform(
-        F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda t: F.struct(t["role"].alias("role"), t["turn"].alias("at"))
-    )
-    docs = table(spark, sf, "conversations").groupBy("conv_id").agg(
-        F.to_json(F.struct(turns.alias("turns"))).alias("body")
+    """A document per turn whose array has as many entries as the turn's number."""
+    entries = F.array_repeat(F.struct("role", F.col("turn").alias("at")), F.col("turn").cast("int"))
+    docs = table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.to_json(F.struct(entries.alias("turns"))).alias("body")
     )
     body = F.col("body")
     return docs.select(
-        "conv_id", json_array_size(body, "turns").alias("turns"),
-        json_text(body, ["turns", 0, "role"]).alias("first_role"), json_array_size(body, "absent").alias("absent"),
+        "conv_id", "turn", json_array_size(body, "turns").alias("turns"),
+        json_text(body, ["turns", 1, "role"]).alias("second_role"), json_array_size(body, "absent").alias("absent"),
     )
 
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtide.session import settle
 from jobtide.sources.schemas import RAW_TABLES
 
 
@@ -66,25 +67,30 @@ def merge_rows(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame
 def upsert(table: RawTable, rows: DataFrame, staging: str) -> None:
     """Insert rows, one per key, or overwrite those with the same key; only their runs are touched.
 
-    The merged runs go to a staging folder first, because a table cannot be overwritten while the
-    same plan reads it; the second write then replaces whole partitions. With no rows, nothing
-    is touched. A repeat after an interruption starts from the unchanged or the finished table.
+    The new rows are written once and read from there. Where the table has other rows in their runs,
+    the merged runs go to a staging folder first, because a table cannot be overwritten while the
+    same plan reads it. The last step replaces whole partitions. A repeat after an interruption
+    starts from the unchanged or the finished table.
     """
     spark = rows.sparkSession
-    new = stamped(rows)
+    new = settle(stamped(rows))
+    if new.isEmpty():
+        return
     touched = new.select(*table.partitions).distinct()
-    kept = read_table(spark, table).join(touched, table.partitions, "left_semi")
-    merged = merge_rows(kept.select(*new.columns), new, table.keys)
-    balanced = merged.hint("rebalance", *table.partitions)
-    balanced.write.mode("overwrite").partitionBy(*table.partitions).parquet(staging)
-    staged = spark.read.schema(table.schema).parquet(staging)
-    if not staged.isEmpty():
-        _write_partitions(table, staged)
+    target = read_table(spark, table).select(*new.columns).join(touched, table.partitions, "left_semi")
+    if target.isEmpty():
+        _write_partitions(table, new)
+        return
+    merged = merge_rows(target, new, table.keys)
+    merged.write.mode("overwrite").partitionBy(*table.partitions).parquet(staging)
+    _write_partitions(table, spark.read.schema(table.schema).parquet(staging))
 
 
 def _write_partitions(table: RawTable, rows: DataFrame) -> None:
+    # Few, even files per run, however many tasks the rows come from.
+    balanced = rows.hint("rebalance", *table.partitions)
     (
-        rows.write.mode("overwrite")
+        balanced.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*table.partitions)
         .parquet(table.path)
