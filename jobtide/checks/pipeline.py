@@ -70,7 +70,7 @@ select o.posting_id, o.run_date, o.title, v.raw_location, v.resolved_country, v.
 from offer o left join verdict v on v.posting_id = o.posting_id and v.run_date = o.run_date"""))
 def board_with_verdicts(spark, sf):
     world = w.World(spark, sf)
-    return with_verdicts(world.board, settle(world.verdicts())).select(
+    return with_verdicts(world.narrow_board, settle(world.verdicts())).select(
         "posting_id", "run_date", "title", "raw_location", "resolved_country", "resolved_city"
     )
 
@@ -320,7 +320,7 @@ def dashboard_salary_ranking(spark, sf):
 
 
 def _board_texts(world):
-    return world.board.select(fold_german(F.coalesce("city", F.lit(""))).alias("loc_norm")).distinct()
+    return world.narrow_board.select(fold_german(F.coalesce("city", F.lit(""))).alias("loc_norm")).distinct()
 
 
 @registry.add("place_matches_events", w.with_sql(w.EVENTS_SQL, w.PLACES_SQL, w.VERDICTS_SQL, select="""

@@ -21,6 +21,10 @@ def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def without_text(board: DataFrame) -> DataFrame:
+    return board.drop("description", "url")
+
+
 def score(
     staged: dict[str, DataFrame],
     located: DataFrame,
@@ -65,8 +69,11 @@ def daily_build(
     """Build all models from the raw tables, write them, and check them before handing them out."""
     staged = stage(raw)
     models = f"{warehouse}/intermediate"
+    # Payloads are parsed once for everything but the texts, which are read at the very end.
+    staged["listings"] = materialise(staged["listings"], f"{models}/listings")
+    narrow_board = materialise(without_text(staged["board"]), f"{models}/board")
     places = materialise(gazetteer(staged["listings"], aliases, params.min_place_chars), f"{models}/places")
-    located = locate(staged["board"], places)
+    located = locate(narrow_board, places)
     verdicts = materialise(verdict_table(located), f"{models}/verdicts")
     scored = materialise(score(staged, located, params=params), f"{models}/scored")
     # Few of the scored rows are published; the tables read those and not the texts of the rest.
