@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
 WORD_START = rf"(?<!{WORD})"
 WORD_END = rf"(?!{WORD})"
+ACCENT_IN_CLASS = re.compile(r"\[[^\]]*[^\x00-\x7f][^\]]*\]")
 
 
 def fold_german(text: Column) -> Column:
@@ -19,8 +22,21 @@ def fold_german(text: Column) -> Column:
 
 
 def ignore_case(pattern: str) -> str:
-    """Case-insensitive form; Java folds beyond ASCII only when told to."""
-    return ("(?i)" if pattern.isascii() else "(?iu)") + pattern
+    """Case-insensitive form of a pattern.
+
+    Java folds ASCII cheaply and everything else at a high price, so letters beyond ASCII are spelled
+    out in both cases instead, unless they stand in a character class already.
+    """
+    if ACCENT_IN_CLASS.search(pattern):
+        return "(?iu)" + pattern
+    return "(?i)" + "".join(_both_cases(c) for c in pattern)
+
+
+def _both_cases(letter: str) -> str:
+    other = letter.swapcase()
+    if letter.isascii() or len(other) != 1 or other == letter:
+        return letter
+    return f"[{letter}{other}]"
 
 
 def finds(text: Column, pattern: str) -> Column:

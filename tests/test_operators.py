@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobtide.functions.numbers import epoch_date, half_even_int, half_up_int
-from jobtide.functions.text import fold_german, in_context
+from jobtide.functions.text import finds_ignoring_case, fold_german, in_context
 from jobtide.operators.aggregates import exact_medians, joined_distinct
 from jobtide.operators.dictionary import dictionary_match
 from jobtide.operators.flags import in_scope
@@ -120,6 +120,15 @@ def test_rounding_folding_dates(spark):
     assert str(row["d"]) == "2026-09-09" and str(row["before"]) == "1969-12-31"
 
 
+@pytest.mark.parametrize("text,pattern,expected", [
+    ("ÜBER uns", "über", True), ("uber", "über", False), ("FLIESSEND", "fließend", False), ("Fließend", "FLIEßEND", True),
+    ("ÉTÉ", "[é]t[é]", True), ("straße", "STRAßE", True), ("Kelvin", "kelvin", True),
+])
+def test_ignoring_case(spark, text, pattern, expected):
+    found = spark.createDataFrame([(text,)], "t string").select(finds_ignoring_case(F.col("t"), pattern)).first()[0]
+    assert found is expected
+
+
 def test_context_spans_line_breaks(spark):
     text = "x" * 60 + " first\nSQL\nhere " + "y" * 60
     got = spark.createDataFrame([(text,)], "t string").select(in_context(F.col("t"), "sql")).first()[0]
