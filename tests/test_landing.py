@@ -10,7 +10,7 @@ from conftest import rows
 from jobtide.plans.daily import daily_build
 from jobtide.plans.model_checks import require_clean
 from jobtide.plans.staging import flatten_runs
-from jobtide.sources import landing, seeds
+from jobtide.sources import landing, seeds, tables
 from jobtide.sources.tables import RawTable, prune, read_table, replace_run, stamped, upsert
 from jobtide.streaming.incremental import land_new_files
 from sample_runs import DAY, DETAILS, LISTINGS, OFFERS
@@ -127,6 +127,24 @@ def test_upsert_replay_replace_and_prune(spark, tmp_path):
     assert content(spark, table) == [("n", "2026-09-30", "4")]
 
 
+def test_interrupted_upsert_can_be_repeated(spark, tmp_path, monkeypatch):
+    table, staging = RawTable.at(str(tmp_path / "raw"), "board"), str(tmp_path / "staging")
+    upsert(table, board_rows(spark, ("a", "2026-09-01", "1"), ("b", "2026-09-01", "1")), staging)
+    before = content(spark, table)
+    newer = board_rows(spark, ("b", "2026-09-01", "2"), ("c", "2026-09-02", "2"))
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_write_partitions", lost)
+        with pytest.raises(RuntimeError):
+            upsert(table, newer, staging)
+    assert content(spark, table) == before
+    upsert(table, newer, staging)
+    assert content(spark, table) == [("a", "2026-09-01", "1"), ("b", "2026-09-01", "2"), ("c", "2026-09-02", "2")]
+
+
 def test_runs_table_is_replaced_per_source(spark, tmp_path):
     table = RawTable.at(str(tmp_path / "raw"), "runs")
     frame = spark.createDataFrame([("x", "2026-09-01", "{}"), ("y", "2026-09-01", "{}")], "source string, run_date string, manifest string")

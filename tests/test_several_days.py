@@ -208,3 +208,18 @@ def test_seed_columns_stay_text(spark, tmp_path):
     assert dict(seed.dtypes) == {"alias": "string", "city": "string", "note": "string"}
     assert tuple(seed.first()) == ("007", "Köln", None)
     assert local_frame(spark, [], "a string").isEmpty()
+
+
+def test_one_text_and_title_on_most_rows(spark):
+    """Most rows share employer, title and an empty location; ranks and published rows stay the same."""
+    hot = [(f"h{i:03d}", D3, listing("Data Engineer", None, BERLIN)) for i in range(60)]
+    cold = [(f"c{i:03d}", D3, listing(f"Data Engineer {i}", "Z", BERLIN)) for i in range(10)]
+    offers = [(f"o{i:03d}", D3, offer("Data Engineer", None, None, False)) for i in range(40)]
+    plain = build(spark, hot + cold, [], offers, [])
+    spread = build(spark, hot + cold, [], offers, [], params=Params(hot_rows=20))
+    columns = ["posting_id", "source", "run_rank", "still_advertised", "dedup_rank"]
+    ranks = rows(plain["scored"].select(*columns), "posting_id")
+    assert rows(spread["scored"].select(*columns), "posting_id") == ranks
+    assert sorted(r["dedup_rank"] for r in ranks if r["posting_id"].startswith("h")) == list(range(1, 61))
+    kept = published_postings(plain["listings"], plain["details"], plain["board"], plain["located"])
+    assert {r["posting_id"] for r in kept.collect()} == {"h000"} | {f"c{i:03d}" for i in range(10)}
