@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from jobtide.checks import world as w
 from jobtide.checks.base import Registry, table
 from jobtide.functions.json import json_array_size, json_text
-from jobtide.functions.numbers import blank_to_null
+from jobtide.functions.numbers import blank_to_null, share
 from jobtide.functions.text import finds_word, fold_german, has_text
 from jobtide.operators.aggregates import by_group_and_all, count_where
 from jobtide.operators.dictionary import dictionary_match
@@ -169,8 +169,6 @@ with c as (
 )
 select *, round(100.0::double * licensed / nullif(postings, 0), 1) as pct_licensed from r""")
 def share_with_all_row(spark, sf):
-    from jobtide.functions.numbers import share
-
     texts = table(spark, sf, "documents").filter(has_text(F.col("text"), 200))
     counts = {"postings": F.count("*"), "licensed": count_where(F.col("text").rlike("(?i)license"))}
     rows = by_group_and_all(texts, "lang", counts, "postings", 150, "population")
