@@ -17,12 +17,16 @@ rows. Further columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,36 +41,84 @@ class PackRules:
     end_id: int = 2
     attention: float = 1 / 2048
     bucket_docs: int = 512
-    cached_words: int = 600_000
+    cached_words: int = 1_000_000
 
 
 class Words:
-    """Ids of texts, word by word; words met before are remembered up to a number of entries."""
+    """Ids of texts, word by word; words met before are remembered up to a number of entries.
+
+    Words of printable ASCII, if the vocabulary only normalises to NFC and lower case and parts words by one pattern, are
+    lower-cased and parted here and go straight to its merges; any other word goes through the whole tokenizer.
+    """
 
     def __init__(self, rules: PackRules):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(rules.vocabulary)
-        self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.end = np.array([rules.end_id], dtype=self.width).tobytes()
+        self.model = self.tokenizer.model
+        wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.width, self.code = np.dtype("<u4" if wide else "<u2"), "I" if wide else "H"
+        self.end = self.packed([rules.end_id])
         self.most = rules.cached_words
         self.ids: dict[bytes, bytes] = {}
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        if len(self.ids) > self.most:
-            self.ids.clear()
-        new = list({w for words in texts for w in words if w not in self.ids})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.ids.update((w, np.array(e.ids, dtype=self.width).tobytes()) for w, e in zip(part, found))
+        self.pattern = self._pattern()
+        #: A run of letters is one piece, if the pattern says so.
+        self.letters = self.pattern is not None and "[\\p{L}]+" in self.pattern.pattern.split("|")
+        added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.special = re.compile(added).search if added else lambda text: None
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _pattern(self):
+        """What parts words into pieces, or None if the vocabulary does more than that."""
+        said = json.loads(self.tokenizer.to_str())
+        steps = (said.get("normalizer") or {}).get("normalizers", [])
+        parts = (said.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        plain = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": "\\s+"} and steps[1]["content"] == " "
+        if not plain or [p["type"] for p in parts] != ["Split", "ByteLevel"]:
+            return None
+        split, level = parts
+        if split["behavior"] != "Removed" or not split["invert"] or level["add_prefix_space"] or level["use_regex"]:
+            return None
+        return regex.compile(split["pattern"]["Regex"]) if "Regex" in split["pattern"] else None
+
+    def learn(self, words: set[bytes]) -> None:
+        other, pieces = [], {}
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            if self.pattern is None or not text.isascii() or not text.isprintable() or self.special(text):
+                other.append(text)
+                continue
+            text = text.lower()
+            parts = [text] if self.letters and text.isalpha() else self.pattern.findall(text)
+            for piece in parts:
+                if piece not in pieces:
+                    pieces[piece] = self.packed([t.id for t in self.model.tokenize(piece)])
+            self.ids[w] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
+        for at in range(0, len(other), 20_000):
+            part = other[at : at + 20_000]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.ids.update((w.encode("utf-8", "replace"), self.packed(e.ids)) for w, e in zip(part, found))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        self.learn(split)
-        ids = self.ids
-        return [b"".join([ids[w] for w in words]) + self.end for words in split]
+        if len(self.ids) > self.most:
+            self.ids.clear()
+        out, late, new = [], [], set()
+        for at, words in enumerate(split):
+            ids = list(map(self.ids.get, words))
+            try:
+                out.append(b"".join(ids) + self.end)
+            except TypeError:  # a word has no ids yet
+                new.update([w for w, i in zip(words, ids) if i is None])
+                out.append(b"")
+                late.append(at)
+        self.learn(new)
+        for at in late:
+            out[at] = b"".join(map(self.ids.__getitem__, split[at])) + self.end
+        return out
 
 
 _WORDS: dict[PackRules, Words] = {}
