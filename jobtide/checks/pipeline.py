@@ -148,6 +148,28 @@ def funnel_tail_matches(spark, sf):
     return tail_mismatch(funnel_events(spark, sf), skill_frequency_events(spark, sf))
 
 
+@registry.add("funnel_growth_found", w.with_sql(*w.TO_SCORED, w.FUNNEL_SQL, select="""
+select stage_order, previous_stage, previous_records, stage, records from (
+  select stage_order, stage, grown as records, lag(stage) over (order by stage_order) as previous_stage,
+         lag(grown) over (order by stage_order) as previous_records
+  from (select *, case when stage_order in (4, 7) then records + 1000000 else records end as grown from funnel))
+where records > previous_records"""))
+def funnel_growth_found(spark, sf):
+    """The rule on a funnel in which two stages have grown."""
+    grown = F.when(F.col("stage_order").isin(4, 7), F.col("records") + 1000000).otherwise(F.col("records"))
+    return growing_stages(funnel_events(spark, sf).withColumn("records", grown))
+
+
+@registry.add("funnel_tail_mismatch_found", w.with_sql(*w.TO_MENTIONS, w.FREQUENCY_SQL, w.FUNNEL_SQL, select="""
+select f.records as funnel_tail, p.postings_with_text as published_denominator
+from (select records + 1 as records from funnel where stage_order = 8) f
+full join (select distinct postings_with_text from frequency) p on p.postings_with_text = f.records"""))
+def funnel_tail_mismatch_found(spark, sf):
+    """The rule on a funnel whose last stage is one off."""
+    off = funnel_events(spark, sf).withColumn("records", F.col("records") + 1)
+    return tail_mismatch(off, skill_frequency_events(spark, sf))
+
+
 SCOPE_SQL = """
 scope as (
   select posting_id, source, run_date, title, employer, city, lower(coalesce(employer, '')) as ek, lower(title) as tk

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from jobtide.checks.base import Registry, table
-from jobtide.functions.json import first_present, json_text
+from jobtide.functions.json import first_present, json_text, truthy_text
 from jobtide.functions.numbers import days_between, epoch_date, half_even_int, half_up_int, is_fresh
-from jobtide.functions.text import first_truthy
+from jobtide.functions.text import first_filled
 from jobtide.operators.ranking import last_wins, number_rows, number_small_groups, top_per_key
 from jobtide.operators.tables import latest_per_day, missing_dates, not_present, seeded_sample
 from jobtide.plans import reporting
@@ -112,6 +112,42 @@ def load_manifests_events(spark, sf):
     )
 
 
+@registry.add("load_manifests_odd_counts", f"""
+with c as (
+  select event_type as source, {DAY} as run_date, count(*) as rows_read,
+         count(*) - count(distinct user_id) as duplicates_collapsed
+  from events group by all
+)
+select source, run_date, cast(rows_read as varchar) as rows_read,
+       cast(duplicates_collapsed as varchar) as duplicates_collapsed, '9' as nested, 'by ' || source as written_by
+from c""")
+def load_manifests_odd_counts(spark, sf):
+    """Counts that were texts, fractions, nulls, lists or objects before; a nested member of the name stays."""
+    counts = run_accounting_events(spark, sf)
+    before = F.element_at(F.array(*[F.lit(v) for v in ('"3"', "3.5", "null", "[1, 2]", '{"rows_read": 1}')]), F.day("run_date") % 5 + 1)
+    written = F.format_string('{"rows_read": %s, "per_term": {"rows_read": 9}, "written_by": "by %s"}', before, F.col("source"))
+    merged = load_manifests(counts.select("source", "run_date", written.alias("document")), counts)
+    manifest = F.col("manifest")
+    return merged.select(
+        "source", "run_date", json_text(manifest, ["per_term", "rows_read"]).alias("nested"),
+        *[json_text(manifest, f).alias(f) for f in ("rows_read", "duplicates_collapsed", "written_by")],
+    )
+
+
+@registry.add("truthy_ids_events", """
+select event_id, case k % 6 when 1 then '0' when 5 then 'x' || k else 'b' || k end as id
+from (select event_id, cast(json_extract_string(props, '$.k') as integer) as k from events)""")
+def truthy_ids_events(spark, sf):
+    """A first id that is the number 0, the text "0", false, an empty list, an empty text, or filled."""
+    k = json_text(F.col("props"), "k").cast("int")
+    filled = F.concat(F.lit('"x'), k, F.lit('"'))
+    first = F.element_at(F.array(*[F.lit(v) for v in ("0", '"0"', "false", "[]", '""')], filled), k % 6 + 1)
+    payload = F.format_string('{"a": %s, "b": "b%d"}', first, k)
+    return table(spark, sf, "events").select(
+        "event_id", F.coalesce(truthy_text(payload, "a"), truthy_text(payload, "b")).alias("id")
+    )
+
+
 @registry.add("first_truthy_id", """
 select event_id, coalesce(nullif(case when k % 3 = 0 then '' when k % 3 = 1 then null else 'a' || k end, ''),
                           nullif(case when k % 2 = 0 then 'b' || k else '' end, ''), 'c' || k) as id
@@ -121,7 +157,7 @@ def first_truthy_id(spark, sf):
     first = F.when(k % 3 == 0, "").when(k % 3 == 2, F.concat(F.lit("a"), k))
     second = F.when(k % 2 == 0, F.concat(F.lit("b"), k)).otherwise("")
     third = F.concat(F.lit("c"), k)
-    return table(spark, sf, "events").select("event_id", first_truthy(first, second, third).alias("id"))
+    return table(spark, sf, "events").select("event_id", first_filled(first, second, third).alias("id"))
 
 
 @registry.add("first_present_key", """

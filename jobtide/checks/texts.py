@@ -50,20 +50,54 @@ def word_match_dictionary_ungrouped(spark, sf):
     return marts.mentions(_documents(spark, sf), w.words(spark), grouped=False)
 
 
-PLAIN_KEYS = [k for k, _, _, _ in w.WORDS if k != "ring"]
-PLAIN_SQL = _found_sql("select posting_id, skill_key, pattern from mention", minimum=-1, keys=PLAIN_KEYS)
-
-
-@registry.add("word_match_by_phrases", PLAIN_SQL)
+@registry.add("word_match_by_phrases", _found_sql("select posting_id, skill_key, pattern from mention", minimum=-1))
 def word_match_by_phrases(spark, sf):
-    """The form for dictionaries too long to inline: an equi-join on word sequences."""
-    plain = [(k, p) for k, _, _, p in w.WORDS if k in PLAIN_KEYS]
-    dictionary = local_frame(spark, plain, "skill_key string, pattern string")
+    """The whole dictionary over all texts, short ones too, with the pattern that was found."""
+    dictionary = local_frame(spark, [(k, p) for k, _, _, p in w.WORDS], "skill_key string, pattern string")
     texts = _documents(spark, sf).select("posting_id", "description")
-    ascii_only = dictionary.filter(F.col("pattern").rlike(r"^[\x00-\x7f]*$"))
-    found = dictionary_match(texts, "description", ascii_only, "skill_key", "pattern", max_literals=0)
-    accented = dictionary.filter(~F.col("pattern").rlike(r"^[\x00-\x7f]*$"))
-    return found.unionByName(dictionary_match(texts, "description", accented, "skill_key", "pattern"))
+    return dictionary_match(texts, "description", dictionary, "skill_key", "pattern")
+
+
+REPEATED = [("licence", "mit"), ("licence", "apache"), ("article", "der"), ("article", "the"), ("article", "the"), ("for", "für|for")]
+
+
+@registry.add("word_match_repeated_keys", rf"""
+with word(skill_key, pattern) as (values {", ".join(str(r) for r in REPEATED)})
+select doc_id, skill_key, pattern from documents
+join word on regexp_matches(text, '(^|[^\pL\pN_])(' || pattern || ')([^\pL\pN_]|$)', 'i')""")
+def word_match_repeated_keys(spark, sf):
+    dictionary = local_frame(spark, REPEATED, "skill_key string, pattern string")
+    texts = table(spark, sf, "documents").select("doc_id", "text")
+    return dictionary_match(texts, "text", dictionary, "skill_key", "pattern")
+
+
+LONG = 600
+ODD = [("odd1", "licen[cs]e"), ("odd2", "über|für"), ("odd3", "mit|apache")]
+
+
+@registry.add("word_match_long_dictionary", rf"""
+with spelled as (
+  select distinct doc_id, unnest(regexp_extract_all(lower(text), '[\pL\pN_]+')) as term from documents
+), term as (
+  select term from spelled where regexp_full_match(term, '[a-zäöü]{{3,}}') group by term order by count(*) desc, term limit {LONG}
+), odd(skill_key, pattern) as (values {", ".join(str(r) for r in ODD)})
+select doc_id, term as skill_key, term as pattern from spelled join term using (term)
+union all select doc_id, p_name, p_name
+from (select distinct p_name, lower(regexp_extract(p_name, '[\pL\pN_]+')) as term from part) join spelled using (term)
+join documents using (doc_id)
+where contains(lower(text), lower(p_name)) and regexp_matches(text, '(^|[^\pL\pN_])' || p_name || '([^\pL\pN_]|$)', 'i')
+union all select doc_id, skill_key, pattern from documents
+join odd on regexp_matches(text, '(^|[^\pL\pN_])' || pattern || '([^\pL\pN_]|$)', 'i')""")
+def word_match_long_dictionary(spark, sf):
+    """The most frequent words, all names of parts and a few other patterns, without grouping."""
+    texts = table(spark, sf, "documents").select("doc_id", "text")
+    spelled = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))).alias("term"))
+    counted = spelled.filter(F.col("term").rlike("^[a-zäöü]{3,}$")).groupBy("term").count()
+    terms = counted.orderBy(F.col("count").desc(), "term").limit(LONG).select("term")
+    terms = terms.unionByName(table(spark, sf, "part").select(F.col("p_name").alias("term")).distinct())
+    dictionary = terms.select(F.col("term").alias("skill_key"), F.col("term").alias("pattern"))
+    dictionary = dictionary.unionByName(local_frame(spark, ODD, "skill_key string, pattern string"))
+    return dictionary_match(texts, "text", dictionary, "skill_key", "pattern", grouped=False)
 
 
 @registry.add("skill_frequency_docs", _found_sql(FREQUENCY))

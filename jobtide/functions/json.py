@@ -18,6 +18,19 @@ def json_text(document: Column, path: Path) -> Column:
     return F.get_json_object(document, _expression(path))
 
 
+# How zero, false, an empty array and an empty object read once quotes are gone.
+EMPTY_VALUE = r"^(?:-?0+(?:\.0+)?(?:[eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$"
+
+
+def truthy_text(document: Column, name: str) -> Column:
+    """The member as text; null if it is missing or empty: "", 0, false, [] or {}, but not the text "0"."""
+    value = json_text(document, name)
+    # Only values that look empty are looked at again, with their type.
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(document), f"$.{name}", "variant"))
+    looks_empty = F.rlike(value, F.lit(EMPTY_VALUE))
+    return F.when(value == "", None).when(looks_empty, F.when(kind == "STRING", value)).otherwise(value)
+
+
 def json_array_size(document: Column, path: Path) -> Column:
     return F.json_array_length(json_text(document, path))
 

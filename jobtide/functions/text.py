@@ -29,10 +29,11 @@ def ignore_case(pattern: str) -> str:
     """
     if ACCENT_IN_CLASS.search(pattern):
         return "(?iu)" + pattern
-    return "(?i)" + "".join(_both_cases(c) for c in pattern)
+    return "(?i)" + "".join(both_cases(c) for c in pattern)
 
 
-def _both_cases(letter: str) -> str:
+def both_cases(letter: str) -> str:
+    """The letter as an expression, in both cases if it is beyond ASCII."""
     other = letter.swapcase()
     if letter.isascii() or len(other) != 1 or other == letter:
         return letter
@@ -73,7 +74,7 @@ def in_context(text: Column, pattern: str, chars: int = 45) -> Column:
     return F.replace(F.nullif(found, F.lit("")), F.lit("\n"), F.lit(" "))
 
 
-def first_truthy(*values: Column) -> Column:
+def first_filled(*values: Column) -> Column:
     """The first value that is neither null nor empty."""
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
 

@@ -2,23 +2,29 @@
 
 The dictionary is a seed that people read line by line, so its patterns are taken to the driver
 and become literals of one projection: each text is scanned where it lies, with no join and no
-shuffle. A dictionary of plain phrases too long for that goes through `phrase_join` instead.
+shuffle. All plain terms share one expression that branches by letter, so the cost of a text hardly
+depends on how many terms there are; any other pattern is an expression of its own.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from jobtide.functions.text import WORD_END, WORD_START, bounded, ignore_case
-from jobtide.operators.phrases import phrase_join
-from jobtide.operators.ranking import first_per_key
-from jobtide.session import spread
+from jobtide.functions.text import WORD_END, WORD_START, both_cases, bounded, ignore_case
+from jobtide.session import local_frame
 
-PLAIN_TERM = re.compile(r"[A-Za-z0-9_](?:[A-Za-z0-9_ \-/&#,:;]*[A-Za-z0-9_])?")
-MAX_LITERAL_PATTERNS = 500
+# Letters, with accents as far as each has one form per case, digits, and what parts words in a name.
+PLAIN_TERM = re.compile(r"[A-Za-z0-9_À-ſ](?:[A-Za-z0-9_À-ſ \-/&#,:;]*[A-Za-z0-9_À-ſ])?")
+
+
+def _one_form_per_case(letter: str) -> bool:
+    lower, upper = letter.lower(), letter.upper()
+    return len(lower) == len(upper) == 1 and lower.upper() == upper and upper.lower() == lower and lower != upper
 
 
 def _starts_with_word(longer: str, shorter: str) -> bool:
@@ -27,95 +33,94 @@ def _starts_with_word(longer: str, shorter: str) -> bool:
     return longer.startswith(shorter) and not re.match(r"\w", rest)
 
 
-def _plain_terms(pattern: str) -> list[str] | None:
+def _plain_terms(pattern: str, cased: bool) -> list[str] | None:
     terms = pattern.split("|")
-    return [t.lower() for t in terms] if all(PLAIN_TERM.fullmatch(t) for t in terms) else None
-
+    if not all(PLAIN_TERM.fullmatch(t) and all(c.isascii() or _one_form_per_case(c) for c in t) for t in terms):
+        return None
+    return terms if cased else [t.lower() for t in terms]
 
-def _keys_by_single_scan(text: Column, keys_of_term: dict[str, list[str]]) -> Column:
-    """Keys of all plain terms in the text, found in one pass.
 
-    The terms sit in a look-ahead, longest first, so every word start reports its longest term;
-    terms that are a beginning of that term are known beforehand and added from a literal map.
-    """
-    longest_first = sorted(keys_of_term, key=lambda t: (-len(t), t))
-    # Sorting the terms by first letter lets most word starts be passed over at a glance.
+def _alternation(terms: list[str], cased: bool) -> str:
+    """An expression for any of the terms, the longest where several fit, with common beginnings written once."""
+    spelled = (lambda c: re.escape(c)) if cased else (lambda c: re.escape(c) if c.isascii() else both_cases(c))
     by_letter: dict[str, list[str]] = {}
-    for term in longest_first:
-        by_letter.setdefault(re.escape(term[0]), []).append(re.escape(term[1:]))
-    terms = "|".join(f"{letter}(?:{'|'.join(rests)})" for letter, rests in by_letter.items())
-    scan = f"(?i)(?=[{''.join(by_letter)}]){WORD_START}(?=({terms}){WORD_END})"
+    for term in terms:
+        if term:
+            by_letter.setdefault(term[0], []).append(term[1:])
+    branches = [spelled(letter) + _alternation(rests, cased) for letter, rests in sorted(by_letter.items())]
+    if not branches:
+        return ""
+    if len(branches) == 1 and "" not in terms:
+        return branches[0]
+    return f"(?:{'|'.join(branches)}){'?' if '' in terms else ''}"
+
+
+def _rows_by_single_scan(text: Column, rows_of_term: dict[str, list[int]], cased: bool) -> Column:
+    """Dictionary rows of all plain terms in the text, found in one pass.
+
+    The terms sit in a look-ahead, so every word start reports its longest term; terms that are a
+    beginning of that term are known beforehand and added from a literal map.
+    """
+    flag = "" if cased else "(?i)"
+    first = "".join(sorted({c for term in rows_of_term for c in (term[0] if cased else term[0] + term[0].upper())}))
+    # Most positions are passed over by their letter alone.
+    scan = f"{flag}(?=[{first}]){WORD_START}(?=({_alternation(sorted(rows_of_term), cased)}){WORD_END})"
     hits = F.regexp_extract_all(text, F.lit(scan), F.lit(1))
-    entries: list[Column] = []
-    for term in longest_first:
-        implied = {k for t, ks in keys_of_term.items() if _starts_with_word(term, t) for k in ks}
-        entries += [F.lit(term), F.array(*[F.lit(k) for k in sorted(implied)])]
-    lookup = F.create_map(*entries)
-    distinct_hits = F.array_distinct(F.transform(hits, F.lower))
+    beginnings = lambda term: (term[:n] for n in range(1, len(term) + 1))
+    implied = {
+        term: sorted({r for t in beginnings(term) if t in rows_of_term and _starts_with_word(term, t) for r in rows_of_term[t]})
+        for term in rows_of_term
+    }
+    lookup = F.from_json(F.lit(json.dumps(implied)), "map<string,array<int>>")
+    distinct_hits = F.array_distinct(hits if cased else F.transform(hits, F.lower))
     return F.flatten(F.transform(distinct_hits, lambda h: F.element_at(lookup, h)))
 
 
-def _keys_by_pattern(text: Column, patterns: list[tuple[str, str]], cased: bool, grouped: bool) -> Column:
-    """Keys of the patterns found, testing one regular expression after the other."""
+def _rows_by_pattern(text: Column, patterns: list[tuple[int, str]], cased: bool, grouped: bool) -> Column:
+    """Dictionary rows of the patterns found, testing one regular expression after the other."""
     tests = []
-    for key, pattern in patterns:
+    for row, pattern in patterns:
         expression = bounded(pattern, grouped)
         found = text.rlike(expression if cased else ignore_case(expression))
-        tests.append(F.when(found, F.lit(key)))
+        tests.append(F.when(found, F.lit(row)))
     return F.array_compact(F.array(*tests))
 
 
-def matching_keys(text: Column, patterns: list[tuple[str, str]], cased: bool = False, grouped: bool = True) -> Column:
-    """Array of the keys whose pattern occurs in the text between word boundaries."""
-    single_scan: dict[str, list[str]] = {}
-    one_by_one: list[tuple[str, str]] = []
-    for key, pattern in patterns:
-        terms = _plain_terms(pattern)
-        if cased or terms is None or (not grouped and len(terms) > 1):
-            one_by_one.append((key, pattern))
+def matching_rows(text: Column, patterns: list[str], cased: bool = False, grouped: bool = True) -> Column:
+    """Array of the positions of the patterns that occur in the text between word boundaries."""
+    single_scan: dict[str, list[int]] = {}
+    one_by_one: list[tuple[int, str]] = []
+    for row, pattern in enumerate(patterns):
+        terms = _plain_terms(pattern, cased)
+        if terms is None or (not grouped and len(terms) > 1):
+            one_by_one.append((row, pattern))
             continue
         for term in terms:
-            single_scan.setdefault(term, []).append(key)
+            single_scan.setdefault(term, []).append(row)
     parts = []
     if single_scan:
-        parts.append(_keys_by_single_scan(text, single_scan))
+        parts.append(_rows_by_single_scan(text, single_scan, cased))
     if one_by_one:
-        parts.append(_keys_by_pattern(text, one_by_one, cased, grouped))
+        parts.append(_rows_by_pattern(text, one_by_one, cased, grouped))
     if not parts:
-        return F.array().cast("array<string>")
+        return F.array().cast("array<int>")
     return F.array_distinct(F.concat(*parts))
 
 
 def dictionary_match(
-    df: DataFrame,
-    text: str,
-    dictionary: DataFrame,
-    key: str,
-    pattern: str,
-    grouped: bool = True,
-    cased: bool = False,
-    max_literals: int = MAX_LITERAL_PATTERNS,
+    df: DataFrame, text: str, dictionary: DataFrame, key: str, pattern: str, grouped: bool = True, cased: bool = False
 ) -> DataFrame:
-    """One row per (row of df, dictionary row whose pattern occurs in it), without the text."""
-    patterns = [(r[0], r[1]) for r in dictionary.select(key, pattern).limit(max_literals + 1).collect()]
-    kept = [c for c in df.columns if c != text]
-    if len(patterns) > max_literals:
-        return _match_by_phrases(df, text, dictionary, pattern, kept, grouped, cased)
-    keys = matching_keys(F.col(text), patterns, cased, grouped)
-    found = spread(df).select(*kept, F.explode(keys).alias(key))
-    # At most max_literals rows, checked above.
-    return found.join(F.broadcast(dictionary), key).select(*kept, *dictionary.columns)
-
+    """One row per (row of df, dictionary row whose pattern occurs in it), without the text.
 
-def _match_by_phrases(
-    df: DataFrame, text: str, dictionary: DataFrame, pattern: str, kept: list[str], grouped: bool, cased: bool
-) -> DataFrame:
-    terms = dictionary.withColumn("__term", F.explode(F.split(pattern, r"\|")))
-    if not grouped or not terms.filter(~F.col("__term").rlike(f"^{PLAIN_TERM.pattern}$")).isEmpty():
-        raise ValueError("a dictionary this long has to consist of plain terms with whole-word bounds")
-    as_compared = (lambda c: c) if cased else F.lower
-    terms = terms.withColumn("__term", as_compared(F.col("__term")))
-    rows = spread(df).withColumn("__text", as_compared(F.col(text))).withColumn("__digest", F.sha2("__text", 256))
-    distinct = first_per_key(rows.select("__digest", "__text"), ["__digest"], [F.col("__digest").asc()])
-    pairs = phrase_join(distinct, "__text", terms, "__term", key="__digest").drop("__term").distinct()
-    return rows.select(*kept, "__digest").join(pairs, "__digest").select(*kept, *dictionary.columns)
+    A key may stand in several dictionary rows; only those whose pattern occurs are returned. A null
+    pattern occurs nowhere.
+    """
+    kept = [c for c in df.columns if c != text]
+    spark = dictionary.sparkSession
+    rows = [tuple(r) for r in dictionary.filter(F.col(pattern).isNotNull()).collect()]
+    at = dictionary.columns.index(pattern)
+    found = df.select(*kept, F.explode(matching_rows(F.col(text), [r[at] for r in rows], cased, grouped)).alias("__row"))
+    numbered = T.StructType([*dictionary.schema.fields, T.StructField("__row", T.IntegerType())])
+    # The rows have just been on the driver; the planner knows their size and picks the join.
+    by_row = local_frame(spark, [(*r, i) for i, r in enumerate(rows)], numbered)
+    return found.join(by_row, "__row").select(*kept, *dictionary.columns)

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as fixed
 from jobtide.functions.text import finds_ignoring_case, in_context
 from jobtide.operators.aggregates import count_where, joined_distinct
-from jobtide.operators.dictionary import dictionary_match, matching_keys
+from jobtide.operators.dictionary import dictionary_match
 from jobtide.operators.ranking import join_null_safe, top_per_key
 from jobtide.params import any_of
 from jobtide.plans.postings import dedup_keys, newest_details
-from jobtide.session import spread
 
 VACANCY = ["employer_key", "title_key"]
 NO_CITY = "?"
@@ -193,11 +192,10 @@ def keyword_in_context(
     Matches are sampled by id first; texts are fetched for the sample only, which holds at most
     keys * per_key rows.
     """
-    risky = [(r[0], r[1]) for r in skills.filter(F.col("skill_key").isin(*keys)).select("skill_key", "pattern").collect()]
+    chosen = skills.filter(F.col("skill_key").isin(*keys)).select("skill_key", "pattern")
+    risky = [(r[0], r[1]) for r in chosen.collect()]
     texts = postings.filter(F.col("description").isNotNull()).select("posting_id", "source", "description")
-    matched = spread(texts).select(
-        "posting_id", "source", F.explode(matching_keys(F.col("description"), risky)).alias("skill_key")
-    )
+    matched = dictionary_match(texts, "description", chosen, "skill_key", "pattern").drop("pattern")
     order = [F.col("posting_id").asc(), F.col("source").asc()]
     sampled = top_per_key(matched, ["skill_key"], order, per_key, rank="rn")
     found = texts.join(F.broadcast(sampled), ["posting_id", "source"])

@@ -79,8 +79,9 @@ def daily_build(
     # Few of the scored rows are published; the tables read those and not the texts of the rest.
     postings = materialise(published(scored), f"{models}/published")
     mentioned = materialise(marts.mentions(postings, skills, params, grouped), f"{models}/mentions")
+    # The tables stand aside until they are checked; a build that breaks a rule leaves the last good ones in place.
     tables = {
-        name: materialise(df, f"{warehouse}/marts/{name}")
+        name: materialise(df, f"{warehouse}/unchecked/{name}")
         for name, df in publish(scored, postings, staged["runs"], mentioned, params).items()
     }
     inputs = {name: raw[name] for name in ("listings", "details", "board")}
@@ -89,4 +90,4 @@ def daily_build(
         "published": postings, "mentions": mentioned, **tables,
     }
     require_clean(check_build(checked))
-    return tables
+    return {name: materialise(df, f"{warehouse}/marts/{name}") for name, df in tables.items()}

@@ -70,19 +70,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input too small to have a file split for each.
-
-    Meant ahead of costly work per row. An input of at least one split per core is left as it is, so
-    nothing large is ever shuffled for this.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
-
-
 def local_frame(spark: SparkSession, rows: list, schema: str | T.StructType) -> DataFrame:
     """A few rows as a local relation, whose size the planner knows."""
     kind = schema if isinstance(schema, T.StructType) else T.DataType.fromDDL(schema)

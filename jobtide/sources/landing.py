@@ -7,20 +7,21 @@ functions also serve JSON that is already in a table. `file` and `position` keep
 from __future__ import annotations
 
 import datetime
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as fixed
-from jobtide.functions.json import first_present, json_array_size, json_elements, json_text
-from jobtide.functions.text import first_truthy
+from jobtide.functions.json import first_present, json_array_size, json_elements, json_text, truthy_text
 from jobtide.operators.ranking import last_wins
 from jobtide.session import local_frame
 
 RUN_PATH = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/(?:details/)?[^/]+$"
 RUN_FILE = "source string, run_date date, file string, document string"
 MANIFEST_NAME = "_manifest.json"
-COUNT_FIELD = r'"(?:rows_read|duplicates_collapsed)"\s*:\s*(?:-?\d+|null)\s*,?'
+COUNTS = ("rows_read", "duplicates_collapsed")
+RUN_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
 def read_run_files(spark: SparkSession, raw: str, source: str, name: str, run_date: str | None = None) -> DataFrame:
@@ -43,9 +44,16 @@ def read_run_files(spark: SparkSession, raw: str, source: str, name: str, run_da
 
 
 def list_runs(spark: SparkSession, raw: str, run_date: str | None = None) -> DataFrame:
-    """Distinct (source, run_date) on disk, oldest first within a source."""
-    files = read_run_files(spark, raw, "*", "*.json", run_date)
-    return files.select("source", "run_date").distinct().orderBy("source", "run_date")
+    """Distinct (source, run_date) on disk, oldest first within a source.
+
+    A run is its folder, whatever lies in it; folders are listed and no file is read.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{raw}/*/{run_date or '*'}")
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s.getPath() for s in system.globStatus(pattern) or [] if s.isDirectory()]
+    named = [(f.getParent().getName(), f.getName()) for f in folders]
+    runs = sorted((source, datetime.date.fromisoformat(day)) for source, day in named if RUN_DAY.fullmatch(day))
+    return local_frame(spark, runs, "source string, run_date date")
 
 
 def read_manifests(spark: SparkSession, raw: str, run_date: str | None = None) -> DataFrame:
@@ -86,7 +94,7 @@ def enveloped_rows(documents: DataFrame) -> DataFrame:
         json_text(document, "search_term").alias("search_term"),
         F.posexplode(json_elements(array)).alias("position", "payload"),
     )
-    found = first_truthy(*[json_text(F.col("payload"), name) for name in fixed.ID_FIELDS])
+    found = F.coalesce(*[truthy_text(F.col("payload"), name) for name in fixed.ID_FIELDS])
     return elements.withColumn("source_id", found).filter(F.col("source_id").isNotNull())
 
 
@@ -96,7 +104,7 @@ def plain_rows(documents: DataFrame) -> DataFrame:
         *[c for c in documents.columns if c != "document"],
         F.posexplode(json_elements(json_text(F.col("document"), "data"))).alias("position", "payload"),
     )
-    return elements.withColumn("source_id", json_text(F.col("payload"), "slug")).filter(F.col("source_id") != "")
+    return elements.withColumn("source_id", truthy_text(F.col("payload"), "slug")).filter(F.col("source_id").isNotNull())
 
 
 def detail_rows(documents: DataFrame) -> DataFrame:
@@ -123,17 +131,18 @@ def run_accounting(rows: DataFrame) -> DataFrame:
 
 
 def load_manifests(manifests: DataFrame, accounting: DataFrame) -> DataFrame:
-    """Manifests with the loader's counts written over whatever they said before."""
+    """Manifests with the loader's counts written over whatever they said before.
+
+    Only top-level members of these names are replaced, of whatever type. A document that is missing
+    or no object counts as one without members.
+    """
     counted = manifests.join(accounting, ["source", "run_date"], "left")
-    others = F.regexp_replace("document", COUNT_FIELD, "")
-    others = F.regexp_replace(others, r"^\s*\{\s*,?|,?\s*\}\s*$", "")
-    counts = F.format_string(
-        '"rows_read": %d, "duplicates_collapsed": %d',
-        F.coalesce("rows_read", F.lit(0)),
-        F.coalesce("duplicates_collapsed", F.lit(0)),
-    )
-    fields = F.concat_ws(", ", F.nullif(F.trim(others), F.lit("")), counts)
-    return counted.select("source", "run_date", F.concat(F.lit("{"), fields, F.lit("}")).alias("manifest"))
+    members = "map<string,variant>"
+    said = F.coalesce(F.from_json("document", members), F.from_json(F.lit("{}"), members))
+    others = F.map_filter(said, lambda name, _: ~name.isin(*COUNTS))
+    count = lambda name: F.parse_json(F.coalesce(F.col(name), F.lit(0)).cast("string"))
+    counts = F.create_map(*[c for name in COUNTS for c in (F.lit(name), count(name))])
+    return counted.select("source", "run_date", F.to_json(F.map_concat(others, counts)).alias("manifest"))
 
 
 def truncated_terms(pages: DataFrame, max_pages: int) -> DataFrame:

@@ -8,8 +8,10 @@ table.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.session import settle
@@ -77,7 +79,7 @@ def upsert(table: RawTable, rows: DataFrame, staging: str) -> None:
     if new.isEmpty():
         return
     touched = new.select(*table.partitions).distinct()
-    target = read_table(spark, table).select(*new.columns).join(touched, table.partitions, "left_semi")
+    target = read_table(spark, table).select(*new.columns).filter(_only_runs(touched))
     if target.isEmpty():
         _write_partitions(table, new)
         return
@@ -86,6 +88,15 @@ def upsert(table: RawTable, rows: DataFrame, staging: str) -> None:
     _write_partitions(table, spark.read.schema(table.schema).parquet(staging))
 
 
+def _only_runs(runs: DataFrame) -> Column:
+    """The partitions of these runs as literals, so that no other folder is read.
+
+    A batch holds one run per source and day it brings.
+    """
+    conditions = [reduce(and_, [F.col(name).eqNullSafe(F.lit(run[name])) for name in runs.columns]) for run in runs.collect()]
+    return reduce(or_, conditions, F.lit(False))
+
+
 def _write_partitions(table: RawTable, rows: DataFrame) -> None:
     # Few, even files per run, however many tasks the rows come from.
     balanced = rows.hint("rebalance", *table.partitions)

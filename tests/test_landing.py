@@ -69,6 +69,11 @@ def test_board_details_runs(spark, raw):
         ("arbeitnow", "2026-09-12"), ("arbeitsagentur", "2026-09-11"), ("arbeitsagentur", "2026-09-12"),
     ]
     assert landing.read_run_files(spark, raw, "nobody", "page_*.json").isEmpty()
+    # A run is its folder, also with a manifest and nothing else; other folders are none.
+    write(f"{raw}/other/2026-09-13/_manifest.json", {})
+    write(f"{raw}/other/notes/page_0001.json", {})
+    assert [(r[0], str(r[1])) for r in landing.list_runs(spark, raw).collect()][-1] == ("other", "2026-09-13")
+    assert [r[0] for r in landing.list_runs(spark, raw, "2026-09-13").collect()] == ["other"]
 
 
 def test_manifest_carries_the_counts(spark, raw):
@@ -80,6 +85,9 @@ def test_manifest_carries_the_counts(spark, raw):
         "rows_read": 4, "duplicates_collapsed": 1,
     }
     assert tuple(flatten_runs(merged).first())[2:] == (4, 1, "stellenangebote")
+    for odd in ('{"rows_read": "3"}', '{"rows_read": 3.5}', '{"rows_read": {"x": 1}}', '{"rows_read": null}', "[1]", "{", None):
+        counted = landing.load_manifests(manifests.withColumn("document", F.lit(odd)), landing.run_accounting(read))
+        assert json.loads(counted.first()["manifest"]) == {"rows_read": 4, "duplicates_collapsed": 1}
     empty = manifests.withColumn("document", F.lit("{}"))
     assert json.loads(landing.load_manifests(empty, landing.run_accounting(read)).first()["manifest"])["rows_read"] == 4
 

@@ -73,14 +73,19 @@ def test_dictionary_equals_one_regex_per_pattern(spark, grouped):
 
 
 def test_long_dictionary_gives_the_same_matches(spark):
-    plain = [(k, p) for k, p in DICTIONARY if k not in ("cpp", "dot", "uber")]
-    t = spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string").filter("text is not null")
-    d = spark.createDataFrame(plain, "key string, pattern string")
-    pairs = lambda **o: {(r["id"], r["key"]) for r in dictionary_match(t, "text", d, "key", "pattern", **o).collect()}
-    assert pairs(max_literals=0) == pairs()
-    with pytest.raises(ValueError):
-        odd = spark.createDataFrame(DICTIONARY, "key string, pattern string")
-        dictionary_match(t, "text", odd, "key", "pattern", max_literals=0)
+    """More rows, also with accents, repeated keys and expressions, change nothing for the rows before."""
+    t = spark.createDataFrame([*enumerate(TEXTS), (90, "8\u212as K8s FÜR für alpha-beta gamma")], "id int, text string")
+    few = [*DICTIONARY, ("k", "k8s"), ("k", "absent"), ("fur", "für"), ("two", "alpha|alpha-beta"), ("gap", "beta")]
+    many = few + [(f"w{i}", f"word{i}|alphabet {i}") for i in range(700)]
+    pairs = lambda rows, **o: sorted(
+        tuple(r) for r in dictionary_match(t, "text", spark.createDataFrame(rows, "key string, pattern string"), "key", "pattern", **o).collect()
+    )
+    found = pairs(few)
+    assert pairs(many) == found
+    assert {(k, p) for i, k, p in found if i == 90} >= {("k", "k8s"), ("fur", "für"), ("two", "alpha|alpha-beta"), ("gap", "beta")}
+    assert not [p for _, _, p in found if p == "absent"]
+    assert {p for i, _, p in pairs(few, cased=True) if i == 90 and p in ("k8s", "für")} == {"für"}
+    assert pairs(many, grouped=False) == pairs(few, grouped=False)
 
 
 def test_numbering_of_oversized_groups(spark):
