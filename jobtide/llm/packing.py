@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 @dataclass(frozen=True)
 class PackRules:
     """attention: cost of one pair of tokens in the unit of one token's linear cost."""
@@ -44,27 +43,43 @@ class PackRules:
     cached_words: int = 1_000_000
 
 
-class Words:
-    """Ids of texts, word by word; words met before are remembered up to a number of entries.
+#: Words that a vocabulary of the plain kind treats letter by letter as is done here: all of Latin up to U+017F, but for
+#: the dotted capital I, whose lower case is two characters.
+LATIN = re.compile("[\\x21-\\u012f\\u0131-\\u017f]+").fullmatch
+
+
+def byte_letters() -> dict[int, str]:
+    """How vocabularies of bytes write the UTF-8 bytes of a letter beyond ASCII: printable bytes as the character of
+    that number, the others as the characters from 256 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    letter = {b: chr(b) for b in shown}
+    letter |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in letter)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x80, 0x180)}
 
-    Words of printable ASCII, if the vocabulary only normalises to NFC and lower case and parts words by one pattern, are
-    lower-cased and parted here and go straight to its merges; any other word goes through the whole tokenizer.
+
+class Words(dict):
+    """Ids of words, found out when a word is first met; `encode` forgets all beyond a number of entries.
+
+    Latin words, if the vocabulary only normalises to NFC and lower case and parts words by one pattern, are lower-cased
+    and parted here and go straight to its merges; any other word goes through the whole tokenizer.
     """
 
     def __init__(self, rules: PackRules):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(rules.vocabulary)
-        self.model = self.tokenizer.model
+        self.merge = self.tokenizer.model.tokenize
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.width, self.code = np.dtype("<u4" if wide else "<u2"), "I" if wide else "H"
         self.end = self.packed([rules.end_id])
         self.most = rules.cached_words
-        self.ids: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.letters = byte_letters()
         self.pattern = self._pattern()
         #: A run of letters is one piece, if the pattern says so.
-        self.letters = self.pattern is not None and "[\\p{L}]+" in self.pattern.pattern.split("|")
+        self.runs = self.pattern is not None and "[\\p{L}]+" in self.pattern.pattern.split("|")
         added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
         self.special = re.compile(added).search if added else lambda text: None
 
@@ -84,41 +99,29 @@ class Words:
             return None
         return regex.compile(split["pattern"]["Regex"]) if "Regex" in split["pattern"] else None
 
-    def learn(self, words: set[bytes]) -> None:
-        other, pieces = [], {}
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            if self.pattern is None or not text.isascii() or not text.isprintable() or self.special(text):
-                other.append(text)
-                continue
+    def piece(self, text: str) -> bytes:
+        found = self.pieces.get(text)
+        if found is None:
+            shown = text if text.isascii() else text.translate(self.letters)
+            found = self.pieces[text] = self.packed([t.id for t in self.merge(shown)])
+        return found
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if self.pattern is None or not LATIN(text) or not text.isprintable() or self.special(text):
+            found = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        else:
             text = text.lower()
-            parts = [text] if self.letters and text.isalpha() else self.pattern.findall(text)
-            for piece in parts:
-                if piece not in pieces:
-                    pieces[piece] = self.packed([t.id for t in self.model.tokenize(piece)])
-            self.ids[w] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
-        for at in range(0, len(other), 20_000):
-            part = other[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.ids.update((w.encode("utf-8", "replace"), self.packed(e.ids)) for w, e in zip(part, found))
+            found = self.piece(text) if self.runs and text.isalpha() else b"".join(map(self.piece, self.pattern.findall(text)))
+        self[word] = found
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        if len(self.ids) > self.most:
-            self.ids.clear()
-        out, late, new = [], [], set()
-        for at, words in enumerate(split):
-            ids = list(map(self.ids.get, words))
-            try:
-                out.append(b"".join(ids) + self.end)
-            except TypeError:  # a word has no ids yet
-                new.update([w for w, i in zip(words, ids) if i is None])
-                out.append(b"")
-                late.append(at)
-        self.learn(new)
-        for at in late:
-            out[at] = b"".join(map(self.ids.__getitem__, split[at])) + self.end
-        return out
+        if len(self) > self.most:
+            self.clear()
+            self.pieces.clear()
+        ids = self.__getitem__
+        return [b"".join(map(ids, (t or "").encode("utf-8", "surrogatepass").split())) + self.end for t in texts]
 
 
 _WORDS: dict[PackRules, Words] = {}

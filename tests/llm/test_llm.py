@@ -109,6 +109,17 @@ def test_cuckoo_filter():
     assert table.contains(hi[:2000], lo[:2000]).mean() < 0.01
 
 
+def test_words_as_the_tokenizer_has_them():
+    from tokenizers import Tokenizer
+
+    rules = queries.pack_rules()
+    texts = ["".join(map(chr, range(k, k + 16))) for k in range(1, 0x400, 16)] + [f"a{chr(c)}B" for c in range(1, 0x400)]
+    texts += ["it's I'LL 3½ ΣΑΣ 漢字 🙂 e\u0301 ﬁ ǅ \u212a İstanbul", "<|endoftext|> a<|startoftext|>b", "'s'' ''t", "", " "]
+    want = Tokenizer.from_file(rules.vocabulary).encode_batch(texts, add_special_tokens=False)
+    words = packing.Words(rules)
+    assert [np.frombuffer(ids, words.width).tolist() for ids in words.encode(texts)] == [w.ids + [2] for w in want]
+
+
 def test_packing(documents, awkward):
     from tokenizers import Tokenizer
 
