@@ -26,11 +26,11 @@ def _events(spark, sf):
 
 @registry.add("land_pages_conversations", """
 select 'c' || conv_id || '/' || (turn // 2) as source_id, role as search_term, md5(text) as digest, conv_id as file_no
-from conversations where role <> 'system'
+from conversations
 qualify row_number() over (partition by conv_id, turn // 2 order by turn desc) = 1""")
 def land_pages_conversations(spark, sf):
     """Each turn is a page whose results array is named by the page; ids come under three names."""
-    turn = table(spark, sf, "conversations").filter(F.col("role") != "system")
+    turn = table(spark, sf, "conversations")
     found = F.concat(F.lit("c"), "conv_id", F.lit("/"), F.floor(F.col("turn") / 2).cast("string"))
     even = F.col("turn") % 2 == 0
     posting = F.struct(

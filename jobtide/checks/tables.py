@@ -110,20 +110,20 @@ def _orders(spark, sf):
 
 
 @registry.add("table_diff", """
-with l as (select o_custkey, o_orderstatus, cast(o_orderdate as date) as day, o_totalprice from orders
-           where o_orderpriority <> '1-URGENT'),
-     r as (select o_custkey, o_orderstatus, cast(o_orderdate as date) as day, o_totalprice from orders
-           where o_orderpriority <> '5-LOW'),
+with o as (select *, cast(o_orderdate as date) as day, cast(round(o_totalprice * 100) as bigint) as cents from orders),
+     l as (select o_custkey, o_orderstatus, day, cents from o where o_orderpriority <> '1-URGENT'),
+     r as (select o_custkey, o_orderstatus, day, cents from o where o_orderpriority <> '5-LOW'),
      d as (select 'left_only' as side, * from (select * from l except all select * from r)
            union all select 'right_only', * from (select * from r except all select * from l))
-select side, cast(o_custkey as varchar) as o_custkey, o_orderstatus, cast(day as varchar) as day, count(*) as copies
-from d group by side, o_custkey, o_orderstatus, day, o_totalprice""")
+select side, cast(o_custkey as varchar) as o_custkey, o_orderstatus, cast(day as varchar) as day, cast(cents as varchar) as cents, count(*) as copies
+from d group by side, o_custkey, o_orderstatus, day, cents""")
 def table_diff(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
-    columns = ["o_custkey", "o_orderstatus", "day", "o_totalprice"]
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    orders = table(spark, sf, "orders").withColumns({"day": F.col("o_orderdate").cast("date"), "cents": cents})
+    columns = ["o_custkey", "o_orderstatus", "day", "cents"]
     left = orders.filter("o_orderpriority <> '1-URGENT'").select(*columns)
     right = orders.filter("o_orderpriority <> '5-LOW'").select(*columns)
-    return diff_tables(left, right).select("side", "o_custkey", "o_orderstatus", "day", "copies")
+    return diff_tables(left, right).select("side", *columns, "copies")
 
 
 @registry.add("canonical_dump", """

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from jobtide.plans.daily import daily_build
+from jobtide.plans.load import load_runs
 from jobtide.plans.model_checks import require_clean
 from jobtide.plans.staging import flatten_runs
 from jobtide.sources import landing, seeds, tables
+from jobtide.sources.schemas import RAW_TABLES
 from jobtide.sources.tables import RawTable, prune, read_table, replace_run, stamped, upsert
 from jobtide.streaming.incremental import land_new_files
 from sample_runs import DAY, DETAILS, LISTINGS, OFFERS
@@ -176,6 +178,29 @@ def test_new_files_land_once(spark, raw, tmp_path):
     ]
 
 
+def test_load_runs(spark, raw, tmp_path):
+    home = str(tmp_path / "tables")
+    load = lambda **more: load_runs(spark, raw, home, "arbeitsagentur", "arbeitnow", **more)
+    held = lambda name: sorted((r[RAW_TABLES[name][1][0]], str(r["run_date"])) for r in read_table(spark, RawTable.at(home, name)).collect())
+    assert load().count() == 0
+    before = {name: held(name) for name in RAW_TABLES}
+    assert before == {
+        "listings": [("a", "2026-09-11"), ("a", "2026-09-12"), ("b", "2026-09-11"), ("c", "2026-09-11"), ("n", "2026-09-12")],
+        "details": [("a", "2026-09-11")],
+        "board": [("s1", "2026-09-12")],
+        "runs": [("arbeitsagentur", "2026-09-11")],
+    }
+    manifest = json.loads(read_table(spark, RawTable.at(home, "runs")).first()["manifest"])
+    assert (manifest["rows_read"], manifest["duplicates_collapsed"], manifest["max_pages"]) == (4, 1, 2)
+    load(run_date="2026-09-12")
+    assert {name: held(name) for name in RAW_TABLES} == before
+    gone = load(run_date="2026-09-12", today="2026-10-12", retain_days=30).collect()
+    assert sorted((r["table"].rsplit("/", 1)[1], str(r["run_date"]), r["rows"]) for r in gone) == [
+        ("details", "2026-09-11", 1), ("listings", "2026-09-11", 3), ("runs", "2026-09-11", 1),
+    ]
+    assert held("listings") == [("a", "2026-09-12"), ("n", "2026-09-12")] and held("runs") == []
+
+
 def test_daily_build_from_files(spark, tmp_path):
     root = str(tmp_path / "raw")
     listed = [{"refnr": k, **v} for k, v in LISTINGS.items()]
