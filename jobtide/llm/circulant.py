@@ -10,11 +10,11 @@ of the coordinates, five standard deviations below 0.8) is then confirmed on the
 Documents with equal sets become one before banding. A bucket's members are first compared with its smallest member
 only, so a group of thousands gives thousands of pairs and not their square. The links found make components; after
 that only members of a bucket that are not yet in one component are compared with each other, which is what the first
-step may have missed. A passage in many otherwise different documents makes buckets with more than `together` members.
-A document most of whose buckets are not so large is left out of the large ones: it meets a similar document in one of
-the others, as surely as any two meet at all. The documents that have hardly any but large buckets are compared in
-blocks of a bucket, signatures first, and only links leave a block; each pair is looked at in the first bucket it shares.
-Components are all that is returned, so pairs within one need no look.
+step may have missed. A passage in many otherwise different documents, or an original with many copies that are unlike
+one another, makes buckets with more than `together` members. All members of such a bucket that are in different
+components are compared in blocks: signatures first, then the full sets of those that have a partner by signature. Only
+links leave a block, and each pair is looked at in the first bucket it shares. Nobody is left out of a bucket, so work
+in blocks grows with the square of the open members. Components are all that is returned, so pairs within one need no look.
 
 Bucket sizes and smallest members are partial aggregates; joins on hot buckets, hubs and copies are dealt out by
 adaptive execution. Texts are read twice: once for the sets' signatures, once for the sets of candidates.
@@ -50,7 +50,6 @@ class ShingleRules:
     rows: int = 6
     agree: float = 0.62
     together: int = 64
-    enough: int = 40
     block_rows: int = 512
     cached_words: int = 600_000
 
@@ -200,42 +199,54 @@ def _within(rows: DataFrame, rules: ShingleRules) -> DataFrame:
     return one.join(two, apart).select(F.col("id1").alias("u"), F.col("id2").alias("v"))
 
 
-def crowded_rows(member: DataFrame, rules: ShingleRules) -> DataFrame:
-    """Rows of large buckets whose documents have fewer than `enough` buckets of moderate size."""
-    large = member.where(F.col("members") > rules.together)
-    crowded = large.groupBy("id").agg(F.count(F.lit(1)).alias("large")).where(F.col("large") > rules.bands - rules.enough)
-    return large.select("key", "id", "n").join(crowded, "id", "left_semi")
+def _block_pairs(rows: pa.Table, rules: ShingleRules) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs between two blocks of a bucket, in different components, whose signatures agree and that share no earlier band."""
+    mine, low, high = (rows[c].to_numpy() for c in ("mine", "low", "high"))
+    ids, n, group = (rows[c].to_numpy() for c in ("id", "n", "c"))
+    bands = np.array(rows["bands"].to_pylist(), dtype=np.int64)
+    prints = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+    here = int((bands[0] == rows["key"][0].as_py()).argmax())
+    left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+    for start in range(0, len(left), 64):
+        a = left[start : start + 64]
+        apart = (group[a][:, None] != group[right][None]) & (100 * np.minimum(n[a][:, None], n[right]) >= rules.share * np.maximum(n[a][:, None], n[right]))
+        if low[0] == high[0]:
+            apart &= ids[a][:, None] < ids[right][None]
+        i, j = np.nonzero(apart)
+        i, j = a[i], right[j]
+        for k in range(0, len(i), 65536):
+            x, y = i[k : k + 65536], j[k : k + 65536]
+            close = np.flatnonzero((prints[x] == prints[y]).mean(axis=1) >= rules.agree)
+            x, y = x[close], y[close]
+            first = (bands[x] == bands[y]).argmax(axis=1) == here
+            yield x[first], y[first]
+
+
+def _block_open(rules: ShingleRules):
+    """The rows of two blocks of a bucket that have a partner by signature."""
+
+    def task(rows: pa.Table) -> pa.Table:
+        wanted = np.zeros(rows.num_rows, dtype=bool)
+        for x, y in _block_pairs(rows, rules):
+            wanted[x] = wanted[y] = True
+        return rows.filter(pa.array(wanted))
+
+    return task
 
 
 def _block_links(rules: ShingleRules):
     """Links between two blocks of a bucket: rows with id, n, c, bands, signature, shingles, and which block they are of."""
 
     def task(rows: pa.Table) -> pa.Table:
-        mine, low, high = (rows[c].to_numpy() for c in ("mine", "low", "high"))
-        ids, n, group = (rows[c].to_numpy() for c in ("id", "n", "c"))
-        bands = np.array(rows["bands"].to_pylist(), dtype=np.int64)
-        prints = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
-        sets = rows["shingles"].to_pylist()
-        sets = [np.array(x, dtype=np.int64) for x in sets]
-        here = int((bands[0] == rows["key"][0].as_py()).argmax())
-        left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+        ids = rows["id"].to_numpy()
+        sets = [np.array(x, dtype=np.int64) for x in rows["shingles"].to_pylist()]
         us, vs = [], []
-        for start in range(0, len(left), 64):
-            a = left[start : start + 64]
-            apart = (group[a][:, None] != group[right][None]) & (100 * np.minimum(n[a][:, None], n[right]) >= rules.share * np.maximum(n[a][:, None], n[right]))
-            if low[0] == high[0]:
-                apart &= ids[a][:, None] < ids[right][None]
-            i, j = np.nonzero(apart)
-            i, j = a[i], right[j]
-            for k in range(0, len(i), 65536):
-                x, y = i[k : k + 65536], j[k : k + 65536]
-                shared = bands[x] == bands[y]
-                close = (shared.argmax(axis=1) == here) & ((prints[x] == prints[y]).mean(axis=1) >= rules.agree)
-                for u, v in zip(x[close], y[close]):
-                    both = len(np.intersect1d(sets[u], sets[v], assume_unique=True))
-                    if 100 * both >= rules.share * (len(sets[u]) + len(sets[v]) - both):
-                        us.append(ids[u])
-                        vs.append(ids[v])
+        for x, y in _block_pairs(rows, rules):
+            for u, v in zip(x, y):
+                both = len(np.intersect1d(sets[u], sets[v], assume_unique=True))
+                if 100 * both >= rules.share * (len(sets[u]) + len(sets[v]) - both):
+                    us.append(ids[u])
+                    vs.append(ids[v])
         return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
     return task
@@ -250,18 +261,20 @@ def open_links(member: DataFrame, groups: DataFrame, alike: DataFrame, sets: Dat
 
     moderate = open_(member.where((F.col("members") > 2) & (F.col("members") <= rules.together)).select("key", "id", "n"))
     links = confirmed(_within(moderate, rules).distinct(), sets, alike, rules)
-    large = open_(crowded_rows(member, rules))
+    large = open_(member.where(F.col("members") > rules.together).select("key", "id", "n"))
     blocks = F.ceil(F.col("members") / rules.block_rows).cast("int")
     looks = alike.select(F.col("doc_id").alias("id"), "bands", "signature")
     dealt = (
         large.join(looks.hint("merge"), "id")
-        .join(sets.select(F.col("doc_id").alias("id"), "shingles").hint("merge"), "id")
         .withColumn("mine", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
         .drop("members", "other")
     )
-    return links.unionByName(settle(dealt.groupBy("key", "low", "high").applyInArrow(_block_links(rules), "u long, v long").distinct()))
+    dealt = dealt.select("key", "low", "high", "mine", "id", "n", "c", "bands", "signature")
+    wanted = settle(dealt.groupBy("key", "low", "high").applyInArrow(_block_open(rules), dealt.schema))
+    whole = wanted.join(sets.select(F.col("doc_id").alias("id"), "shingles").hint("merge"), "id")
+    return links.unionByName(settle(whole.groupBy("key", "low", "high").applyInArrow(_block_links(rules), "u long, v long").distinct()))
 
 
 def near_duplicates(docs: DataFrame, rules: ShingleRules = ShingleRules()) -> DataFrame:

@@ -202,6 +202,20 @@ def test_near_documents(documents, awkward):
     assert circulant.near_duplicates(awkward.limit(0)).count() == 0
 
 
+def test_star_of_near_copies(spark):
+    """Copies like the original alone, which has a middle doc_id: many share only a few bands with it, all of them large."""
+    draw = np.random.default_rng(5)
+    plain = [f"w{i}" for i in range(201)]
+    rows = [(300, " ".join(plain))]
+    for k in range(600):
+        words, gone = list(plain), 2 * draw.choice(99, 9 + k % 3, replace=False) + 1
+        for i in gone:
+            words[i] = f"c{k}x{i}"
+        rows.append((k if k < 300 else k + 1, " ".join(words)))
+    got = circulant.near_duplicates(local_frame(spark, rows, "doc_id bigint, text string"), circulant.ShingleRules(words=2)).collect()
+    assert {r["component_id"] for r in got} == {0}
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(2)
     base = draw.normal(size=(60, 8))
