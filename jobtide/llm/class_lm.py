@@ -1,10 +1,14 @@
 """Brown class-based bigram scores: exchange clustering, class transitions and word emissions.
 
-Words that make up at least 1 / `heads` of all training words stand for themselves; any other word is stood for by its
-last three characters, if words of that ending make up as much, and else by one common rest. So there are at most
-2 x `heads` + 2 representatives whatever the corpus, and every word, met or not, has one. Counts of representative
-pairs are added up over the whole corpus; exchange clustering moves one representative after the other to the class
-that gives the training text the highest likelihood, until a sweep moves none.
+Every word met at least `placed` times in training is a unit of its own, so units grow with the corpus; a rarer word is
+stood for by its last three characters, if rare words of that ending are met as often, and else by one common rest. So
+every word, met or not, has a unit. Exchange clustering starts on the driver with at most 2 x `heads` + 2
+representatives (words and endings of at least 1 / `heads` of all training words, and a rest): one after the other moves
+to the class that gives the training text the highest likelihood, until a sweep moves none. Units begin in the class of
+their representative. Then rounds run over the whole corpus: the classes beside every unit are counted, added up in
+blocks of units, and each block moves its units one after the other. Words that were representatives stay put, and of
+the others every second one in a round, as moves do not see what becomes of the words beside them. A round that does
+not raise the likelihood is undone.
 
 A word's probability is P(class | class before) x P(word | class): transitions are smoothed with the class's own share,
 and a class keeps for words not met as much as it has words met once. That is mixed with a small part of the smoothed
@@ -12,7 +16,8 @@ unigram. Unknown words of a class are one event, as in the unigram, so probabili
 
 Texts are cut into chunks of bounded size that hold each word once and the text as numbers. Only the chunks' word
 lists are shuffled by word, for exact counts over the corpus, and come back to their chunk; a word has one row per
-chunk, however frequent it is. Representatives, classes and transitions are of bounded size and go to all tasks.
+chunk, however frequent it is. Representatives and transitions are of bounded size and go to all tasks, and so does
+the class of every unit, a byte each; the units' words stay in tables.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id is a training row; repeated rows are scored and
 counted each; without training rows every word is unknown and the base score is 0. An empty table gives no rows.
@@ -31,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm.common import settle
+from jobtide.session import local_frame
 
 END = b""
 REST, STOP = 0, 1
@@ -38,12 +44,16 @@ REST, STOP = 0, 1
 
 @dataclass(frozen=True)
 class LmRules:
-    """heads bounds representatives; classes; sweeps of exchange at most; chunk in bytes of text."""
+    """placed: times a word is met to be a unit; heads bounds representatives; classes (256 at most); sweeps of exchange
+    on representatives and rounds on units at most; units in a block; chunk in bytes of text."""
 
+    placed: int = 20
     heads: int = 1000
     ending: int = 3
     classes: int = 48
     sweeps: int = 8
+    rounds: int = 4
+    block: int = 256
     chunk_bytes: int = 8 << 20
     unigram_part: float = 0.02
     transition_prior: float = 20.0
@@ -201,6 +211,26 @@ def _g(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
+def _move(table: np.ndarray, left: np.ndarray, right: np.ndarray, own: float, a: int) -> int:
+    """The best class of one of class a, with the classes before and after it and its pairs with itself; changes all three tables."""
+    right[a] -= own
+    left[a] -= own
+    table[a] -= right
+    table[:, a] -= left
+    table[a, a] -= own
+    rows, columns, corner = table.sum(axis=1), table.sum(axis=0), np.diag(table)
+    gain = (_g(table + right) - _g(table)).sum(axis=1) + (_g(table.T + left) - _g(table.T)).sum(axis=1)
+    # A class's pair with itself takes both sides at once.
+    gain += _g(corner + right + left + own) - _g(corner + right) - _g(corner + left) + _g(corner)
+    gain -= _g(rows + right.sum() + own) - _g(rows) + _g(columns + left.sum() + own) - _g(columns)
+    b = int(gain.argmax())
+    b = a if gain[b] <= gain[a] + 1e-9 else b
+    table[b] += right
+    table[:, b] += left
+    table[b, b] += own
+    return b
+
+
 def exchange(counts: np.ndarray, rules: LmRules) -> np.ndarray:
     """The class of each representative. counts[u, v]: how often v follows u."""
     size, k = len(counts), min(rules.classes, len(counts))
@@ -218,22 +248,8 @@ def exchange(counts: np.ndarray, rules: LmRules) -> np.ndarray:
             left = np.bincount(of, weights=counts[:, w], minlength=k)
             if not right.any() and not left.any():
                 continue
-            a, own = of[w], float(counts[w, w])
-            right[a] -= own
-            left[a] -= own
-            table[a] -= right
-            table[:, a] -= left
-            table[a, a] -= own
-            rows, columns, corner = table.sum(axis=1), table.sum(axis=0), np.diag(table)
-            gain = (_g(table + right) - _g(table)).sum(axis=1) + (_g(table.T + left) - _g(table.T)).sum(axis=1)
-            # A class's pair with itself takes both sides at once.
-            gain += _g(corner + right + left + own) - _g(corner + right) - _g(corner + left) + _g(corner)
-            gain -= _g(rows + right.sum() + own) - _g(rows) + _g(columns + left.sum() + own) - _g(columns)
-            b = int(gain.argmax())
-            b = a if gain[b] <= gain[a] + 1e-9 else b
-            table[b] += right
-            table[:, b] += left
-            table[b, b] += own
+            a = of[w]
+            b = _move(table, left, right, float(counts[w, w]), a)
             moved += b != a
             of[w] = b
         if not moved:
@@ -241,11 +257,182 @@ def exchange(counts: np.ndarray, rules: LmRules) -> np.ndarray:
     return of
 
 
+def units_of(vocabulary: DataFrame, total: int, reps: Representatives, of: np.ndarray, rules: LmRules) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """key, unit of the words and endings that are units, the class each begins in, and which stay there; key as `_key` has it."""
+    least = _least(total, rules)
+    keys = settle(vocabulary.where("c > 0 and word <> ''").groupBy(_key(least, rules).alias("key")).agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("key"))
+    parts = max(1, -(-keys.count() // 200_000))
+    dealt = settle(
+        keys.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")).withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy("key")))
+    )
+
+    def begin(rows: pa.Table) -> pa.Table:
+        order = np.argsort(rows["place"].to_numpy())
+        names = [rows["key"][int(i)].as_py() for i in order]
+        rep = [int(reps.of([k[1:].encode()])[0]) if k[0] == "w" else reps.endings.get(k[1:], REST) for k in names]
+        return pa.table({"part": rows["part"].slice(0, 1), "classes": pa.array([of[rep].astype(np.uint8).tobytes()], pa.binary()), "stays": pa.array([bytes(k[0] == "w" and k[1:].encode() in reps.words for k in names)], pa.binary())})
+
+    begun = sorted(dealt.groupBy("part").applyInArrow(begin, "part int, classes binary, stays binary").collect())
+    first, at = {}, 2
+    for part, classes, _ in begun:
+        first[part], at = at, at + len(classes)
+    offsets = local_frame(vocabulary.sparkSession, list(first.items()), "part int, first int")
+    numbered = dealt.join(F.broadcast(offsets), "part").select("key", (F.col("first") + F.col("place") - 1).cast("int").alias("unit"))
+    start = np.concatenate([of[[REST, STOP]].astype(np.uint8), *[np.frombuffer(c, dtype=np.uint8) for _, c, _ in begun]])
+    return numbered, start, np.concatenate([[True, True], *[np.frombuffer(x, dtype=bool) for _, _, x in begun]])
+
+
+def _least(total: int, rules: LmRules) -> int:
+    """Times a unit is met; in a small corpus no more than a representative."""
+    return min(rules.placed, max(1, -(-total // rules.heads)))
+
+
+def _key(least: int, rules: LmRules) -> Column:
+    """A frequent word, or the ending of another, told apart by the first letter."""
+    return F.when(F.col("c") >= least, F.concat(F.lit("w"), "word")).otherwise(F.concat(F.lit("e"), F.substring("word", -rules.ending, rules.ending)))
+
+
+def tagged(held: DataFrame, lists: DataFrame, numbered: DataFrame, total: int, rules: LmRules) -> DataFrame:
+    """The chunks with unit and count of each of their words, and the units of words counted once that are first listed there."""
+    least, salts = _least(total, rules), 16
+    # An ending stands for many words, so its rows are dealt to several places.
+    salt = F.when(F.col("c") >= least, 0).otherwise(F.pmod(F.xxhash64("word", "chunk"), F.lit(salts)).cast("int"))
+    salted = numbered.withColumn("salt", F.explode(F.when(F.col("key").startswith("e"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    rows = lists.withColumns({"key": F.when(F.col("word") != "", _key(least, rules)), "salt": salt}).join(salted, ["key", "salt"], "left")
+    unit = F.when(F.col("word") == "", F.lit(STOP)).otherwise(F.coalesce("unit", F.lit(REST)))
+    rows = rows.select("chunk", "at", "c", unit.alias("unit"), (F.col("is_first") & (F.col("c") == 1) & (F.col("word") != "")).alias("single"))
+
+    def task(texts: pa.Table, found: pa.Table) -> pa.Table:
+        at, unit = found["at"].to_numpy(), found["unit"].to_numpy().astype(np.int32)
+        units, counts = np.zeros(len(at), dtype=np.int32), np.zeros(len(at), dtype=np.int64)
+        units[at], counts[at] = unit, found["c"].to_numpy()
+        pack = zstandard.ZstdCompressor(3)
+        packed = {"units": units, "counts": counts, "single": unit[found["single"].to_numpy(zero_copy_only=False)]}
+        return pa.table({**{c: texts[c] for c in ("doc_ids", "held", "tokens", "ids")}, **{k: pa.array([pack.compress(v.tobytes())], pa.binary()) for k, v in packed.items()}})
+
+    schema = "doc_ids array<long>, held array<boolean>, tokens array<int>, ids binary, units binary, counts binary, single binary"
+    return held.drop("words").groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(task, schema)
+
+
+def _numbers(batch: pa.RecordBatch, row: int, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(batch.schema.get_field_index(name))[row].as_py()), dtype=kind)
+
+
+def _tokens(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of each document of a chunk, and whether it is held out."""
+    tokens, held = (batch.column(batch.schema.get_field_index(n))[row].as_py() for n in ("tokens", "held"))
+    return np.array(tokens, dtype=np.int64), np.array(held, dtype=bool)
+
+
+def beside(texts: DataFrame, of: np.ndarray, k: int, rules: LmRules) -> DataFrame:
+    """block, counts: per unit of a block the classes before it, the classes after it, and its pairs with itself."""
+    shared, width, size = texts.sparkSession.sparkContext.broadcast(of), 2 * k + 1, rules.block
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, held = shared.value, {}
+
+        def out() -> pa.RecordBatch:
+            pack = zstandard.ZstdCompressor(1)
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([pack.compress(x.tobytes()) for x in held.values()], pa.binary())], names=["block", "counts"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tokens, is_held = _tokens(batch, i)
+                local, number = np.unique(_numbers(batch, i, "units", np.int32), return_inverse=True)
+                now = number[_numbers(batch, i, "ids", np.int32)]
+                before = np.concatenate([[np.searchsorted(local, STOP)], now[:-1]])
+                trains = np.repeat(~is_held, tokens)
+                now, before = now[trains], before[trains]
+                kind, n = of[local].astype(np.int64), len(local)
+                left = np.bincount(now * k + kind[before], minlength=n * k).reshape(n, k)
+                right = np.bincount(before * k + kind[now], minlength=n * k).reshape(n, k)
+                counts = np.concatenate([left, right, np.bincount(now[now == before], minlength=n)[:, None]], axis=1)
+                blocks, starts = np.unique(local // size, return_index=True)
+                for b, lo, hi in zip(blocks.tolist(), starts, [*starts[1:], n]):
+                    if b not in held:
+                        held[b] = np.zeros((size, width), dtype=np.int64)
+                    held[b][local[lo:hi] - b * size] += counts[lo:hi]
+                if len(held) > 512:
+                    yield out()
+                    held.clear()
+        if held:
+            yield out()
+
+    def add(rows: pa.Table) -> pa.Table:
+        unpack = zstandard.ZstdDecompressor()
+        total = sum(np.frombuffer(unpack.decompress(x.as_py()), dtype=np.int64) for x in rows["counts"])
+        return pa.table({"block": rows["block"].slice(0, 1), "counts": pa.array([zstandard.ZstdCompressor(1).compress(total.tobytes())], pa.binary())})
+
+    parts = texts.select("held", "tokens", "ids", "units").mapInArrow(task, "block int, counts binary")
+    return settle(parts.groupBy("block").applyInArrow(add, "block int, counts binary"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], of: np.ndarray, k: int, rules: LmRules) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, counts and classes of each block."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block = batch.column(0)[i].as_py()
+            classes = of[block * rules.block : (block + 1) * rules.block].astype(np.int64)
+            yield block, _numbers(batch, i, "counts", np.int64).reshape(-1, 2 * k + 1)[: len(classes)], classes
+
+
+def class_table(counted: DataFrame, of: np.ndarray, k: int, rules: LmRules) -> np.ndarray:
+    """How often each class follows each."""
+    shared = counted.sparkSession.sparkContext.broadcast(of)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((k, k), dtype=np.int64)
+        for _, counts, classes in _blocks(batches, shared.value, k, rules):
+            np.add.at(table, classes, counts[:, k : 2 * k])
+        yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], names=["counts"])
+
+    found = counted.mapInArrow(task, "counts binary").collect()
+    return sum((np.frombuffer(r[0], dtype=np.int64).reshape(k, k) for r in found), np.zeros((k, k), dtype=np.int64)).astype(float)
+
+
+def moved(counted: DataFrame, table: np.ndarray, of: np.ndarray, stays: np.ndarray, turn: int, rules: LmRules) -> np.ndarray:
+    """The classes after a round in which every second unit may move, if it does not stay."""
+    shared, k = counted.sparkSession.sparkContext.broadcast((of, table, stays)), len(table)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, table, stays = shared.value
+        for block, counts, classes in _blocks(batches, of, k, rules):
+            mine = table.copy()
+            for w in range((turn + block * rules.block) % 2, len(classes), 2):
+                if not stays[block * rules.block + w] and counts[w].any():
+                    classes[w] = _move(mine, counts[w, :k].astype(float), counts[w, k : 2 * k].astype(float), float(counts[w, 2 * k]), classes[w])
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([classes.astype(np.uint8).tobytes()], pa.binary())], names=["block", "classes"])
+
+    after = of.copy()
+    for block, classes in counted.mapInArrow(task, "block int, classes binary").collect():
+        after[block * rules.block : block * rules.block + len(classes)] = np.frombuffer(classes, dtype=np.uint8)
+    return after
+
+
+def likelihood(table: np.ndarray) -> float:
+    """What classes add to the log likelihood of the training text."""
+    return float(_g(table).sum() - _g(table.sum(axis=1)).sum() - _g(table.sum(axis=0)).sum())
+
+
+def settled_classes(texts: DataFrame, of: np.ndarray, stays: np.ndarray, k: int, rules: LmRules) -> tuple[np.ndarray, np.ndarray]:
+    """The units' classes after the rounds, and the table of those classes."""
+    counted = beside(texts, of, k, rules)
+    table = class_table(counted, of, k, rules)
+    for turn in range(rules.rounds):
+        after = moved(counted, table, of, stays, turn, rules)
+        if (after == of).all():
+            continue
+        counted_after = beside(texts, after, k, rules)
+        table_after = class_table(counted_after, after, k, rules)
+        if likelihood(table_after) > likelihood(table):
+            of, table, counted = after, table_after, counted_after
+    return of, table
+
+
 @dataclass(frozen=True)
 class ClassModel:
-    """of: class of each representative; transition[a, b]; size and share of unmet words of each class; corpus sums."""
+    """of: class of each unit; transition[a, b]; size and share of unmet words of each class; corpus sums."""
 
-    reps: Representatives
     of: np.ndarray
     transition: np.ndarray
     class_tokens: np.ndarray
@@ -265,8 +452,8 @@ class ClassModel:
         return np.log10(base), np.log10(mixed)
 
 
-def fit(held: DataFrame, lists: DataFrame, rules: LmRules) -> ClassModel:
-    """The model of the training texts. lists: word, chunk, at, c, is_first."""
+def fit(held: DataFrame, lists: DataFrame, rules: LmRules) -> tuple[DataFrame, ClassModel]:
+    """The tagged chunks and the model of the training texts. lists: word, chunk, at, c, is_first."""
     vocabulary = lists.where("is_first").select("word", "c")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     reps = representatives(vocabulary, total, rules)
@@ -275,54 +462,57 @@ def fit(held: DataFrame, lists: DataFrame, rules: LmRules) -> ClassModel:
         counts[before] = np.frombuffer(row, dtype=np.int64)
     of = exchange(counts, rules)
     k = int(of.max()) + 1
-    one_hot = np.zeros((reps.size, k))
-    one_hot[np.arange(reps.size), of] = 1
-    table = one_hot.T @ counts @ one_hot
+    numbered, start, stays = units_of(vocabulary, total, reps, of, rules)
+    texts = settle(tagged(held, lists, numbered, total, rules))
+    of, table = settled_classes(texts, start, stays, k, rules)
     tokens = table.sum(axis=0)
     share = (tokens + 0.1) / (tokens.sum() + 0.1 * k)
     transition = (table + rules.transition_prior * share) / (table.sum(axis=1, keepdims=True) + rules.transition_prior)
-    once = np.zeros(k)
-    single = vocabulary.where("c = 1 and word <> ''").groupBy(_representative(reps).alias("rep")).agg(F.count(F.lit(1)).alias("n"))
-    for rep, n in single.collect():
-        once[of[rep]] += n
-    return ClassModel(reps, of, transition, tokens, np.minimum((once + 0.5) / (tokens + 1.0), 0.9), total, distinct, rules.unigram_part)
+    once = singles(texts, of, k)
+    return texts, ClassModel(of, transition, tokens, np.minimum((once + 0.5) / (tokens + 1.0), 0.9), total, distinct, rules.unigram_part)
 
 
-def _representative(reps: Representatives) -> Column:
-    """The representative of a word in column `word`, from the bounded lists."""
+def singles(texts: DataFrame, of: np.ndarray, k: int) -> np.ndarray:
+    """Words met once, per class."""
+    shared = texts.sparkSession.sparkContext.broadcast(of)
 
-    @F.pandas_udf("int")
-    def number(words):
-        import pandas as pd
-
-        return pd.Series(reps.of([w.encode("utf-8", "surrogatepass") for w in words]))
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = np.zeros(k, dtype=np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                once += np.bincount(shared.value[_numbers(batch, i, "single", np.int32)], minlength=k)
+        yield pa.RecordBatch.from_arrays([pa.array([once.tobytes()], pa.binary())], names=["counts"])
 
-    return number("word")
+    found = texts.select("single").mapInArrow(task, "counts binary").collect()
+    return sum((np.frombuffer(r[0], dtype=np.int64) for r in found), np.zeros(k, dtype=np.int64)).astype(float)
 
 
-def scored(held: DataFrame, lists: DataFrame, model: ClassModel) -> DataFrame:
+def scored(texts: DataFrame, model: ClassModel) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
-    shared = held.sparkSession.sparkContext.broadcast(model)
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
-    def task(texts: pa.Table, found: pa.Table) -> pa.Table:
-        m, c = shared.value, next(read_chunks(texts.combine_chunks().to_batches()[0]))
-        counts = np.zeros(len(c.words), dtype=np.int64)
-        counts[found["at"].to_numpy()] = found["c"].to_numpy()
-        classes = m.of[m.reps.of(c.words)]
-        base, score = m.token_scores(classes[c.ids], counts[c.ids])
-        starts = np.concatenate([[0], np.cumsum(c.tokens)[:-1]])
-        return pa.table({
-            "doc_id": pa.array(texts["doc_ids"][0].as_py(), pa.int64()),
-            "held_out": pa.array(c.held),
-            "n_tokens": pa.array(c.tokens),
-            "n_known": pa.array(np.add.reduceat((counts[c.ids] > 0).astype(np.int64), starts)),
-            "train_tokens": pa.array(np.full(len(starts), m.total, dtype=np.int64)),
-            "base_score": pa.array(np.add.reduceat(base, starts)),
-            "score": pa.array(np.add.reduceat(score, starts)),
-        })
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tokens, held = _tokens(batch, i)
+                ids, counts = _numbers(batch, i, "ids", np.int32), _numbers(batch, i, "counts", np.int64)
+                classes = m.of[_numbers(batch, i, "units", np.int32)].astype(np.int64)
+                base, score = m.token_scores(classes[ids], counts[ids])
+                starts = np.concatenate([[0], np.cumsum(tokens)[:-1]])
+                columns = {
+                    "doc_id": pa.array(batch.column(0)[i].as_py(), pa.int64()),
+                    "held_out": pa.array(held),
+                    "n_tokens": pa.array(tokens),
+                    "n_known": pa.array(np.add.reduceat((counts[ids] > 0).astype(np.int64), starts)),
+                    "train_tokens": pa.array(np.full(len(starts), m.total, dtype=np.int64)),
+                    "base_score": pa.array(np.add.reduceat(base, starts)),
+                    "score": pa.array(np.add.reduceat(score, starts)),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return held.groupBy("chunk").cogroup(lists.select("chunk", "at", "c").groupBy("chunk")).applyInArrow(task, schema)
+    return texts.select("doc_ids", "held", "tokens", "ids", "units", "counts").mapInArrow(task, schema)
 
 
 def score_documents(docs: DataFrame, held_out: Column, rules: LmRules = LmRules()) -> DataFrame:
@@ -331,4 +521,4 @@ def score_documents(docs: DataFrame, held_out: Column, rules: LmRules = LmRules(
     word = Window.partitionBy("word")
     counted = word_lists(held).withColumn("c", F.sum("n").over(word)).withColumn("is_first", F.row_number().over(word.orderBy("chunk")) == 1)
     lists = settle(counted.select("word", "chunk", "at", "c", "is_first"))
-    return scored(held, lists, fit(held, lists, rules))
+    return scored(*fit(held, lists, rules))

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from jobtide.llm import cells, circulant, class_lm, components, doubling, ftrl, host_rules, line_store, mixing, packing, queries, url_ratio
@@ -267,6 +268,28 @@ def test_class_lm(spark, documents, awkward):
     assert class_lm.score_documents(awkward, held).count() == len(AWKWARD)
 
 
+def test_units_grow_with_the_corpus(spark):
+    """30 words in turn with 30 others, each too rare a share of a corpus of fillers: they come to two classes by what is beside them."""
+    draw = np.random.default_rng(8)
+    one, two = [f"p{chr(97 + i % 26)}{i}xxx" for i in range(30)], [f"q{chr(97 + i % 26)}{i}xxx" for i in range(30)]
+    text = " ".join(w for _ in range(900) for w in ("left", draw.choice(one), "right", draw.choice(two), *["fill"] * 46))
+    docs = local_frame(spark, [(i, text) for i in range(2)], "doc_id bigint, text string")
+    rules = class_lm.LmRules(classes=6)
+    held = class_lm.settle(class_lm.chunks(docs, F.lit(False), rules))
+    word = Window.partitionBy("word")
+    lists = class_lm.word_lists(held).withColumn("c", F.sum("n").over(word)).withColumn("is_first", F.row_number().over(word.orderBy("chunk")) == 1)
+    vocabulary = lists.where("is_first").select("word", "c")
+    total = vocabulary.agg(F.sum("c")).first()[0]
+    assert class_lm.representatives(vocabulary, total, rules).size < 8
+    texts, model = class_lm.fit(held, lists, rules)
+    row = texts.first()
+    unpack = class_lm.zstandard.ZstdDecompressor().decompress
+    units = np.frombuffer(unpack(row["units"]), dtype=np.int32)
+    found = dict(zip(unpack(held.first()["words"]).decode().split(" "), model.of[units].tolist()))
+    assert len(set(units.tolist())) == 64
+    assert len({found[w] for w in one}) == len({found[w] for w in two}) == 1 and found[one[0]] != found[two[0]]
+
+
 def test_classifier(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
