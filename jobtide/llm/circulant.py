@@ -3,8 +3,8 @@
 A document is the set of its distinct shingles. Two permutations of the 32-bit numbers make the whole signature: the
 first scatters the shingles, the second is shifted round by one more place for every coordinate, and a coordinate is
 the smallest value over the set. Bands of `rows` coordinates, drawn from all of them by a fixed rule, are the buckets:
-with 48 bands of 6 out of 128, two sets of similarity 0.8 miss each other about once in 60,000 pairs, and more similar
-ones far less often. Every candidate pair that the whole signature does not rule out (it agrees on fewer than 62 %
+with 48 bands of 6 out of 128, which share coordinates, two sets of similarity 0.8 miss each other about once in 15,000
+pairs (simulated), and more similar ones far less often. Every candidate pair that the whole signature does not rule out (it agrees on fewer than 62 %
 of the coordinates, five standard deviations below 0.8) is then confirmed on the full sets.
 
 Documents with equal sets become one before banding. A bucket's members are first compared with its smallest member
