@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import cells, circulant, class_lm, doubling, ftrl, host_rules, line_store, mixing, packing, url_ratio
+from jobtide.llm import cells, circulant, class_lm, doubling, ftrl, host_rules, line_store, mixing, multi_search, packing, part_codes, url_ratio
 from jobtide.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -74,9 +74,31 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = part_codes.compress(read(spark, sf_dir, "embeddings"))
+    rows = part_codes.with_label_errors(coded).withColumn("codebooks_sha256", F.lit(part_codes.book_digest(books)))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_multi_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multi_search.passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_ratio, op2_packing, op3_class_lm, op4_circulant_minhash, op5_prefix_doubling, op6_embedding_cells, op7_host_rules, op8_quality_classifier, op9_line_dedup, op10_mixing)
+    for f in (
+        op1_url_ratio, op2_packing, op3_class_lm, op4_circulant_minhash, op5_prefix_doubling, op6_embedding_cells, op7_host_rules,
+        op8_quality_classifier, op9_line_dedup, op10_mixing, op12_part_codes, op13_multi_search,
+    )
 }
 
 ORACLES: dict[str, str] = {}
