@@ -6,7 +6,7 @@ from jobtide.checks.base import Registry, table
 from jobtide.functions.json import first_present, json_text, truthy_text
 from jobtide.functions.numbers import days_between, epoch_date, half_even_int, half_up_int, is_fresh
 from jobtide.functions.text import first_filled
-from jobtide.operators.ranking import last_wins, number_rows, number_small_groups, top_per_key
+from jobtide.operators.ranking import By, last_wins, number_rows, number_small_groups, top_per_key
 from jobtide.operators.tables import latest_per_day, missing_dates, not_present, seeded_sample
 from jobtide.plans import reporting
 from jobtide.plans.places import canonical_places
@@ -320,7 +320,7 @@ from orders""")
 def rank_orders_hot_groups(spark, sf):
     """Three statuses share all orders; with a low limit every group is ranked by range over many tasks."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    order = [F.col("o_orderdate").desc(), F.col("o_orderkey").asc()]
+    order = [By(F.col("o_orderdate"), down=True, nulls_last=True), By(F.col("o_orderkey"))]
     return number_rows(orders, ["o_orderstatus"], order, "place", hot_rows=1000).select(
         "o_orderkey", "o_orderstatus", "place"
     )

@@ -11,7 +11,7 @@ from jobtide.operators.aggregates import by_group_and_all, count_where
 from jobtide.operators.dictionary import dictionary_match
 from jobtide.operators.flags import in_country, in_scope
 from jobtide.operators.phrases import phrase_join
-from jobtide.operators.ranking import number_rows
+from jobtide.operators.ranking import By, number_rows
 from jobtide.params import Params, ScopeRules
 from jobtide.plans import audits, marts, reporting
 from jobtide.session import local_frame
@@ -219,7 +219,7 @@ def dedup_documents(spark, sf):
     keyed = table(spark, sf, "documents").select(
         "doc_id", "source", "n_chars", F.sha2(F.lower("text"), 256).alias("text_key")
     )
-    order = [F.when(F.col("source") == "src0", 0).otherwise(1), F.col("n_chars").desc_nulls_last(), F.col("doc_id")]
+    order = [By(F.when(F.col("source") == "src0", 0).otherwise(1)), By(F.col("n_chars"), down=True, nulls_last=True), By(F.col("doc_id"))]
     return number_rows(keyed, ["text_key"], order, "dedup_rank", Params.hot_rows).select("doc_id", "source", "dedup_rank")
 
 

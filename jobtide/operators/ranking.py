@@ -5,21 +5,59 @@ Three forms, by what the caller needs:
 * `first_per_key` / `top_per_key` keep a bounded number of rows per key. Spark limits each group
   before the shuffle (WindowGroupLimit), so one huge key costs no more than a small one.
 * `number_small_groups` numbers every row of groups that are small by construction.
-* `number_rows` numbers every row of groups of any size. Groups too large for one task are sorted
-  together by range, so a single group spreads over as many tasks as it needs.
+* `number_rows` numbers every row of groups of any size, in one plan for all sizes.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from jobtide.session import local_frame, require_checkpoint_dir
-
-# monotonically_increasing_id keeps the partition number above bit 33.
-PARTITION_SHIFT = 33
+from pyspark.sql import types as T
+
+from jobtide.session import settle
+
+# A group's sketch: about as many sampled rows as make its ranges even, of which every CUT-th is a splitter.
+SKETCH_ROWS = 1024
+CUT = 8
+
+
+@dataclass(frozen=True)
+class By:
+    """One term of an order: an expression, its direction, and where its nulls go."""
+
+    value: Column
+    down: bool = False
+    nulls_last: bool = False
+
+    @property
+    def sorted(self) -> Column:
+        if self.down:
+            return self.value.desc_nulls_last() if self.nulls_last else self.value.desc_nulls_first()
+        return self.value.asc_nulls_last() if self.nulls_last else self.value.asc_nulls_first()
+
+
+def _place(name: str, kind: T.DataType, term: By) -> tuple[Column, bool]:
+    """A value that rises with the order of column `name`, and whether equal values mean equal terms."""
+    at, exact = F.col(name), True
+    if term.down:
+        if isinstance(kind, T.BooleanType):
+            at = ~at
+        elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            at = F.bitwise_not(at)
+        elif isinstance(kind, T.DateType):
+            at = F.bitwise_not(F.unix_date(at))
+        elif isinstance(kind, T.TimestampType):
+            at = F.bitwise_not(F.unix_micros(at))
+        elif isinstance(kind, T.DecimalType):
+            at = -at
+        else:
+            # No value falls as these rise; all of the column's rows count as equal, and what follows it cannot part them.
+            at, exact = F.lit(0), False
+    null = at.isNotNull() if not term.nulls_last else at.isNull()
+    return F.struct(null.alias("null"), at.alias("at")), exact
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", small: bool = False) -> DataFrame:
@@ -51,46 +89,57 @@ def number_small_groups(df: DataFrame, keys: list[str], order: list[Column], nam
     return df.withColumn(name, number.cast("bigint"))
 
 
-def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str, hot_rows: int) -> DataFrame:
+def number_rows(df: DataFrame, keys: list[str], order: list[By], name: str, hot_rows: int) -> DataFrame:
     """row_number() over groups of any size; `order` has to be total within a group.
 
-    Group sizes come from one pre-aggregated count. The list of oversized groups that reaches the
-    driver has at most rows / hot_rows entries, which also bounds the broadcasts below.
-    """
-    spark = df.sparkSession
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > hot_rows)
-    oversized = sizes.drop("__rows").collect()
-    if not oversized:
-        return number_small_groups(df, keys, order, name)
-
-    hot = local_frame(spark, oversized, df.select(*keys).schema)
-    small = join_null_safe(df, hot, keys, "left_anti", small=True)
-    large = join_null_safe(df, hot, keys, "left_semi", small=True)
-    numbered = number_small_groups(small, keys, order, name)
-    return numbered.unionByName(_number_by_range(large, keys, order, name))
-
-
-def _number_by_range(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    """Sort all groups together by range and turn global positions into positions per group.
-
-    The sorted rows are checkpointed: range bounds are sampled, so a second evaluation could cut
-    the ranges elsewhere and disagree with the counts taken from the first.
+    The input is written once, with group and order beside it. A sample of the written rows, one in
+    about hot_rows / SKETCH_ROWS, is the sketch: groups it shows to be large get splitters from its
+    quantiles. Each row then lies in one of its group's ranges, ranges are counted, and a row's
+    number is the count of the ranges before its own plus its number inside it. Groups without
+    splitters are one range. Splitters and counts are small tables written beside the rows: at most
+    SKETCH_ROWS / CUT ranges for each hot_rows / 2 rows read. Nothing is collected, and how the
+    tables are joined is left to their sizes.
     """
-    require_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.orderBy(*keys, *order)
-        .withColumn("__at", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("__part", F.shiftright("__at", PARTITION_SHIFT))
+    terms = {f"__by{i}": term for i, term in enumerate(order)}
+    rows = df.withColumns({n: t.value for n, t in terms.items()})
+    places = []
+    for column, term in terms.items():
+        at, exact = _place(column, rows.schema[column].dataType, term)
+        places.append(at.alias(column))
+        if not exact:
+            break
+    # Structs, so that null keys equal one another in joins.
+    rows = settle(rows.withColumns({"__group": F.struct(*(keys or [F.lit(0)])), "__place": F.struct(*places)}))
+    splitters = settle(_splitters(rows, list(terms), hot_rows))
+    cut = rows.join(splitters, F.col("__group") == F.col("__cut_group"), "left").withColumn(
+        "__range", F.size(F.filter(F.coalesce("__cuts", F.array()), lambda c: c <= F.col("__place")))
+    )
+    sizes = cut.filter(F.col("__cuts").isNotNull()).groupBy("__group", "__range").agg(F.count("*").alias("__rows"))
+    earlier = Window.partitionBy("__group").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = settle(
+        sizes.select(
+            F.col("__group").alias("__in_group"), F.col("__range").alias("__in_range"),
+            F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"),
+        )
     )
-    # One row per group and sorted partition: at most groups + partitions rows.
-    stretches = placed.groupBy(*keys, "__part").agg(
-        F.min("__at").alias("__start"), F.count("*").alias("__length")
+    inside = Window.partitionBy("__group", "__range").orderBy(*[By(F.col(n), t.down, t.nulls_last).sorted for n, t in terms.items()])
+    numbered = cut.withColumn("__number", F.row_number().over(inside).cast("bigint")).join(
+        before, (F.col("__group") == F.col("__in_group")) & (F.col("__range") == F.col("__in_range")), "left"
     )
-    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    stretches = stretches.withColumn(
-        "__before", F.coalesce(F.sum("__length").over(earlier), F.lit(0))
+    return numbered.select(*df.columns, (F.col("__number") + F.coalesce("__before", F.lit(0))).alias(name))
+
+
+def _splitters(rows: DataFrame, terms: list[str], hot_rows: int) -> DataFrame:
+    """__cut_group, __cuts (rising places) of the groups that a sample shows to hold more than half of hot_rows."""
+    one_in = max(1, hot_rows // SKETCH_ROWS)
+    sampled = rows.filter(F.pmod(F.xxhash64("__group", *terms), F.lit(one_in)) == 0)
+    shown = sampled.groupBy("__group").agg(F.count("*").alias("__shown")).filter(F.col("__shown") * one_in > hot_rows // 2)
+    held = shown.select(F.col("__group").alias("__cut_group"), "__shown")
+    of_large = sampled.select("__group", "__place", F.xxhash64(*terms).alias("__digest")).join(
+        held, F.col("__group") == F.col("__cut_group"), "left_semi"
     )
-    numbered = join_null_safe(placed, stretches, [*keys, "__part"], small=True)
-    number = F.col("__at") - F.col("__start") + F.col("__before") + 1
-    return numbered.select(*df.columns, number.alias(name))
+    # A bounded sketch per group, limited before the shuffle.
+    kept = top_per_key(of_large, ["__group"], [F.col("__digest")], SKETCH_ROWS)
+    quantiles = kept.groupBy("__group").agg(F.array_sort(F.collect_list("__place")).alias("__sketch"))
+    picked = F.filter("__sketch", lambda x, i: i % CUT == CUT - 1)
+    return quantiles.select(F.col("__group").alias("__cut_group"), F.array_distinct(picked).alias("__cuts"))

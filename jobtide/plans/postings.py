@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from jobtide.functions.numbers import MONEY, days_between, is_fresh
 from jobtide.functions.text import finds_ignoring_case, has_text
 from jobtide.operators.flags import as_group, in_country, in_scope
-from jobtide.operators.ranking import first_per_key, number_rows, number_small_groups
+from jobtide.operators.ranking import By, first_per_key, number_rows, number_small_groups
 from jobtide.params import LanguageRules, Params, ScopeRules, SourceTags
 from jobtide.session import settle
 
@@ -67,14 +67,14 @@ def dedup_keys() -> dict[str, Column]:
     }
 
 
-def dedup_order(tags: SourceTags) -> list[Column]:
+def dedup_order(tags: SourceTags) -> list[By]:
     """Federal rows first, then the most recently published; the rest only breaks ties."""
     return [
-        F.when(F.col("source") == tags.federal, 0).otherwise(1).asc(),
-        F.col("published_at").desc_nulls_last(),
-        F.col("posting_id").asc(),
-        F.col("source").asc(),
-        F.col("run_date").desc(),
+        By(F.when(F.col("source") == tags.federal, 0).otherwise(1)),
+        By(F.col("published_at"), down=True, nulls_last=True),
+        By(F.col("posting_id")),
+        By(F.col("source")),
+        By(F.col("run_date"), down=True, nulls_last=True),
     ]
 
 
@@ -176,7 +176,7 @@ def published_postings(
     newest = newest_run(listings.select("run_date").unionByName(board.select("run_date")))
     fresh = latest.filter(is_fresh(F.col("run_date"), newest, params.freshness_days))
     # The vacancies are few next to the texts, which are thinned out by their ids before the join.
-    kept = settle(first_per_key(fresh.withColumns(dedup_keys()), ["employer_key", "title_key"], dedup_order(tags)))
+    kept = settle(first_per_key(fresh.withColumns(dedup_keys()), ["employer_key", "title_key"], [by.sorted for by in dedup_order(tags)]))
     wanted_details = details.join(kept.select("posting_id").distinct(), "posting_id", "left_semi")
     wanted_board = board.join(kept.select("posting_id", "run_date"), ["posting_id", "run_date"], "left_semi")
     return _with_texts(kept, wanted_details, wanted_board, language, tags, params).select(*PUBLISHED_COLUMNS)

@@ -1,5 +1,7 @@
 """Operators against brute force on small random data."""
 
+import datetime
+import decimal
 import random
 import re
 import statistics
@@ -13,7 +15,7 @@ from jobtide.operators.aggregates import exact_medians, joined_distinct
 from jobtide.operators.dictionary import dictionary_match
 from jobtide.operators.flags import in_scope
 from jobtide.operators.phrases import longest_only, phrase_join
-from jobtide.operators.ranking import number_rows
+from jobtide.operators.ranking import By, number_rows
 from jobtide.operators.tables import canonical_lines, column_differences, diff_tables
 from jobtide.params import ScopeRules
 from jobtide.plans.places import opens_with
@@ -90,17 +92,37 @@ def test_long_dictionary_gives_the_same_matches(spark):
 
 def test_numbering_of_oversized_groups(spark):
     rng = random.Random(3)
-    data = [(rng.choice(["a", "a", "a", "b", None, "c"]), rng.randint(0, 9), i) for i in range(3000)]
+    data = [(rng.choice(["a", "a", "a", "b", None, "c"]), rng.choice([None, *range(10)]), i) for i in range(3000)]
     df = spark.createDataFrame(data, "g string, v int, id int").repartition(7)
-    order = [F.col("v").desc(), F.col("id").asc()]
-    plain = {(r["id"], r["n"]) for r in number_rows(df, ["g"], order, "n", 10**6).collect()}
-    split = {(r["id"], r["n"]) for r in number_rows(df, ["g"], order, "n", 600).collect()}
-    assert split == plain and len(plain) == 3000
-    expected = set()
-    for g in ("a", "b", "c", None):
-        members = sorted((x for x in data if x[0] == g), key=lambda x: (-x[1], x[2]))
-        expected |= {(x[2], i + 1) for i, x in enumerate(members)}
-    assert plain == expected
+    for nulls_last in (True, False):
+        order = [By(F.col("v"), down=True, nulls_last=nulls_last), By(F.col("id"))]
+        plain = {(r["id"], r["n"]) for r in number_rows(df, ["g"], order, "n", 10**6).collect()}
+        split = {(r["id"], r["n"]) for r in number_rows(df, ["g"], order, "n", 600).collect()}
+        assert split == plain and len(plain) == 3000
+        expected = set()
+        for g in ("a", "b", "c", None):
+            members = sorted(
+                (x for x in data if x[0] == g), key=lambda x: ((x[1] is None) == nulls_last, -(x[1] or 0), x[2])
+            )
+            expected |= {(x[2], i + 1) for i, x in enumerate(members)}
+        assert plain == expected
+
+
+def test_numbering_by_every_type(spark):
+    rng = random.Random(5)
+    day = lambda n: datetime.date(2020, 1, 1) + datetime.timedelta(days=n)
+    data = [
+        (i, rng.choice([None, "", "a", "ab", "é"]), rng.random() < 0.5, day(rng.randint(0, 40)), decimal.Decimal(rng.randint(-3, 3)) / 4,
+         rng.choice([None, float("nan"), -0.5, 1e300, float("-inf")]), datetime.datetime(2020, 1, 1, rng.randint(0, 23)))
+        for i in range(1500)
+    ]
+    df = spark.createDataFrame(data, "id bigint, s string, b boolean, d date, m decimal(5,2), x double, t timestamp")
+    by = lambda rows: [r["id"] for r in rows.collect()]
+    for i, column in enumerate(["s", *df.columns]):
+        order = [By(F.col(column), i > 0, i % 2 == 0), By(F.col("id"), down=True)]
+        expected = by(df.orderBy(order[0].sorted, order[1].sorted))
+        assert by(number_rows(df, [], order, "n", 400).orderBy("n")) == expected
+
 
 
 def test_median(spark):
