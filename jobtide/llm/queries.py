@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import cells, circulant, class_lm, doubling, ftrl, host_rules, line_store, mixing, multi_search, packing, part_codes, url_ratio
+from jobtide.llm import cells, circulant, class_lm, doubling, ftrl, host_rules, line_store, mixing, multi_search, packing, part_codes, prefix_trie, url_ratio
 from jobtide.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -74,6 +74,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(read(spark, sf_dir, "conversations"))
+
+
 def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = part_codes.compress(read(spark, sf_dir, "embeddings"))
     rows = part_codes.with_label_errors(coded).withColumn("codebooks_sha256", F.lit(part_codes.book_digest(books)))
@@ -97,7 +101,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_url_ratio, op2_packing, op3_class_lm, op4_circulant_minhash, op5_prefix_doubling, op6_embedding_cells, op7_host_rules,
-        op8_quality_classifier, op9_line_dedup, op10_mixing, op12_part_codes, op13_multi_search,
+        op8_quality_classifier, op9_line_dedup, op10_mixing, op11_prefix_trie, op12_part_codes, op13_multi_search,
     )
 }
 
