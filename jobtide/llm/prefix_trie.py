@@ -267,8 +267,11 @@ def _split(work: DataFrame, paths: DataFrame, rules: TrieRules) -> tuple[DataFra
 def subtree_sums(trie: Trie, rules: TrieRules = TrieRules()) -> DataFrame:
     """conv_id, depth, n_leaves, saved_tokens of every node."""
     top = trie.nodes.where("depth = 0").select("conv_id").first()[0]
-    now = trie.nodes.select(
-        F.lit(top).cast("long").alias("top_conv"), F.lit(0).cast("long").alias("top_depth"), "conv_id", "depth", "parent_conv_id", "weight", "leaves", "saved"
+    # Written, so that the joins below meet columns and not constants.
+    now = settle(
+        trie.nodes.select(
+            F.lit(top).cast("long").alias("top_conv"), F.lit(0).cast("long").alias("top_depth"), "conv_id", "depth", "parent_conv_id", "weight", "leaves", "saved"
+        )
     )
     parts: list[DataFrame] = []
     small: list[DataFrame] = []

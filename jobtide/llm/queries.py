@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import cells, circulant, class_lm, doubling, ftrl, host_rules, line_store, mixing, multi_search, packing, part_codes, prefix_trie, url_ratio
+from jobtide.llm import cells, circulant, class_lm, doubling, ftrl, host_rules, line_store, mixing, multi_search, oracles, packing, part_codes, prefix_trie, url_ratio
 from jobtide.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -105,4 +105,8 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_prefix_trie": oracles.PREFIX_TRIE,
+    "op12_part_codes": oracles.PART_CODES,
+    "op13_multi_search": oracles.MULTI_SEARCH,
+}
