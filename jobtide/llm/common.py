@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from jobtide.session import settle
 
-__all__ = ["settle", "BLANKS", "read", "native_words", "mix64", "batches_of", "fold_hash", "documents_only"]
+__all__ = ["settle", "BLANKS", "read", "native_words", "mix64", "batches_of", "fold_hash", "documents_only", "unused"]
 
 #: The white space that parts words: space and the controls 9 to 13.
 BLANKS = "\\x20\\x09-\\x0D"
@@ -31,6 +31,14 @@ def documents_only(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[docs[c] for c in columns])
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """`name`, with as many underscores behind it as keep it apart from the columns of `docs`."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads all bits."""
     x = x ^ (x >> np.uint64(33))

@@ -24,8 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from jobtide.llm.common import mix64, settle
+from jobtide.llm.common import mix64, settle, unused
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -182,19 +183,23 @@ def train(docs: DataFrame, labels: DataFrame, rules: FtrlRules = FtrlRules()) ->
 
 
 def score(docs: DataFrame, weights: np.ndarray, rules: FtrlRules = FtrlRules()) -> DataFrame:
-    """`docs` (any columns, with text) and a score beside them, 0 to 1."""
+    """`docs` (any columns, with text) and behind them a score, 0 to 1: quality_score, or the first unused name that begins so."""
     held = docs.sparkSession.sparkContext.broadcast(weights)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "quality_score double"])
+    score_name = unused(docs, "quality_score")
+    # By place, so that any name will do.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text_at = docs.columns.index("text")
+    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, w = Features(rules), held.value
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = features.of(part.column(part.schema.get_field_index("text")).to_pylist())
+                found = features.of(part.column(text_at).to_pylist())
                 scores = [logistic(float(np.dot(w[i].astype(np.float64), v))) for i, v in found]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*part.schema.names, "quality_score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*part.schema.names, "score"])
 
-    return docs.mapInArrow(task, schema)
+    return plain.mapInArrow(task, schema).toDF(*docs.columns, score_name)
 
 

@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from jobtide.llm.common import batches_of, each_row, settle
+from jobtide.llm.common import batches_of, each_row, settle, unused
 
 WHITE = b" \t\n\x0b\x0c\r"
 SLOTS = 4
@@ -302,21 +303,22 @@ def _filters(keys: DataFrame, shards: int, kicks: int) -> DataFrame:
 
 
 def without_lost_lines(docs: DataFrame, store: LineStore) -> DataFrame:
-    """`docs` with text rid of the lines each document loses, and n_lines, n_dropped beside it.
+    """`docs` with text rid of the lines each document loses, and behind its columns n_lines and n_dropped.
 
-    An untouched text stays as it is; a null text becomes an empty one.
+    An untouched text stays as it is; a null text becomes an empty one. Where `docs` has columns of these names, the
+    counts take the first unused names that begin so.
     """
     least = store.rules.min_chars
-    lost = store.losses().withColumnRenamed("doc_id", "lost_id")
-    taken = {"text": "line_text", "lost": "line_lost"}
-    joined = docs.withColumnRenamed("text", taken["text"]).join(lost.withColumnRenamed("lost", taken["lost"]), F.col("doc_id") == F.col("lost_id"), "left").drop("lost_id")
-    others = [f for f in joined.schema.fields if f.name not in taken.values()]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), "text string, n_lines long, n_dropped long"])
+    # By place, so that any name will do.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text_at, doc_id = docs.columns.index("text"), F.col(f"c{docs.columns.index('doc_id')}")
+    joined = plain.join(store.losses(), doc_id == F.col("doc_id"), "left").select(*plain.columns, "lost")
+    schema = T.StructType([*plain.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_dropped = [], [], []
-            for text, lost_keys in each_row(batch, "line_text", "line_lost"):
+            for text, lost_keys in zip(batch.column(text_at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
                 kept = lines
                 if lost_keys:
@@ -325,13 +327,11 @@ def without_lost_lines(docs: DataFrame, store: LineStore) -> DataFrame:
                 texts.append(b"\n".join(kept).decode("utf-8", "replace"))
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(kept))
-            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in others]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                names=[*(f.name for f in others), "text", "n_lines", "n_dropped"],
-            )
+            columns = batch.columns[:-1]
+            columns[text_at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=schema.names)
 
-    return joined.mapInArrow(task, schema)
+    return joined.mapInArrow(task, schema).toDF(*docs.columns, *[unused(docs, n) for n in ("n_lines", "n_dropped")])
 
 
 def dedup_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm.common import BLANKS, native_words, settle
+from jobtide.operators.ranking import first_per_key
 
 
 @dataclass(frozen=True)
@@ -130,8 +131,9 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
 def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """The mix itself: each document as often as it is taken, the last one of a source cut after its last word.
 
-    Columns are those of `docs`. A part is cut behind a word and keeps the white space before it. Rows alike in
-    doc_id, source and text are taken together, as one row that holds the words of all.
+    Columns are those of `docs`, whatever their names. A part is cut behind a word and keeps the white space before it. Rows alike
+    in doc_id, source and text are taken together, as one row that holds the words of all: the one whose other columns have
+    the smallest digest.
     """
     keys = ["doc_id", "source", "tie"]
     plan = (
@@ -141,21 +143,20 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
         .where("taken > 0")
         .select(*[F.col(c).alias(f"p_{c}") for c in [*keys, "size", "taken", "rows"]])
     )
-    columns = docs.columns
-    joined = docs.withColumn("p_hash", F.xxhash64("text")).join(
-        plan,
-        F.col("doc_id").eqNullSafe(F.col("p_doc_id")) & F.col("source").eqNullSafe(F.col("p_source")) & (F.col("p_hash") == F.col("p_tie")),
-    )
-    pieces = F.split(F.col("text"), f"(?<=[^{BLANKS}])(?=[{BLANKS}])")
+    # The row as one value: its columns cannot meet those of the plan.
+    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.xxhash64("text").alias("tie"))
+    doc_id, source, text = (F.col("row").getField(c) for c in ("doc_id", "source", "text"))
+    joined = held.join(plan, doc_id.eqNullSafe(F.col("p_doc_id")) & source.eqNullSafe(F.col("p_source")) & (F.col("tie") == F.col("p_tie")))
+    pieces = F.split(text, f"(?<=[^{BLANKS}])(?=[{BLANKS}])")
     part = (F.col("p_taken") % F.col("p_size")).cast("int")
     cut = F.when(part > 0, F.array(F.array_join(F.slice(pieces, 1, part), ""))).otherwise(F.array().cast("array<string>"))
     whole = F.floor(F.col("p_taken") / F.col("p_size")).cast("int")
 
     def texts(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            *[c for c in columns if c != "text"], F.explode(F.concat(F.array_repeat(F.col("text"), whole), cut)).alias("text")
-        ).select(columns)
+        taken = rows.select("row", F.explode(F.concat(F.array_repeat(text, whole), cut)).alias("part"))
+        return taken.select(*[(F.col("part") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
     single = texts(joined.where("p_rows = 1"))
-    alike = joined.where("p_rows > 1").dropDuplicates(["p_doc_id", "p_source", "p_tie"])
+    several = joined.where("p_rows > 1").withColumn("digest", F.sha2(F.to_json("row"), 256))
+    alike = first_per_key(several, ["p_doc_id", "p_source", "p_tie"], [F.col("digest")])
     return single.unionByName(texts(alike))

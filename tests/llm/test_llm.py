@@ -303,6 +303,68 @@ def test_classifier(spark):
     assert {r[0] for r in ftrl.score(docs, empty, rules).select("quality_score").collect()} == {0.5}
 
 
+#: Names used inside the stages beside the columns of documents, and some that Spark could take apart.
+INNER = [
+    "quality_score", "lost_id", "lost_keys", "line_text", "line_lost", "text_before", "n_lines", "n_dropped", "lost", "kept_id", "rows", "kept", "row", "own_id",
+    "of_id", "digest", "other", "part", "tie", "p_doc_id", "p_source", "p_tie", "p_hash", "p_size", "p_taken", "p_rows", "size", "draw", "range", "taken", "bucket",
+    "ids", "label", "learner", "index", "value", "hi", "lo", "component_id", "a.b", "QUALITY_SCORE_",
+]
+
+
+@pytest.fixture
+def crowded(awkward):
+    for name in INNER:
+        if name not in awkward.columns:
+            awkward = awkward.withColumn(name, F.lit(f"mine {name}"))
+    return awkward
+
+
+def test_stages_leave_further_columns_alone(spark, crowded):
+    import corpus_pipeline
+
+    names = [n for n in INNER if n not in ("size", "bucket")]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, crowded, SF)
+        assert out.columns == crowded.columns, name
+        assert out.schema == crowded.schema or [f.dataType for f in out.schema] == [f.dataType for f in crowded.schema]
+        for row in out.select([f"`{n}`" for n in names]).distinct().collect():
+            assert [row[n] for n in names] == [f"mine {n}" for n in names], name
+    assert corpus_pipeline.STAGES[-1][1](spark, crowded, SF).count() >= crowded.count()
+    scored = ftrl.score(crowded, np.zeros(1 << ftrl.FtrlRules().bits, dtype=np.float32))
+    assert scored.columns[:-1] == crowded.columns and scored.columns[-1].startswith("quality_score_")
+    assert {r[0] for r in scored.select(scored.columns[-1]).collect()} == {0.5}
+    cut = line_store.dedup_lines(crowded)
+    assert set(crowded.columns) < set(cut.columns) and len(cut.columns) == len(crowded.columns) + 2
+
+
+def test_near_copies_lose_no_text(spark):
+    import corpus_pipeline
+
+    base = [f"w{i}" for i in range(120)]
+    near = base[:119] + ["changed"]
+    other, third, fourth = ([f"{c}{i}" for i in range(60)] for c in "xyz")
+    rows = [
+        (1, " ".join(base), "en", "a", 1), (1, " ".join(other), "en", "a", 2), (2, " ".join(third), "en", "b", 3),
+        (2, " ".join(near), "en", "b", 4), (3, " ".join(other), "en", "c", 5), (4, " ".join(fourth), "en", "c", 6),
+        (4, " ".join(fourth), "en", "d", 7), (None, " ".join(base), "en", "d", 8), (5, None, "en", "d", 9), (5, "", "en", "d", 10), (6, None, "en", "d", 9),
+    ]
+    docs = local_frame(spark, rows, DOCS)
+    of = lambda frame: sorted(map(str, frame.select("doc_id", "text", "n_chars").collect()))
+    got = corpus_pipeline.near_copies(spark, docs, SF)
+    texts = sorted((str(d), t) for d, t in ((r["doc_id"], r["text"]) for r in got.collect()) if t)
+    assert texts == sorted([("1", rows[0][1]), ("1", rows[1][1]), ("2", rows[2][1]), ("4", rows[5][1]), ("None", rows[7][1])])
+    assert got.where("text is null").count() == 2 and got.where("text = ''").count() == 1
+    assert of(got) == of(corpus_pipeline.near_copies(spark, docs.repartition(7), SF))
+    assert corpus_pipeline.near_copies(spark, docs.limit(0), SF).count() == 0
+
+
+def test_pipeline_stages_on_empty_tables(spark, awkward):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, awkward.limit(0), SF).count() == 0, name
+
+
 def test_pipeline_on_awkward_rows(spark, awkward):
     import corpus_pipeline
 
