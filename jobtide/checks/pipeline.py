@@ -9,7 +9,7 @@ from jobtide.operators.quality import growing_stages, tail_mismatch
 from jobtide.operators.phrases import longest_only
 from jobtide.plans import audits, marts, reporting
 from jobtide.plans.places import place_matches, with_verdicts
-from jobtide.plans.postings import PUBLISHED_COLUMNS, published
+from jobtide.plans.postings import PUBLISHED_COLUMNS, published_rows
 from jobtide.session import settle
 
 registry = Registry()
@@ -91,7 +91,8 @@ def published_events(spark, sf):
 
 @registry.add("published_from_scored", PUBLISHED_SQL)
 def published_from_scored(spark, sf):
-    return published(w.World(spark, sf).score()).select(*PUBLISHED, F.md5("description").alias("digest"))
+    world = w.World(spark, sf)
+    return published_rows(world.narrow_scored(), world.texts).select(*PUBLISHED, F.md5("description").alias("digest"))
 
 
 @registry.add("mentions_events", w.with_sql(*w.TO_MENTIONS, select="select * from mention"))

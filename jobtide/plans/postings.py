@@ -1,7 +1,8 @@
 """Scored postings: every row read, with stage flags and ranks; and the published subset.
 
-The long texts stay out of all sorting. Rows are flagged and ranked on narrow columns, and the
-description with what is read from it is joined to the finished rows once.
+The long texts stay out. Rows are flagged and ranked on narrow columns and carry the address of
+their description; what is read from a text is read once per distinct text, and the text itself is
+joined only to rows that are handed out with it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from jobtide.operators.flags import as_group, in_country, in_scope
 from jobtide.operators.ranking import By, first_per_key, number_rows, number_small_groups
 from jobtide.params import LanguageRules, Params, ScopeRules, SourceTags
 from jobtide.session import settle
+from jobtide.sources.texts import TextStore, addressed, with_texts
 
 SCORED_COLUMNS = [
     "posting_id", "source", "run_date", "title", "employer", "city", "region", "country",
@@ -24,6 +26,7 @@ SCORED_COLUMNS = [
     "still_advertised", "dedup_rank", "has_description",
 ]
 PUBLISHED_COLUMNS = SCORED_COLUMNS[:18]
+NARROW_COLUMNS = [c for c in SCORED_COLUMNS if c != "description"] + ["text_key"]
 
 
 def newest_details(details: DataFrame) -> DataFrame:
@@ -112,20 +115,46 @@ def _with_texts(
     )
 
 
-def scored_postings(
+def text_facts(texts: DataFrame, language: LanguageRules, params: Params) -> DataFrame:
+    """What the rows need to know of each distinct text; `texts` is a text store as read."""
+    text = F.col("text")
+    return texts.select(
+        F.col("text_key").alias("fact_key"),
+        *[value.alias(name) for name, value in _read_from(text, language).items()],
+        F.length(text).alias("description_length"),
+        has_text(text, params.description_min_chars).alias("has_description"),
+    )
+
+
+def _address_texts(rows: DataFrame, details: DataFrame, board: DataFrame, tags: SourceTags) -> DataFrame:
+    """Federal rows take the posting's newest detail, board rows the text of their own run."""
+    described = newest_details(details).select("posting_id", "text_key", "allows_home_office", "is_temp_agency")
+    offered = board.select(
+        "posting_id", "run_date", "text_key", "allows_home_office", F.lit(None).cast("boolean").alias("is_temp_agency")
+    )
+    federal = rows.filter(F.col("source") == tags.federal).join(described, "posting_id", "left")
+    return federal.unionByName(
+        rows.filter(F.col("source") == tags.board).join(offered, ["posting_id", "run_date"], "left")
+    )
+
+
+def scored_rows(
     listings: DataFrame,
     details: DataFrame,
     board: DataFrame,
     located: DataFrame,
+    texts: DataFrame,
     rules: ScopeRules = ScopeRules(),
     language: LanguageRules = LanguageRules(),
     tags: SourceTags = SourceTags(),
     params: Params = Params(),
 ) -> DataFrame:
-    """All rows read with flags and ranks; `located` is the board with its verdicts.
+    """All rows read with flags and ranks, and with `text_key` for the description.
 
-    Ranks partition on the flag before them, so rows that failed a stage are ranked apart and a
-    rank means nothing without its flag.
+    `located` is the board with its verdicts. `details` and `board` carry text_key in place of the
+    description, and `texts`, a text store as read, holds every text they name. Ranks partition on
+    the flag before them, so rows that failed a stage are ranked apart and a rank means nothing
+    without its flag.
     """
     rows = narrow_rows(listings, located, tags, rules)
     passed = as_group(F.col("title_in_scope") & F.col("country_known"))
@@ -133,7 +162,7 @@ def scored_postings(
     ranked = number_small_groups(
         rows.withColumn("passed", passed), ["source", "posting_id", "passed"], [F.col("run_date").desc()], "run_rank"
     )
-    # Read three times below, and narrow: no texts.
+    # Read twice below, and narrow: no texts.
     ranked = settle(ranked.drop("passed"))
     dated = ranked.withColumn("days_since_latest_run", days_between(newest_run(ranked), F.col("run_date")))
     advertised = (
@@ -147,7 +176,42 @@ def scored_postings(
     numbered = number_rows(
         keyed, ["employer_key", "title_key", "advertised"], dedup_order(tags), "dedup_rank", params.hot_rows
     )
-    return _with_texts(numbered, details, board, language, tags, params).select(*SCORED_COLUMNS)
+    facts = text_facts(texts, language, params)
+    known = _address_texts(numbered, details, board, tags).join(facts, F.col("text_key") == F.col("fact_key"), "left")
+    return known.withColumns(
+        {
+            "description_length": F.coalesce("description_length", F.lit(0)),
+            "has_description": F.coalesce("has_description", F.lit(False)),
+        }
+    ).select(*NARROW_COLUMNS)
+
+
+def scored_postings(
+    listings: DataFrame,
+    details: DataFrame,
+    board: DataFrame,
+    located: DataFrame,
+    rules: ScopeRules = ScopeRules(),
+    language: LanguageRules = LanguageRules(),
+    tags: SourceTags = SourceTags(),
+    params: Params = Params(),
+) -> DataFrame:
+    """The scored rows with their descriptions, for those who have no text store: one is written aside."""
+    store = TextStore.scratch(listings.sparkSession)
+    store.add(details.select("description").unionByName(board.select("description")))
+    texts = store.read()
+    narrow = scored_rows(listings, addressed(details), addressed(board), located, texts, rules, language, tags, params)
+    return with_texts(narrow, texts).select(*SCORED_COLUMNS)
+
+
+def published_rows(scored: DataFrame, texts: DataFrame) -> DataFrame:
+    """The published rows with their descriptions, from narrow scored rows and a text store as read.
+
+    The vacancies are few next to the texts, which are thinned out by their addresses before the join.
+    """
+    kept = settle(scored.filter(F.col("still_advertised") & (F.col("dedup_rank") == 1)))
+    wanted = texts.join(kept.select("text_key").distinct(), "text_key", "left_semi")
+    return with_texts(kept, wanted).select(*PUBLISHED_COLUMNS)
 
 
 def published(scored: DataFrame) -> DataFrame:

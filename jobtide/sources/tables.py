@@ -42,6 +42,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+def newest_change(spark: SparkSession, path: str) -> tuple[int, int]:
+    """When the newest file or folder right below a path was changed, and how many there are."""
+    system, folder = _folder(spark, f"{path}/*")
+    changes = [status.getModificationTime() for status in system.globStatus(folder) or []]
+    return max(changes, default=0), len(changes)
+
+
 def _drop_folder(spark: SparkSession, path: str) -> None:
     system, folder = _folder(spark, path)
     system.delete(folder, True)
