@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,25 +57,42 @@ def _alternation(terms: list[str], cased: bool) -> str:
     return f"(?:{'|'.join(branches)}){'?' if '' in terms else ''}"
 
 
-def _rows_by_single_scan(text: Column, rows_of_term: dict[str, list[int]], cased: bool) -> Column:
+def _rows_by_single_scan(text: Column, rows_of_term: dict[str, list[int]], cased: bool, from_start: bool, to_end: bool) -> Column:
     """Dictionary rows of all plain terms in the text, found in one pass.
 
-    The terms sit in a look-ahead, so every word start reports its longest term; terms that are a
-    beginning of that term are known beforehand and added from a literal map.
+    `from_start` and `to_end` say at which ends a term has to be bounded. The terms sit in a
+    look-ahead, so every place where one may start reports its longest term; terms that are a
+    beginning of that term are known beforehand.
     """
     flag = "" if cased else "(?i)"
     first = "".join(sorted({c for term in rows_of_term for c in (term[0] if cased else term[0] + term[0].upper())}))
+    end = WORD_END if to_end else ""
     # Most positions are passed over by their letter alone.
-    scan = f"{flag}(?=[{first}]){WORD_START}(?=({_alternation(sorted(rows_of_term), cased)}){WORD_END})"
+    scan = f"{flag}(?=[{first}]){WORD_START if from_start else ''}(?=({_alternation(sorted(rows_of_term), cased)}){end})"
     hits = F.regexp_extract_all(text, F.lit(scan), F.lit(1))
+    holds = _starts_with_word if to_end else str.startswith
     beginnings = lambda term: (term[:n] for n in range(1, len(term) + 1))
     implied = {
-        term: sorted({r for t in beginnings(term) if t in rows_of_term and _starts_with_word(term, t) for r in rows_of_term[t]})
+        term: sorted({r for t in beginnings(term) if t in rows_of_term and holds(term, t) for r in rows_of_term[t]})
         for term in rows_of_term
     }
-    lookup = F.from_json(F.lit(json.dumps(implied)), "map<string,array<int>>")
     distinct_hits = F.array_distinct(hits if cased else F.transform(hits, F.lower))
-    return F.flatten(F.transform(distinct_hits, lambda h: F.element_at(lookup, h)))
+    return F.flatten(F.transform(distinct_hits, _look_up(implied)))
+
+
+def _look_up(rows_of_term: dict[str, list[int]]) -> Callable[[Column], Column]:
+    """The rows of a term, from a literal table of a place or two per digest of a term."""
+    places = 1 << len(rows_of_term).bit_length()
+    table: list[list[dict]] = [[] for _ in range(places)]
+    for term, rows in rows_of_term.items():
+        table[zlib.crc32(term.encode()) % places].append({"term": term, "rows": rows})
+    known = F.from_json(F.lit(json.dumps(table)), "array<array<struct<term:string,rows:array<int>>>>")
+
+    def rows(hit: Column) -> Column:
+        at = (F.crc32(hit.cast("binary")) % places).cast("int")
+        return F.flatten(F.transform(F.filter(F.get(known, at), lambda x: x["term"] == hit), lambda x: x["rows"]))
+
+    return rows
 
 
 def _rows_by_pattern(text: Column, patterns: list[tuple[int, str]], cased: bool, grouped: bool) -> Column:
@@ -87,19 +106,22 @@ def _rows_by_pattern(text: Column, patterns: list[tuple[int, str]], cased: bool,
 
 
 def matching_rows(text: Column, patterns: list[str], cased: bool = False, grouped: bool = True) -> Column:
-    """Array of the positions of the patterns that occur in the text between word boundaries."""
-    single_scan: dict[str, list[int]] = {}
+    """Array of the positions of the patterns that occur in the text between word boundaries.
+
+    Ungrouped, the boundaries bind to the first and last alternative: the first has to begin a word,
+    the last to end one, and those between may stand anywhere. Each kind is one pass over the text.
+    """
+    scans: dict[tuple[bool, bool], dict[str, list[int]]] = {}
     one_by_one: list[tuple[int, str]] = []
     for row, pattern in enumerate(patterns):
         terms = _plain_terms(pattern, cased)
-        if terms is None or (not grouped and len(terms) > 1):
+        if terms is None:
             one_by_one.append((row, pattern))
             continue
-        for term in terms:
-            single_scan.setdefault(term, []).append(row)
-    parts = []
-    if single_scan:
-        parts.append(_rows_by_single_scan(text, single_scan, cased))
+        for i, term in enumerate(terms):
+            bounds = (grouped or i == 0, grouped or i == len(terms) - 1)
+            scans.setdefault(bounds, {}).setdefault(term, []).append(row)
+    parts = [_rows_by_single_scan(text, terms, cased, *bounds) for bounds, terms in scans.items()]
     if one_by_one:
         parts.append(_rows_by_pattern(text, one_by_one, cased, grouped))
     if not parts:

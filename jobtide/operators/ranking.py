@@ -111,6 +111,11 @@ def number_rows(df: DataFrame, keys: list[str], order: list[By], name: str, hot_
     # Structs, so that null keys equal one another in joins.
     rows = settle(rows.withColumns({"__group": F.struct(*(keys or [F.lit(0)])), "__place": F.struct(*places)}))
     splitters = settle(_splitters(rows, list(terms), hot_rows))
+    by = [By(F.col(n), t.down, t.nulls_last).sorted for n, t in terms.items()]
+    if splitters.isEmpty():
+        # No group is large: each is one range with nothing before it.
+        whole = F.row_number().over(Window.partitionBy("__group").orderBy(*by))
+        return rows.select(*df.columns, whole.cast("bigint").alias(name))
     cut = rows.join(splitters, F.col("__group") == F.col("__cut_group"), "left").withColumn(
         "__range", F.size(F.filter(F.coalesce("__cuts", F.array()), lambda c: c <= F.col("__place")))
     )
@@ -122,7 +127,7 @@ def number_rows(df: DataFrame, keys: list[str], order: list[By], name: str, hot_
             F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"),
         )
     )
-    inside = Window.partitionBy("__group", "__range").orderBy(*[By(F.col(n), t.down, t.nulls_last).sorted for n, t in terms.items()])
+    inside = Window.partitionBy("__group", "__range").orderBy(*by)
     numbered = cut.withColumn("__number", F.row_number().over(inside).cast("bigint")).join(
         before, (F.col("__group") == F.col("__in_group")) & (F.col("__range") == F.col("__in_range")), "left"
     )
