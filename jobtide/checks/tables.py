@@ -33,12 +33,24 @@ def median_by_group(spark, sf):
     )
 
 
+@registry.add("median_wide_values", """
+select l_returnflag, quantile_cont(l_extendedprice / 1e8, 0.5) as tiny, quantile_cont(l_extendedprice * 1e3 - 5e7, 0.5) as wide,
+       quantile_cont(l_quantity, 0.5) as tied, count(*) as lines
+from lineitem group by l_returnflag""")
+def median_wide_values(spark, sf):
+    """Groups far larger than the sketch's accuracy, with values from 0 to 0.001, of many millions, and of fifty distinct ones."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", "l_quantity")
+    price = F.col("l_extendedprice")
+    mids = exact_medians(lines, ["l_returnflag"], {"tiny": price / 1e8, "wide": price * 1e3 - 5e7, "tied": F.col("l_quantity")}, accuracy=200)
+    return merge_groups(["l_returnflag"], lines.groupBy("l_returnflag").agg(F.count("*").alias("lines")), mids).select(
+        "l_returnflag", "tiny", "wide", "tied", "lines"
+    )
+
+
 @registry.add("median_of_all", """
 select l_linestatus, quantile_cont(l_quantity, 0.5) as mid_quantity from lineitem group by 1""")
 def median_of_all(spark, sf):
-    return exact_medians(
-        table(spark, sf, "lineitem"), ["l_linestatus"], {"mid_quantity": F.col("l_quantity")}, bucket=1.0
-    )
+    return exact_medians(table(spark, sf, "lineitem"), ["l_linestatus"], {"mid_quantity": F.col("l_quantity")})
 
 
 @registry.add("geo_stats", """

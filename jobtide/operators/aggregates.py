@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.operators.ranking import join_null_safe, top_per_key
+from jobtide.session import settle
 
-# Width of the coarse buckets in which a median is first located.
-MEDIAN_BUCKET = 100.0
+# A sketch of a group misplaces a value by at most one row in so many.
+SKETCH_ACCURACY = 20_000
 
 
 def count_where(condition: Column) -> Column:
@@ -27,51 +28,38 @@ def sole_value(value: Column) -> Column:
     return F.when(F.min(value) == F.max(value), F.max(value))
 
 
-def exact_medians(
-    df: DataFrame, keys: list[str], values: dict[str, Column], bucket: float = MEDIAN_BUCKET
-) -> DataFrame:
+def exact_medians(df: DataFrame, keys: list[str], values: dict[str, Column], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Exact interpolated medians per group (percentile_cont(0.5)), one row per group.
 
-    `values` maps result names to the measured columns; null values do not count. Equal values are
-    counted before the shuffle and counts are keyed by value, so a hot group is spread over many
-    tasks. Only the bucket holding the middle is ordered value by value.
+    `values` maps result names to the measured columns; null values do not count. A first pass
+    sketches every group, in partial sketches of bounded size, and brackets its middle by values a
+    little below and above it, whatever their scale. A second pass counts what lies below the
+    bracket and, by value, what lies inside: a few in `accuracy` of the group's rows, which are all
+    that is ever put in order. A bracket that should miss the middle stops the query.
     """
     measures = [F.struct(F.lit(n).alias("name"), v.cast("double").alias("value")) for n, v in values.items()]
-    long = df.select(*keys, F.inline(F.array(*measures)).alias("__name", "__value"))
+    long = df.select(*keys, F.inline(F.array(*measures)).alias("__name", "__value")).filter(F.col("__value").isNotNull())
     group = [*keys, "__name"]
-    counted = (
-        long.filter(F.col("__value").isNotNull())
-        .withColumn("__bucket", F.floor(F.col("__value") / bucket))
-        .groupBy(*group, "__bucket", "__value")
-        .agg(F.count("*").alias("__n"))
-    )
-    by_bucket = counted.groupBy(*group, "__bucket").agg(F.sum("__n").alias("__in_bucket"))
-    whole = Window.partitionBy(*group)
-    below = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("__in_bucket").over(whole)
-    middle = (
-        by_bucket.select(
-            *group,
-            "__bucket",
-            F.coalesce(F.sum("__in_bucket").over(below), F.lit(0)).alias("__below"),
-            "__in_bucket",
-            F.floor((total - 1) / 2).alias("__low"),
-            F.floor(total / 2).alias("__high"),
-        )
-        .filter(F.col("__low") < F.col("__below") + F.col("__in_bucket"))
-        .filter(F.col("__high") >= F.col("__below"))
-    )
-    inside = join_null_safe(counted, middle, [*group, "__bucket"])
-    upto = Window.partitionBy(*group, "__bucket").orderBy("__value")
-    last = F.col("__below") + F.sum("__n").over(upto) - 1
-    placed = inside.withColumn("__last", last).withColumn("__first", F.col("__last") - F.col("__n") + 1)
+    # Three times the sketch's error away from the middle, rounded outwards in whole rows.
+    margin = 3.0 / accuracy
+    sketch = F.percentile_approx("__value", [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)], accuracy)
+    brackets = settle(long.groupBy(*group).agg(sketch.alias("__bracket"), F.count("*").alias("__total")))
+    near = join_null_safe(long, brackets, group).filter(F.col("__value") <= F.col("__bracket")[1])
+    inside = F.when(F.col("__value") >= F.col("__bracket")[0], F.col("__value"))
+    counted = near.groupBy(*group, inside.alias("__value")).agg(F.count("*").alias("__n"), F.max("__total").alias("__total"))
+    # What lies below the bracket is one row without a value, the first of its group.
+    upto = Window.partitionBy(*group).orderBy(F.col("__value").asc_nulls_first())
+    placed = counted.withColumn("__last", F.sum("__n").over(upto) - 1).withColumn("__first", F.col("__last") - F.col("__n") + 1)
+    low, high = F.floor((F.col("__total") - 1) / 2), F.floor(F.col("__total") / 2)
 
     def middle_of(name: str) -> Column:
-        def at(position: str) -> Column:
-            here = F.col(position).between(F.col("__first"), F.col("__last")) & (F.col("__name") == name)
+        def at(position: Column) -> Column:
+            here = position.between(F.col("__first"), F.col("__last")) & (F.col("__name") == name)
             return F.max(F.when(here, F.col("__value")))
 
-        return at("__low") + (at("__high") - at("__low")) * 0.5
+        missed = F.count_if(F.col("__name") == name).cast("boolean") & (at(low).isNull() | at(high).isNull())
+        stop = F.raise_error(F.lit(f"the bracket of {name} misses its middle")).cast("double")
+        return F.when(missed, stop).otherwise(at(low) + (at(high) - at(low)) * 0.5)
 
     return placed.groupBy(*keys).agg(*[middle_of(name).alias(name) for name in values])
 
@@ -119,7 +107,7 @@ def stack_columns(row: DataFrame, columns: list[str], name: str, value: str) ->
 
 
 def scale_to_leader(df: DataFrame, value: str, name: str, within: list[str] | None = None, digits: int = 1) -> DataFrame:
-    """Each value as a percentage of the largest in its group, for small published tables."""
-    leader = F.max(value).over(Window.partitionBy(*(within or [F.lit(0)])))
+    """Each value as a percentage of the largest in its group, or of all: then one aggregate, and no row moves."""
+    leader = F.max(value).over(Window.partitionBy(*within)) if within else df.agg(F.max(value)).scalar()
     scaled = F.col(value).cast("double") / F.when(leader == 0, 1).otherwise(leader).cast("double") * 100
     return df.withColumn(name, F.round(scaled, digits))

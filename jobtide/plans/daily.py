@@ -1,15 +1,19 @@
-"""The daily build: raw tables in, all models and published tables out, as lazy DataFrames."""
+"""The daily build: raw tables in, all models and published tables out, as one new version."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from jobtide import fixed_values as fixed
 from jobtide.params import LanguageRules, Params, ScopeRules, SourceTags
 from jobtide.plans import marts
 from jobtide.plans.model_checks import check_build, require_clean
 from jobtide.plans.places import gazetteer, locate, verdict_table
-from jobtide.plans.postings import published, scored_postings
+from jobtide.plans.postings import published_rows, scored_rows
 from jobtide.plans.staging import flatten_board, flatten_details, flatten_listings, flatten_runs
+from jobtide.sources.texts import TextStore, addressed
+from jobtide.sources.versions import VersionedTables
 
 
 def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -21,23 +25,6 @@ def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def without_text(board: DataFrame) -> DataFrame:
-    return board.drop("description", "url")
-
-
-def score(
-    staged: dict[str, DataFrame],
-    located: DataFrame,
-    rules: ScopeRules = ScopeRules(),
-    language: LanguageRules = LanguageRules(),
-    tags: SourceTags = SourceTags(),
-    params: Params = Params(),
-) -> DataFrame:
-    return scored_postings(
-        staged["listings"], staged["details"], staged["board"], located, rules, language, tags, params
-    )
-
-
 def publish(
     scored: DataFrame, postings: DataFrame, runs: DataFrame, mentioned: DataFrame, params: Params = Params()
 ) -> dict[str, DataFrame]:
@@ -51,13 +38,6 @@ def publish(
     }
 
 
-def materialise(df: DataFrame, path: str, partitions: list[str] | None = None) -> DataFrame:
-    """Write a model once and return it as read from there; staging stays lazy instead."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def daily_build(
     raw: dict[str, DataFrame],
     skills: DataFrame,
@@ -65,29 +45,52 @@ def daily_build(
     warehouse: str,
     params: Params = Params(),
     grouped: bool = True,
+    runs: list[str] | None = None,
+    rules: ScopeRules = ScopeRules(),
+    language: LanguageRules = LanguageRules(),
+    foreign_terms: list[str] = fixed.FOREIGN_TERMS,
+    tags: SourceTags = SourceTags(),
 ) -> dict[str, DataFrame]:
-    """Build all models from the raw tables, write them, and check them before handing them out."""
-    staged = stage(raw)
-    models = f"{warehouse}/intermediate"
-    # Payloads are parsed once for everything but the texts, which are read at the very end.
-    staged["listings"] = materialise(staged["listings"], f"{models}/listings")
-    narrow_board = materialise(without_text(staged["board"]), f"{models}/board")
-    places = materialise(gazetteer(staged["listings"], aliases, params.min_place_chars), f"{models}/places")
-    located = locate(narrow_board, places)
-    verdicts = materialise(verdict_table(located), f"{models}/verdicts")
-    scored = materialise(score(staged, located, params=params), f"{models}/scored")
+    """Build all models from the raw tables, check them, and publish them as one new version.
+
+    Payloads are parsed run by run: with `runs`, only those run dates are parsed and stored anew, and
+    all others stay as the version before has them. Descriptions go to the text store, once each.
+    Ranks, places and the published tables depend on all runs and are made whole. A build that
+    breaks a rule leaves the last good version in place.
+    """
+    spark = skills.sparkSession
+    draft = VersionedTables(spark, warehouse).draft()
+    if not draft.before.tables:
+        runs = None
+
+    def wanted(rows: DataFrame) -> DataFrame:
+        return rows if runs is None else rows.filter(F.col("run_date").cast("string").isin(runs))
+
+    staged = stage({name: wanted(rows) for name, rows in raw.items()})
+    store = TextStore(spark, f"{warehouse}/texts")
+    store.add(staged["details"].select("description").unionByName(staged["board"].select("description")))
+    texts = store.read()
+
+    def parsed(name: str, rows: DataFrame) -> DataFrame:
+        return draft.write_runs(name, rows, "run_date", runs)
+
+    listings = parsed("listings", staged["listings"])
+    details = parsed("details", addressed(staged["details"]))
+    board = parsed("board", addressed(staged["board"]))
+    counted = parsed("runs", staged["runs"])
+    places = draft.write("places", gazetteer(listings, aliases, params.min_place_chars, rules.home_country))
+    located = locate(board, places, foreign_terms, rules.home_country)
+    verdicts = draft.write("verdicts", verdict_table(located))
+    scored = draft.write("scored", scored_rows(listings, details, board, located, texts, rules, language, tags, params))
     # Few of the scored rows are published; the tables read those and not the texts of the rest.
-    postings = materialise(published(scored), f"{models}/published")
-    mentioned = materialise(marts.mentions(postings, skills, params, grouped), f"{models}/mentions")
-    # The tables stand aside until they are checked; a build that breaks a rule leaves the last good ones in place.
-    tables = {
-        name: materialise(df, f"{warehouse}/unchecked/{name}")
-        for name, df in publish(scored, postings, staged["runs"], mentioned, params).items()
-    }
+    postings = draft.write("published", published_rows(scored, texts))
+    mentioned = draft.write("mentions", marts.mentions(postings, skills, params, grouped))
+    tables = {name: draft.write(name, df) for name, df in publish(scored, postings, counted, mentioned, params).items()}
     inputs = {name: raw[name] for name in ("listings", "details", "board")}
     checked = {
         **inputs, "skills": skills, "aliases": aliases, "places": places, "verdicts": verdicts,
         "published": postings, "mentions": mentioned, **tables,
     }
     require_clean(check_build(checked))
-    return {name: materialise(df, f"{warehouse}/marts/{name}") for name, df in tables.items()}
+    version = draft.publish()
+    return {name: version.read(name) for name in tables}

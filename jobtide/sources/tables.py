@@ -7,6 +7,7 @@ table.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -49,11 +50,40 @@ def newest_change(spark: SparkSession, path: str) -> tuple[int, int]:
     return max(changes, default=0), len(changes)
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
+def drop_folder(spark: SparkSession, path: str) -> None:
     system, folder = _folder(spark, path)
     system.delete(folder, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder, in order; none if there is no such folder."""
+    system, folder = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, such as a manifest."""
+    system, file = _folder(spark, path)
+    stream = system.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def place_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place as a whole; false if there is one of that name already."""
+    system, file = _folder(spark, path)
+    aside = file.suffix(f".{uuid.uuid4().hex}")
+    stream = system.create(aside)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    if not system.exists(file) and system.rename(aside, file):
+        return True
+    system.delete(aside, False)
+    return False
+
+
 def read_table(spark: SparkSession, table: RawTable) -> DataFrame:
     if not exists(spark, table.path):
         return spark.createDataFrame([], table.schema)
@@ -123,7 +153,7 @@ def replace_run(table: RawTable, rows: DataFrame, **run: str) -> None:
         rows = rows.filter(F.col(name) == F.lit(value).cast(dict(rows.dtypes)[name]))
     if rows.isEmpty():
         # Dynamic overwrite leaves a partition alone when no row arrives for it.
-        _drop_folder(spark, f"{table.path}/{partition}")
+        drop_folder(spark, f"{table.path}/{partition}")
     else:
         _write_partitions(table, stamped(rows))
 

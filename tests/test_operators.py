@@ -131,8 +131,21 @@ def test_median(spark):
     data.append(("one", 5.5))
     df = spark.createDataFrame(data, "g string, v double")
     got = {r["g"]: r["m"] for r in exact_medians(df, ["g"], {"m": F.col("v")}).collect()}
-    for g in ("a", "b", None, "one"):
-        assert got[g] == pytest.approx(statistics.median([v for k, v in data if k == g and v is not None]))
+    expected = {g: statistics.median([v for k, v in data if k == g and v is not None]) for g in ("a", "b", None, "one")}
+    assert got == pytest.approx(expected)
+    # A coarse sketch, whose brackets hold a small part of each group.
+    coarse = {r["g"]: r["m"] for r in exact_medians(df, ["g"], {"m": F.col("v")}, accuracy=20).collect()}
+    assert coarse == pytest.approx(expected)
+
+
+def test_median_of_any_scale(spark):
+    rng = random.Random(11)
+    data = [(i % 3, rng.expovariate(1) ** 9 * 10 ** (3 * (i % 3)) * rng.choice([-1, 1])) for i in range(5000)] + [(4, 1e300), (4, -1e300)]
+    df = spark.createDataFrame(data, "g int, v double").repartition(6)
+    got = {r["g"]: r["m"] for r in exact_medians(df, ["g"], {"m": F.col("v")}, accuracy=100).collect()}
+    assert got == pytest.approx({g: statistics.median([v for k, v in data if k == g]) for g in (0, 1, 2, 4)})
+    plan = exact_medians(df.limit(0), ["g"], {"m": F.col("v")})
+    assert plan.collect() == []
 
 
 def test_rounding_folding_dates(spark):
