@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide import fixed_values as fixed
+from jobtide.functions.numbers import blank_to_null
+from jobtide.session import local_frame
+from jobtide.sources.one_file import write_csv_file
+from jobtide.sources.tables import exists, names_in
+from jobtide.sources.versions import Version, VersionedTables
 
+SNAPSHOT_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 SNAPSHOT_DATE = r"/(\d{4}-\d{2}-\d{2})/"
 
 MART_SCHEMAS = {
@@ -33,49 +42,84 @@ MART_SCHEMAS = {
 }
 
 
-def export_snapshot(marts: dict[str, DataFrame], root: str, day: str) -> None:
-    """Write each mart for the day, replacing an earlier export of the same day."""
-    for name in fixed.MART_NAMES:
-        marts[name].write.mode("overwrite").option("header", True).csv(f"{root}/{day}/{name}.csv")
+# Cells read of a line: a file may have columns that are not, or no longer, of the mart.
+SPARE_CELLS = 16
 
 
-def _read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """All days of one mart with the date taken from the path; an empty cell is null, never zero."""
-    schema = MART_SCHEMAS[name]
-    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-    day = F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_DATE, 1).cast("date")
-    try:
-        rows = reader.csv(f"{root}/*/{name}.csv")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], f"snapshot_date date, {schema}")
-    return rows.select(day.alias("snapshot_date"), "*")
+def export_snapshot(marts: dict[str, DataFrame], root: str, day: str) -> None:
+    """Write each mart for the day as one CSV file, replacing an earlier export of the same day."""
+    for name in fixed.MART_NAMES:
+        write_csv_file(marts[name], f"{root}/{day}/{name}.csv")
 
 
-def _days_with(spark: SparkSession, root: str, name: str) -> DataFrame:
+def _days_with(spark: SparkSession, root: str, name: str) -> list[str]:
     """Days that have a file for the mart, with or without rows in it."""
-    day = F.regexp_extract("path", SNAPSHOT_DATE, 1).cast("date").alias("snapshot_date")
-    try:
-        return spark.read.format("binaryFile").load(f"{root}/*/{name}.csv").select(day).distinct()
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], "snapshot_date date")
+    days = [d for d in names_in(spark, root) if SNAPSHOT_DAY.fullmatch(d)]
+    return [d for d in days if exists(spark, f"{root}/{d}/{name}.csv")]
 
 
-def complete_days(days_by_mart: dict[str, DataFrame]) -> DataFrame:
+def complete_days(spark: SparkSession, root: str) -> list[str]:
     """Days on which every required mart is present; the optional one may be absent."""
     required = [n for n in fixed.MART_NAMES if n not in fixed.OPTIONAL_MARTS]
-    days = days_by_mart[required[0]]
-    for name in required[1:]:
-        days = days.join(days_by_mart[name], "snapshot_date", "left_semi")
-    return days
+    return sorted(set.intersection(*[set(_days_with(spark, root, name)) for name in required]))
+
+
+def read_mart(spark: SparkSession, root: str, name: str, days: list[str]) -> DataFrame:
+    """One mart of some days, with the date taken from the path.
+
+    Cells go by the names in their own file's header, in whatever order it has them; a column a file
+    lacks is null, and so is an empty cell, never zero. Anything else that is no number of the
+    column's type stops the read.
+    """
+    schema = T.DataType.fromDDL(MART_SCHEMAS[name])
+    paths = [f"{root}/{day}/{name}.csv" for day in days if exists(spark, f"{root}/{day}/{name}.csv")]
+    if not paths:
+        return spark.createDataFrame([], f"snapshot_date date, {MART_SCHEMAS[name]}")
+    cells = [f"_c{i}" for i in range(len(schema.names) + SPARE_CELLS)]
+    lines = spark.read.schema(", ".join(f"{c} string" for c in cells)).csv(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.array(*cells).alias("cells")
+    )
+    # A line with most of the column names in it is a header.
+    names = F.array(*[F.lit(n) for n in schema.names])
+    is_header = F.size(F.array_intersect(names, F.col("cells"))) > len(schema.names) // 2
+    headers = lines.filter(is_header).groupBy(F.col("file").alias("of_file")).agg(F.first("cells").alias("header"))
+    rows = lines.filter(~is_header).join(headers, F.col("file") == F.col("of_file"))
+
+    def column(field: T.StructField):
+        cell = F.get("cells", (F.array_position("header", field.name) - 1).cast("int"))
+        return blank_to_null(cell).cast(field.dataType).alias(field.name)
+
+    day = F.regexp_extract("file", SNAPSHOT_DATE, 1).cast("date").alias("snapshot_date")
+    return rows.select(day, *[column(f) for f in schema.fields])
 
 
 def read_history(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    days = complete_days({name: _days_with(spark, root, name) for name in fixed.MART_NAMES})
-    return {
-        name: _read_mart(spark, root, name).join(days, "snapshot_date", "left_semi")
-        for name in fixed.MART_NAMES
-    }
+    """All marts of all complete days, read from the files."""
+    days = complete_days(spark, root)
+    return {name: read_mart(spark, root, name, days) for name in fixed.MART_NAMES}
+
+
+HISTORY_DAYS = "history_days"
+
+
+def extend_history(spark: SparkSession, root: str, warehouse: str, days: list[str] | None = None) -> Version:
+    """Add complete days to the stored history and publish it as one version.
+
+    Only days it does not have yet are read, or those named, which are then read anew. The history of
+    a mart is kept by days: a day more is a folder more.
+    """
+    draft = VersionedTables(spark, warehouse).draft()
+    known = draft.before.runs(HISTORY_DAYS)
+    there = complete_days(spark, root)
+    wanted = [d for d in there if (d in days if days is not None else d not in known)]
+    if not wanted:
+        return draft.before
+    for name in fixed.MART_NAMES:
+        draft.write_runs(f"history_{name}", read_mart(spark, root, name, wanted), "snapshot_date", wanted)
+    rows = local_frame(spark, [(d,) for d in wanted], "day string").select(F.col("day").cast("date").alias("snapshot_date"))
+    draft.write_runs(HISTORY_DAYS, rows, "snapshot_date", wanted)
+    return draft.publish()
+
+
+def stored_history(version: Version) -> dict[str, DataFrame]:
+    return {name: version.read(f"history_{name}") for name in fixed.MART_NAMES}

@@ -10,7 +10,7 @@ from jobtide.plans.daily import publish
 from jobtide.plans.places import with_verdicts
 from jobtide.plans.postings import SCORED_COLUMNS, published, published_postings
 from jobtide.session import local_frame
-from jobtide.sources import seeds, snapshots
+from jobtide.sources import one_file, seeds, snapshots
 from sample_runs import ENGLISH, GERMAN, build, listing, offer, place
 
 D1, D2, D3 = "2026-09-01", "2026-09-10", "2026-09-12"
@@ -199,6 +199,41 @@ def test_snapshots_and_history(spark, models, tmp_path):
     assert rows(past["mart_pipeline_funnel"].filter("snapshot_date = '2026-09-12'").drop("snapshot_date"), "stage_order") == rows(
         tables["mart_pipeline_funnel"], "stage_order"
     )
+    # One plain file per mart, in the mart's own order.
+    lines = (tmp_path / "snapshots" / "2026-09-12" / "mart_city_stats.csv").read_text().splitlines()
+    assert lines[0] == ",".join(tables["mart_city_stats"].columns)
+    assert [line.split(",")[0].strip('"') for line in lines[1:]] == [r["city"] for r in tables["mart_city_stats"].collect()]
+
+    # The stored history gives the same rows and grows by the days it does not have.
+    warehouse = str(tmp_path / "warehouse")
+    first = snapshots.extend_history(spark, root, warehouse)
+    by_day = lambda frames: {n: sorted(map(str, f.collect())) for n, f in frames.items()}
+    assert by_day(snapshots.stored_history(first)) == by_day(past)
+    assert snapshots.extend_history(spark, root, warehouse).number == first.number
+    (incomplete / "mart_skill_frequency.csv").write_text(
+        "category,note,pct_of_postings,skill_key,postings\nlanguage,new,12.5,sql,\n"
+    )
+    for name in ("mart_language_requirement", "mart_salary_by_skill"):
+        (incomplete / f"{name}.csv").write_text((other / f"{name}.csv").read_text())
+    second = snapshots.extend_history(spark, root, warehouse)
+    moved = snapshots.stored_history(second)["mart_skill_frequency"].filter("snapshot_date = '2026-09-15'").collect()
+    assert [(r["skill_key"], r["category"], r["pct_of_postings"], r["postings"], r["display_name"]) for r in moved] == [("sql", "language", 12.5, None, None)]
+    assert set(second.runs("history_days")) - set(first.runs("history_days")) == {"2026-09-15"}
+    assert second.runs("history_mart_city_stats")["2026-09-11"] == first.runs("history_mart_city_stats")["2026-09-11"]
+    snapshots.export_snapshot(tables, root, "2026-09-15")
+    third = snapshots.extend_history(spark, root, warehouse, ["2026-09-15"])
+    assert snapshots.stored_history(third)["mart_skill_frequency"].filter("snapshot_date = '2026-09-15'").count() == tables["mart_skill_frequency"].count()
+
+
+def test_dump_in_one_file(spark, tmp_path):
+    frame = local_frame(spark, [(2, "b\nc", None), (1, "a", 0.5), (10, None, -0.0)], "n int, t string, x double")
+    path = str(tmp_path / "dumps" / "t.txt")
+    for _ in range(2):
+        one_file.write_dump(frame.repartition(3), path)
+    lines = (tmp_path / "dumps" / "t.txt").read_text().splitlines()
+    assert lines[0] == "n|t|x" and len(lines) == 4 and "2|b c|NULL" in lines
+    assert [r["line"] for r in one_file.read_dump(spark, path).orderBy("place").collect()] == lines
+    assert [p.name for p in (tmp_path / "dumps").iterdir() if not p.name.startswith(".")] == ["t.txt"]
 
 
 def test_seed_columns_stay_text(spark, tmp_path):
