@@ -1,9 +1,9 @@
 """Registered queries over the given tables, each with the SQL that has to give the same rows."""
 
-from jobtide.checks import pipeline, runs, tables, texts, writes
+from jobtide.checks import pipeline, publishing, runs, tables, texts, writes
 from jobtide.checks.base import Query
 
-REGISTRIES = [texts.registry, runs.registry, tables.registry, writes.registry, pipeline.registry]
+REGISTRIES = [texts.registry, runs.registry, tables.registry, writes.registry, pipeline.registry, publishing.registry]
 
 
 def queries() -> dict[str, Query]:

@@ -202,7 +202,7 @@ def quality_violations(spark, sf):
     return run_checks({n: table(spark, sf, n) for n in names}, CHECKS)
 
 
-def _daily_marts(spark, sf) -> tuple[DataFrame, DataFrame]:
+def daily_marts(spark, sf) -> tuple[DataFrame, DataFrame]:
     """A frequency and a language table per day of events, as dated snapshots would hold them."""
     events = table(spark, sf, "events").withColumn("snapshot_date", F.col("ts").cast("date"))
     per_day = events.groupBy("snapshot_date").agg(
@@ -235,7 +235,7 @@ select d.snapshot_date, d.postings, d.pct_requires_german, f.skill_key, f.pct_of
 from d join f on f.snapshot_date = d.snapshot_date""")
 def history_map(spark, sf):
     """The daily map, spread out again so that rows can be compared."""
-    days = reporting.history(*_daily_marts(spark, sf))
+    days = reporting.history(*daily_marts(spark, sf))
     return days.select(
         "snapshot_date", "postings", "pct_requires_german", F.explode("skills").alias("skill_key", "pct_of_postings")
     )
@@ -244,7 +244,7 @@ def history_map(spark, sf):
 @registry.add("history_span", DAILY_SQL + """
 select min(snapshot_date) as first_date, max(snapshot_date) as latest_date, count(*) as days_tracked from d""")
 def history_span(spark, sf):
-    return reporting.tracked(reporting.history(*_daily_marts(spark, sf)))
+    return reporting.tracked(reporting.history(*daily_marts(spark, sf)))
 
 
 @registry.add("trend", DAILY_SQL + """
@@ -252,4 +252,4 @@ select *, lag(pct_of_postings) over (partition by skill_key order by snapshot_da
        round(pct_of_postings - lag(pct_of_postings) over (partition by skill_key order by snapshot_date), 1) as change
 from f""")
 def trend(spark, sf):
-    return reporting.trend(_daily_marts(spark, sf)[0])
+    return reporting.trend(daily_marts(spark, sf)[0])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as fixed
 from jobtide.params import LanguageRules, Params, ScopeRules, SourceTags
 from jobtide.plans import marts
-from jobtide.plans.model_checks import check_build, require_clean
+from jobtide.plans.model_checks import check_build, checks_of, require_clean
 from jobtide.plans.places import gazetteer, locate, verdict_table
 from jobtide.plans.postings import published_rows, scored_rows
 from jobtide.plans.staging import flatten_board, flatten_details, flatten_listings, flatten_runs
@@ -91,6 +91,6 @@ def daily_build(
         **inputs, "skills": skills, "aliases": aliases, "places": places, "verdicts": verdicts,
         "published": postings, "mentions": mentioned, **tables,
     }
-    require_clean(check_build(checked))
+    require_clean(check_build(checked, checks_of(rules.home_country)))
     version = draft.publish()
     return {name: version.read(name) for name in tables}

@@ -19,38 +19,42 @@ def _key(table: str, column: str) -> list:
     return [NotNull(table, column), Unique(table, (column,))]
 
 
-CHECKS = [
-    *[NotNull(raw, "source_id") for raw in ("listings", "details", "board")],
-    *_key("skills", "skill_key"),
-    *[NotNull("skills", c) for c in ("display_name", "category", "pattern")],
-    *_key("aliases", "alias"),
-    NotNull("aliases", "city"),
-    *_key("places", "city_norm"),
-    NotNull("places", "city"),
-    NotNull("verdicts", "posting_id"),
-    Unique("verdicts", ("posting_id", "run_date")),
-    AcceptedValues("verdicts", "resolved_country", (fixed.HOME_COUNTRY, fixed.FOREIGN)),
-    *[NotNull("published", c) for c in ("posting_id", "source", "title", "country")],
-    AcceptedValues("published", "source", SOURCES),
-    AcceptedValues("published", "country", (fixed.HOME_COUNTRY,)),
-    NotNull("mentions", "posting_id"),
-    NotNull("mentions", "skill_key"),
-    Relationship("mentions", "skill_key", "skills", "skill_key"),
-    *_key("mart_skill_frequency", "skill_key"),
-    NotNull("mart_skill_frequency", "postings"),
-    *_key("mart_salary_by_skill", "skill_key"),
-    NotNull("mart_salary_by_skill", "postings_with_salary"),
-    *_key("mart_language_requirement", "population"),
-    NotNull("mart_language_requirement", "postings"),
-    NotNull("mart_pipeline_funnel", "stage_order"),
-    *_key("mart_pipeline_funnel", "stage"),
-    AcceptedValues("mart_pipeline_funnel", "stage", STAGES),
-    NotNull("mart_pipeline_funnel", "grain"),
-    AcceptedValues("mart_pipeline_funnel", "grain", GRAINS),
-    NotNull("mart_pipeline_funnel", "records"),
-    NonNegative("mart_pipeline_funnel", "records"),
-    NotNull("mart_pipeline_funnel", "grain_changes_here"),
-]
+def checks_of(home_country: str = fixed.HOME_COUNTRY) -> list:
+    return [
+        *[NotNull(raw, "source_id") for raw in ("listings", "details", "board")],
+        *_key("skills", "skill_key"),
+        *[NotNull("skills", c) for c in ("display_name", "category", "pattern")],
+        *_key("aliases", "alias"),
+        NotNull("aliases", "city"),
+        *_key("places", "city_norm"),
+        NotNull("places", "city"),
+        NotNull("verdicts", "posting_id"),
+        Unique("verdicts", ("posting_id", "run_date")),
+        AcceptedValues("verdicts", "resolved_country", (home_country, fixed.FOREIGN)),
+        *[NotNull("published", c) for c in ("posting_id", "source", "title", "country")],
+        AcceptedValues("published", "source", SOURCES),
+        AcceptedValues("published", "country", (home_country,)),
+        NotNull("mentions", "posting_id"),
+        NotNull("mentions", "skill_key"),
+        Relationship("mentions", "skill_key", "skills", "skill_key"),
+        *_key("mart_skill_frequency", "skill_key"),
+        NotNull("mart_skill_frequency", "postings"),
+        *_key("mart_salary_by_skill", "skill_key"),
+        NotNull("mart_salary_by_skill", "postings_with_salary"),
+        *_key("mart_language_requirement", "population"),
+        NotNull("mart_language_requirement", "postings"),
+        NotNull("mart_pipeline_funnel", "stage_order"),
+        *_key("mart_pipeline_funnel", "stage"),
+        AcceptedValues("mart_pipeline_funnel", "stage", STAGES),
+        NotNull("mart_pipeline_funnel", "grain"),
+        AcceptedValues("mart_pipeline_funnel", "grain", GRAINS),
+        NotNull("mart_pipeline_funnel", "records"),
+        NonNegative("mart_pipeline_funnel", "records"),
+        NotNull("mart_pipeline_funnel", "grain_changes_here"),
+    ]
+
+
+CHECKS = checks_of()
 
 
 def check_build(tables: dict[str, DataFrame], checks: list = CHECKS) -> DataFrame:

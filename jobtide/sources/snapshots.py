@@ -79,9 +79,10 @@ def read_mart(spark: SparkSession, root: str, name: str, days: list[str]) -> Dat
     lines = spark.read.schema(", ".join(f"{c} string" for c in cells)).csv(paths).select(
         F.col("_metadata.file_path").alias("file"), F.array(*cells).alias("cells")
     )
-    # A line with most of the column names in it is a header.
+    # A line whose cells are column names for the most part, and two of them at least, is a header.
     names = F.array(*[F.lit(n) for n in schema.names])
-    is_header = F.size(F.array_intersect(names, F.col("cells"))) > len(schema.names) // 2
+    named = F.size(F.array_intersect(names, F.col("cells")))
+    is_header = (named >= 2) & (2 * named > F.size(F.array_compact("cells")))
     headers = lines.filter(is_header).groupBy(F.col("file").alias("of_file")).agg(F.first("cells").alias("header"))
     rows = lines.filter(~is_header).join(headers, F.col("file") == F.col("of_file"))
 

@@ -61,6 +61,13 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    system, file = _folder(spark, path)
+    target = _folder(spark, to)[1]
+    system.mkdirs(target.getParent())
+    system.rename(file, target)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file, such as a manifest."""
     system, file = _folder(spark, path)
