@@ -46,7 +46,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row stays, with a text that may have become empty; a null text becomes an empty one. Rows without doc_id neither
     lose lines nor make others lose any; rows that share a doc_id are one document and keep their lines.
     """
-    return _like(docs, line_store.without_lost_lines(docs, line_store.LineStore().insert(docs)))
+    return _like(docs, line_store.without_lost_lines(docs, line_store.LineStore().insert_in_batches(docs)))
 
 
 def _own_ids(docs: DataFrame) -> DataFrame:

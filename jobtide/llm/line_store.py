@@ -4,8 +4,8 @@ A line's key is the line without white space at its ends, A-Z lower-cased; keys
 points are never dropped. The store holds, per key, which documents refer to it (the exact table) and, per
 shard of keys, a cuckoo filter of the keys it holds. Inserting a batch asks the filters first: a key that its
 filter does not know is new for certain and needs no look into the table, only keys that may be known are
-joined with it. Deleting documents takes their references out; keys that nobody refers to any more leave the
-filter. What a document loses follows from the references alone, so inserting a batch and deleting it again
+joined with it. A whole table goes in as several batches, so that its own later batches ask as well. Deleting
+documents takes their references out; keys that nobody refers to any more leave the filter. What a document loses follows from the references alone, so inserting a batch and deleting it again
 leaves every verdict as it was.
 
 All counting is grouped with partial sums, so a line that a third of all documents hold is a single row per task
@@ -36,12 +36,16 @@ SLOTS = 4
 
 @dataclass(frozen=True)
 class LineRules:
-    """min_chars code points at least; a key in min_docs documents is repeated; keys per shard; kicks per insertion."""
+    """min_chars code points at least; a key in min_docs documents is repeated; keys per shard; kicks per insertion.
+
+    A table of documents is inserted in `batches` parts by a hash of doc_id; each part after the first asks the filters of those before it.
+    """
 
     min_chars: int = 10
     min_docs: int = 2
     shard_keys: int = 200_000
     kicks: int = 500
+    batches: int = 2
 
 
 def line_key(line: bytes) -> bytes:
@@ -189,13 +193,26 @@ class LineStore:
 
     def insert(self, docs: DataFrame) -> "LineStore":
         """The store with the documents of a batch. A document already in the store must be deleted first."""
+        return self.insert_references(settle(references(docs, self.rules).groupBy("doc_id", "hi", "lo").agg(F.sum("lines").alias("lines"))))
+
+    def insert_in_batches(self, docs: DataFrame) -> "LineStore":
+        """The store with the documents of a table, which is read once and inserted part by part."""
+        whole = settle(references(docs, self.rules).groupBy("doc_id", "hi", "lo").agg(F.sum("lines").alias("lines")))
+        store = self
+        for i in range(self.rules.batches):
+            store = store.insert_references(whole.where(F.pmod(F.xxhash64("doc_id"), F.lit(self.rules.batches)) == i))
+        return store
+
+    def insert_references(self, batch: DataFrame) -> "LineStore":
+        """The store with a batch given by its references, a written table or a part of one: doc_id, hi, lo, lines."""
         rules = self.rules
-        batch = settle(references(docs, rules).groupBy("doc_id", "hi", "lo").agg(F.sum("lines").alias("lines")))
-        counted = settle(batch.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc")))
+        counted = batch.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc"))
+        if not self.shards:
+            counted = settle(counted)
         # A store is laid out for the keys of its first batch; later batches make its filters larger, not more.
         shards = self.shards or max(1, -(-counted.count() // rules.shard_keys))
         kicks = rules.kicks
-        known = self.filters if self.filters is not None else docs.sparkSession.createDataFrame([], "shard int, filter binary")
+        known = self.filters if self.filters is not None else batch.sparkSession.createDataFrame([], "shard int, filter binary")
 
         def admit(new: pa.Table, old: pa.Table) -> pa.Table:
             """Ask the shard's filter about every key of the batch, then put the unknown keys in."""
@@ -236,7 +253,7 @@ class LineStore:
             false_alarms = new_keys.where("maybe").join(self.keys.select("hi", "lo"), ["hi", "lo"], "left_anti")
             added = settle(new_keys.where("not maybe").unionByName(false_alarms))
             keys = settle(old.unionByName(added.drop("maybe")))
-            refs = settle(self.refs.unionByName(batch))
+            refs = self.refs.unionByName(batch)
         filters = asked.where("hi is null").select("shard", "filter")
         if self.keys is not None:
             # A false alarm is a new key after all: its print goes in as well, or a later deletion would lose it.
@@ -335,7 +352,5 @@ def without_lost_lines(docs: DataFrame, store: LineStore) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """All documents as one batch into an empty store, and their texts without lost lines."""
-    return without_lost_lines(docs, LineStore(rules).insert(docs.select("doc_id", "text")))
-
-
+    """The texts of a table without lost lines; its documents go into an empty store, batch after batch."""
+    return without_lost_lines(docs, LineStore(rules).insert_in_batches(docs.select("doc_id", "text")))
