@@ -13,7 +13,7 @@ that only members of a bucket that are not yet in one component are compared wit
 step may have missed. A passage in many otherwise different documents, or an original with many copies that are unlike
 one another, makes buckets with more than `together` members. All members of such a bucket that are in different
 components are compared in blocks: signatures first, then the full sets of those that have a partner by signature. Only
-links leave a block, and each pair is looked at in the first bucket it shares. Nobody is left out of a bucket, so work
+links that join what the block has not joined yet leave it, fewer than it has rows, and each pair is looked at in the first bucket it shares. Nobody is left out of a bucket, so work
 in blocks grows with the square of the open members. Components are all that is returned, so pairs within one need no look.
 
 Bucket sizes and smallest members are partial aggregates; joins on hot buckets, hubs and copies are dealt out by
@@ -199,10 +199,13 @@ def _within(rows: DataFrame, rules: ShingleRules) -> DataFrame:
     return one.join(two, apart).select(F.col("id1").alias("u"), F.col("id2").alias("v"))
 
 
-def _block_pairs(rows: pa.Table, rules: ShingleRules) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of pairs between two blocks of a bucket, in different components, whose signatures agree and that share no earlier band."""
+def _block_pairs(rows: pa.Table, group: np.ndarray, rules: ShingleRules) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs between two blocks of a bucket, in different groups, whose signatures agree and that share no earlier band.
+
+    `group` is looked at anew for each strip, so that groups the caller has joined since bring no more pairs.
+    """
     mine, low, high = (rows[c].to_numpy() for c in ("mine", "low", "high"))
-    ids, n, group = (rows[c].to_numpy() for c in ("id", "n", "c"))
+    ids, n = (rows[c].to_numpy() for c in ("id", "n"))
     bands = np.array(rows["bands"].to_pylist(), dtype=np.int64)
     prints = np.frombuffer(b"".join(rows["signature"].to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
     here = int((bands[0] == rows["key"][0].as_py()).argmax())
@@ -227,7 +230,7 @@ def _block_open(rules: ShingleRules):
 
     def task(rows: pa.Table) -> pa.Table:
         wanted = np.zeros(rows.num_rows, dtype=bool)
-        for x, y in _block_pairs(rows, rules):
+        for x, y in _block_pairs(rows, rows["c"].to_numpy(), rules):
             wanted[x] = wanted[y] = True
         return rows.filter(pa.array(wanted))
 
@@ -235,18 +238,26 @@ def _block_open(rules: ShingleRules):
 
 
 def _block_links(rules: ShingleRules):
-    """Links between two blocks of a bucket: rows with id, n, c, bands, signature, shingles, and which block they are of."""
+    """Links between two blocks of a bucket that join groups not joined yet: fewer than there are rows.
+
+    rows: id, n, c, bands, signature, shingles, and which block they are of. Pairs within a group need no look.
+    """
 
     def task(rows: pa.Table) -> pa.Table:
-        ids = rows["id"].to_numpy()
-        sets = [np.array(x, dtype=np.int64) for x in rows["shingles"].to_pylist()]
+        ids, group = rows["id"].to_numpy(), rows["c"].to_numpy().copy()
+        held = rows["shingles"].combine_chunks()
+        flat, ends = held.flatten().to_numpy(), np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy())])
         us, vs = [], []
-        for x, y in _block_pairs(rows, rules):
+        for x, y in _block_pairs(rows, group, rules):
             for u, v in zip(x, y):
-                both = len(np.intersect1d(sets[u], sets[v], assume_unique=True))
-                if 100 * both >= rules.share * (len(sets[u]) + len(sets[v]) - both):
+                if group[u] == group[v]:
+                    continue
+                a, b = flat[ends[u] : ends[u + 1]], flat[ends[v] : ends[v + 1]]
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= rules.share * (len(a) + len(b) - both):
                     us.append(ids[u])
                     vs.append(ids[v])
+                    group[group == group[v]] = group[u]
         return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
     return task
