@@ -106,6 +106,11 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_circulant_minhash": oracles.NEAR_DOCUMENTS,
+    "op6_embedding_cells": oracles.NEAR_VECTORS,
+    "op7_host_rules": oracles.HOST_RULES,
+    "op9_line_dedup": oracles.LINE_DEDUP,
+    "op10_mixing": oracles.MIXING,
     "op11_prefix_trie": oracles.PREFIX_TRIE,
     "op12_part_codes": oracles.PART_CODES,
     "op13_multi_search": oracles.MULTI_SEARCH,

@@ -4,6 +4,7 @@ import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -88,6 +89,17 @@ def test_lines(documents, awkward):
         assert sorted((str(d), t) for d, t in texts_of(got)) == lines_by_hand(texts_of(frame))
 
 
+def test_lines_in_any_number_of_batches(documents, awkward):
+    for frame in (documents, awkward):
+        plain = frame.select("doc_id", "text")
+        whole, parted = (sorted(line_store.dedup_lines(plain, line_store.LineRules(batches=n)).collect(), key=repr) for n in (1, 3))
+        assert whole == parted
+        store = line_store.LineStore(line_store.LineRules(batches=3, shard_keys=500)).insert_in_batches(plain)
+        filters = {r["shard"]: line_store.CuckooFilter.from_bytes(r["filter"]) for r in store.filters.collect()}
+        for r in store.keys.collect():
+            assert filters[r["hi"] % store.shards].contains(*(np.array([r[c]]).view(np.uint64) for c in ("hi", "lo"))).all()
+
+
 def test_lines_are_reversible(documents):
     one, two = documents.where("doc_id % 3 <> 0"), documents.where("doc_id % 3 = 0")
     losses = lambda store: sorted((r[0], sorted(map(tuple, r[1]))) for r in store.losses().collect())
@@ -217,6 +229,27 @@ def test_star_of_near_copies(spark):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_a_block_gives_a_forest():
+    rules, n = circulant.ShingleRules(words=2), 200
+    same = np.arange(1000, 1100)
+    sets = [np.concatenate([same, [i]]) for i in range(n)]
+    prints = circulant.signature(same.astype(np.uint64), rules).astype(np.uint8).tobytes()
+    rows = pa.table({
+        "key": np.full(n, 7), "low": np.zeros(n, dtype=int), "high": np.zeros(n, dtype=int), "mine": np.zeros(n, dtype=int),
+        "id": np.arange(n) * 3, "n": np.full(n, 101), "c": np.arange(n) * 3,
+        "bands": pa.array([[7, 5]] * n, pa.list_(pa.int64())), "signature": [prints] * n,
+        "shingles": pa.array([x.tolist() for x in sets], pa.list_(pa.int64())),
+    })
+    links = circulant._block_links(rules)(rows).to_pylist()
+    assert len(links) == n - 1
+    group = list(range(n))
+    for link in links:
+        u, v = group[link["u"] // 3], group[link["v"] // 3]
+        assert u != v
+        group = [u if g == v else g for g in group]
+    assert len(set(group)) == 1
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(2)
     base = draw.normal(size=(60, 8))
@@ -246,6 +279,52 @@ def test_host_figures(documents, awkward):
     assert host_rules.judge(awkward).count() == len(AWKWARD)
 
 
+def verdicts_by_hand(rows, rules):
+    """(doc_id, host, base_failed, fails) to what is kept, hosts judged one by one."""
+    hosts = collections.defaultdict(list)
+    for _, host, _, fails in rows:
+        hosts[host].append(fails)
+    rates = {h: sum(x) / len(x) for h, x in hosts.items()}
+    m, single = np.mean(list(rates.values())), np.mean([1 / len(x) for x in hosts.values()])
+    v = (np.var(list(rates.values()), ddof=1) - m * (1 - m) * single) / (1 - single) if len(rates) > 1 and single < 1 else 0.0
+    rejected, suspect = {h: m > rules.host_rate for h in hosts}, dict.fromkeys(hosts, False)
+    if v > 1e-12:
+        strength = max(0.0, m * (1 - m) / v - 1)
+        for h, x in hosts.items():
+            rate = (sum(x) + strength * m) / (len(x) + strength)
+            rejected[h] = rate > rules.host_rate
+            suspect[h] = rate - rules.bound * (rate * (1 - rate) / (len(x) + strength + 1)) ** 0.5 > m
+    return {doc_id: not (base or rejected[h] or (suspect[h] and fails)) for doc_id, h, base, fails in rows}
+
+
+def test_host_verdicts(spark, documents, awkward):
+    clean = " ".join(f"word{i}" for i in range(60))
+    soft = clean + " #" * 30
+    short = "too short"
+    rows, number = [], 0
+    for host, n_clean, n_soft, n_short in ((None, 90, 5, 5), ("b", 80, 10, 2), ("c", 52, 46, 2), ("d", 30, 60, 20), ("e", 1, 0, 0), ("f", 0, 1, 0), ("g", 20, 2, 0)):
+        for text, n in ((clean, n_clean), (soft, n_soft), (short, n_short)):
+            for _ in range(n):
+                rows.append((number, text, "en", host, 0))
+                number += 1
+    frame = local_frame(spark, rows, DOCS)
+    rules = host_rules.HostRules()
+    want = verdicts_by_hand([(d, h, t == short, t != clean) for d, t, _, h, _ in rows], rules)
+    got = {r["doc_id"]: r["kept"] for r in host_rules.judge(frame).collect()}
+    assert got == want
+    by_host = {h: {t: got[d] for d, t, _, g, _ in rows if g == h} for h in (None, "c", "d")}
+    # A good host's softer failures stay, a suspect one's go, a rejected one loses clean documents too.
+    assert by_host[None] == {clean: True, soft: True, short: False}
+    assert by_host["d"] == {clean: False, soft: False, short: False}
+    assert by_host["c"] == {clean: True, soft: False, short: False}
+    # Only one host, hosts of one document each, no documents: nobody is suspect.
+    for part in (frame.where("source = 'b'"), frame.where("source in ('e', 'f')")):
+        assert all(r["kept"] for r in host_rules.judge(part).where("not base_failed").collect())
+    assert host_rules.judge(frame.limit(0)).count() == 0
+    figures = [(r["doc_id"], r["source"], r["base_failed"], r["fails"]) for r in host_rules.figures(documents).collect()]
+    assert {r["doc_id"]: r["kept"] for r in host_rules.judge(documents).collect()} == verdicts_by_hand(figures, rules)
+
+
 def test_urls(spark):
     urls = ["http://www.Example.com/en/1", "http://a.example.com/en/x?q", "https://x.com/de", "http://x.net/es/", "http://net/fr/2", "x.net/es/", None, "", "http://x.com", "http://q.org/a#b"]
     got = {r["page_id"]: r for r in url_ratio.judge_urls(local_frame(spark, list(enumerate(urls)), "page_id bigint, url string")).collect()}
