@@ -6,7 +6,7 @@ from jobtide.checks.base import Registry, table
 from jobtide.functions.json import first_present, json_text, truthy_text
 from jobtide.functions.numbers import days_between, epoch_date, half_even_int, half_up_int, is_fresh
 from jobtide.functions.text import first_filled
-from jobtide.operators.ranking import By, last_wins, number_rows, number_small_groups, top_per_key
+from jobtide.operators.ranking import By, last_wins, last_written_wins, number_rows, number_small_groups, top_per_key
 from jobtide.operators.tables import latest_per_day, missing_dates, not_present, seeded_sample
 from jobtide.plans import reporting
 from jobtide.plans.places import canonical_places
@@ -200,6 +200,15 @@ def daily_last_wins(spark, sf):
     )
 
 
+@registry.add("written_last_wins", f"""
+select user_id, {DAY} as run_date, event_id, event_type, props from events
+qualify row_number() over (partition by user_id, {DAY} order by event_id desc) = 1""")
+def written_last_wins(spark, sf):
+    """The last event of a user's day with its payload, which only the rows that stay are read for."""
+    rows = _events(spark, sf).select("user_id", "run_date", "event_id", "event_type", "props")
+    return last_written_wins(rows, ["user_id", "run_date"], ["event_id"])
+
+
 @registry.add("upsert_events", """
 with target as (
   select user_id, cast(ts as date) as run_date, event_id from events where event_type <> 'signup'

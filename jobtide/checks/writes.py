@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobtide.checks.base import Registry, table
 from jobtide.operators.ranking import last_wins
 from jobtide.session import shared_folder
-from jobtide.sources.tables import RawTable, prune, read_table, replace_run, upsert
+from jobtide.sources.tables import RawTable, prune, read_table, replace_run, upsert, upsert_latest
 
 registry = Registry()
 DAY = "cast(ts as date)"
@@ -36,6 +36,20 @@ def upsert_written(spark, sf):
     return read_table(spark, users).select(*keys, "event_id")
 
 
+@registry.add("upsert_out_of_order", f"""
+select user_id, {DAY} as run_date, event_id, event_type from events
+qualify row_number() over (partition by user_id, {DAY} order by event_id desc) = 1""")
+def upsert_out_of_order(spark, sf):
+    """Batches by kind of event, each with earlier and later rows of the keys there are; the last event of a day stays."""
+    keys, folder = ["user_id", "run_date"], _new_folder(spark)
+    schema = "user_id bigint, event_id bigint, event_type string, loaded_at timestamp, run_date date"
+    users = RawTable(f"{folder}/users", schema, keys, ["run_date"])
+    events = _events(spark, sf).select(*keys, "event_id", "event_type", F.col("event_id").alias("place"))
+    for batch in ("event_type = 'signup'", "event_type = 'purchase'", "event_type not in ('signup', 'purchase') or event_type is null"):
+        upsert_latest(users, last_wins(events.filter(batch), keys, ["place"]), ["place"], f"{folder}/staging")
+    return read_table(spark, users).select(*keys, "event_id", "event_type")
+
+
 def _written_events(spark: SparkSession, rows: DataFrame) -> RawTable:
     """Events as a raw table of their own."""
     folder = _new_folder(spark)

@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from jobtide.operators.tables import orphans, reconcile
+from jobtide.operators.tables import reconcile
+from jobtide.session import local_frame
 
 
 @dataclass(frozen=True)
@@ -68,38 +70,69 @@ def duplicates(df: DataFrame, columns: list[str]) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count("*").alias("rows_for_key")).filter("rows_for_key > 1")
 
 
-def _row_checks(df: DataFrame, checks: list) -> DataFrame:
-    """All checks that look at one row at a time, in one pass over the table."""
-    counts = [F.count_if(c.breaks()).alias(str(i)) for i, c in enumerate(checks)]
-    labels = [
-        F.struct(F.lit(c.check).alias("check"), F.lit(c.table).alias("table_name"),
-                 F.lit(c.column).alias("column_name"), F.col(str(i)).alias("violations"))
-        for i, c in enumerate(checks)
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*labels)))
+def _as_text(df: DataFrame, column: str, kind: T.DataType | None = None) -> Column:
+    """A value as text, the same for values that are equal."""
+    kind = kind or df.schema[column].dataType
+    value = F.col(column).cast(kind)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0).cast(kind)  # there are two zeros, which are equal
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    return F.to_json(value) if isinstance(kind, (T.ArrayType, T.StructType)) else value.cast("string")
 
 
-def _counted(df: DataFrame, check) -> DataFrame:
-    return df.agg(F.count("*").alias("violations")).select(
-        F.lit(check.check).alias("check"), F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"), "violations",
-    )
+def _shared_type(left: DataFrame, column: str, right: DataFrame, other: str) -> T.DataType:
+    """The type in which Spark compares two columns."""
+    kinds = [left.schema[column].dataType, right.schema[other].dataType]
+    if kinds[0] == kinds[1]:
+        return kinds[0]
+    nulls = [F.lit(None).cast(kind) for kind in kinds]
+    return left.sparkSession.range(1).select(F.coalesce(*nulls).alias("both")).schema["both"].dataType
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list) -> DataFrame:
-    """One row per check with its number of violations."""
-    parts: list[DataFrame] = []
-    row_checks: dict[str, list] = {}
-    for check in checks:
+    """One row per check with its number of violations.
+
+    Every table is scanned once for all rules that concern it. A row gives an entry for each row rule it breaks and
+    one with its key for each unique or reference rule; one count by (rule, key), which starts in each task, then
+    answers all rules together. A key held by any share of the rows is one entry per task.
+    """
+    entries: dict[str, list[Column]] = {}
+
+    def add(table: str, rule: int, when: Column, key: list[Column], parent: bool = False) -> None:
+        texts = F.array(*key).cast("array<string>")
+        entry = F.struct(F.lit(rule).alias("rule"), texts.alias("key"), F.lit(parent).alias("parent"))
+        entries.setdefault(table, []).append(F.when(when, entry))
+
+    for rule, check in enumerate(checks):
+        df = tables[check.table]
         if isinstance(check, Unique):
-            parts.append(_counted(duplicates(tables[check.table], list(check.columns)), check))
+            keyed = F.col(check.columns[0]).isNotNull() if len(check.columns) == 1 else F.lit(True)
+            add(check.table, rule, keyed, [_as_text(df, c) for c in check.columns])
         elif isinstance(check, Relationship):
-            lost = orphans(tables[check.table], check.column, tables[check.parent], check.parent_column)
-            parts.append(_counted(lost, check))
+            parent = tables[check.parent]
+            kind = _shared_type(df, check.column, parent, check.parent_column)
+            add(check.table, rule, F.col(check.column).isNotNull(), [_as_text(df, check.column, kind)])
+            known = F.col(check.parent_column).isNotNull()
+            add(check.parent, rule, known, [_as_text(parent, check.parent_column, kind)], parent=True)
         else:
-            row_checks.setdefault(check.table, []).append(check)
-    parts += [_row_checks(tables[name], group) for name, group in row_checks.items()]
-    return reduce(DataFrame.unionByName, parts)
+            add(check.table, rule, check.breaks(), [])
+    found = [tables[t].select(F.inline(F.array_compact(F.array(*found)))) for t, found in entries.items()]
+    by_key = reduce(DataFrame.unionByName, found).groupBy("rule", "key").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.bool_or("parent").alias("has_parent")
+    )
+    by_rule = by_key.groupBy("rule").agg(
+        F.count_if(F.col("rows") > 1).alias("repeated"),
+        F.sum(F.when(F.col("has_parent"), 0).otherwise(F.col("rows"))).alias("lost"),
+    )
+    named = [(rule, c.check, c.table, c.column, isinstance(c, Unique)) for rule, c in enumerate(checks)]
+    rules = local_frame(
+        tables[checks[0].table].sparkSession, named, "rule int, check string, table_name string, column_name string, is_unique boolean"
+    )
+    violations = F.when(F.col("is_unique"), F.col("repeated")).otherwise(F.col("lost"))
+    return rules.join(by_rule, "rule", "left").select(
+        "check", "table_name", "column_name", F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")
+    )
 
 
 def growing_stages(funnel: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Ranking inside groups.
 
-Three forms, by what the caller needs:
+Four forms, by what the caller needs:
 
 * `first_per_key` / `top_per_key` keep a bounded number of rows per key. Spark limits each group
   before the shuffle (WindowGroupLimit), so one huge key costs no more than a small one.
+* `last_written_wins` keeps the last row per key of rows that are written, without moving their payloads.
 * `number_small_groups` numbers every row of groups that are small by construction.
 * `number_rows` numbers every row of groups of any size, in one plan for all sizes.
 """
@@ -84,6 +85,21 @@ def last_wins(df: DataFrame, keys: list[str], read_order: list[str]) -> DataFram
     return first_per_key(df, keys, [F.col(c).desc() for c in read_order])
 
 
+def last_written_wins(rows: DataFrame, keys: list[str], read_order: list[str]) -> DataFrame:
+    """`last_wins` for wide rows that lie in a table: who lost is settled on keys and places alone.
+
+    `read_order` identifies a row and holds no nulls; null keys count as equal. The last place of a key is an
+    aggregate that starts in each task, so a key of any share of the rows costs no more than others. The places
+    of the rows that lost are written as a table, whose size tells the planner whether they fit beside each
+    task; as long as rows are seldom read twice they do, and the wide rows are filtered where they lie, neither
+    sorted nor shuffled. Beyond that the rows are joined by their place, which no two rows share.
+    """
+    narrow = rows.select(*dict.fromkeys([*keys, *read_order]))
+    last = narrow.groupBy(*keys).agg(F.max(F.struct(*read_order)).alias("__last")).select("__last.*")
+    lost = settle(narrow.select(*read_order).join(last, read_order, "left_anti"))
+    return rows.join(lost, read_order, "left_anti").select(*rows.columns)
+
+
 def number_small_groups(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn(name, number.cast("bigint"))

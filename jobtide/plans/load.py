@@ -34,12 +34,13 @@ def load_runs(
     # Read once: they are counted for the manifests and collapsed for the tables.
     listings = settle(landing.enveloped_rows(files(listing_source, "page_*.json")))
     board = settle(landing.plain_rows(files(board_source, "page_*.json")))
+    details = settle(landing.detail_rows(files(listing_source, "details/*.json")))
     counted = [rows.select("source", "run_date", "source_id") for rows in (listings, board)]
     accounting = landing.run_accounting(counted[0].unionByName(counted[1]))
     loaded = {
-        "listings": landing.collapse(listings),
-        "details": landing.collapse(landing.detail_rows(files(listing_source, "details/*.json"))),
-        "board": landing.collapse(board),
+        "listings": landing.collapse_written(listings),
+        "details": landing.collapse_written(details),
+        "board": landing.collapse_written(board),
         "runs": landing.load_manifests(landing.read_manifests(spark, raw, run_date), accounting),
     }
     staging = f"{shared_folder(spark)}/jobtide/{uuid.uuid4().hex}"

@@ -8,19 +8,23 @@ from __future__ import annotations
 
 import datetime
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as fixed
 from jobtide.functions.json import first_present, json_array_size, json_elements, json_text, truthy_text
-from jobtide.operators.ranking import last_wins
+from jobtide.operators.ranking import last_wins, last_written_wins
 from jobtide.session import local_frame
+from jobtide.sources.tables import read_text
 
 RUN_PATH = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/(?:details/)?[^/]+$"
 RUN_FILE = "source string, run_date date, file string, document string"
 MANIFEST_NAME = "_manifest.json"
 COUNTS = ("rows_read", "duplicates_collapsed")
+READ_ORDER = ["file", "position"]
+MANIFEST_READERS = 16
 RUN_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
@@ -60,21 +64,18 @@ def read_manifests(spark: SparkSession, raw: str, run_date: str | None = None) -
     """The manifest of each run that has one.
 
     Spark's file sources skip names that begin with an underscore, so these are read through the
-    file system; there is one small file per retained run.
+    file system, several at a time; there is one small file per retained run.
     """
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{raw}/*/{run_date or '*'}/{MANIFEST_NAME}")
     system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    for status in system.globStatus(pattern) or []:
-        path = status.getPath()
-        stream = system.open(path)
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        run = path.getParent()
-        day = datetime.date.fromisoformat(run.getName())
-        found.append((run.getParent().getName(), day, path.toString(), text))
+    paths = [status.getPath().toString() for status in system.globStatus(pattern) or []]
+
+    def read(path: str) -> tuple:
+        source, day = path.split("/")[-3:-1]
+        return source, datetime.date.fromisoformat(day), path, read_text(spark, path)
+
+    with ThreadPoolExecutor(MANIFEST_READERS) as readers:
+        found = list(readers.map(read, paths))
     return local_frame(spark, found, RUN_FILE)
 
 
@@ -119,7 +120,12 @@ def detail_rows(documents: DataFrame) -> DataFrame:
 
 def collapse(rows: DataFrame) -> DataFrame:
     """One row per (source_id, run_date): the one read last."""
-    return last_wins(rows, ["source_id", "run_date"], ["file", "position"])
+    return last_wins(rows, ["source_id", "run_date"], READ_ORDER)
+
+
+def collapse_written(rows: DataFrame) -> DataFrame:
+    """`collapse` for rows that lie in a table; payloads stay where they are."""
+    return last_written_wins(rows, ["source_id", "run_date"], READ_ORDER)
 
 
 def run_accounting(rows: DataFrame) -> DataFrame:

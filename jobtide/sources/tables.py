@@ -15,9 +15,12 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtide.operators.ranking import join_null_safe
 from jobtide.session import settle
 from jobtide.sources.schemas import RAW_TABLES
 
+PLACES = "_places"
+
 
 @dataclass(frozen=True)
 class RawTable:
@@ -132,6 +135,35 @@ def upsert(table: RawTable, rows: DataFrame, staging: str) -> None:
     _write_partitions(table, spark.read.schema(table.schema).parquet(staging))
 
 
+def places_of(table: RawTable, rows: DataFrame, read_order: list[str]) -> RawTable:
+    """The narrow table beside a raw table that says where each of its rows was read."""
+    names = list(dict.fromkeys([*table.keys, *read_order, *table.partitions]))
+    fields = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in names]
+    return RawTable(table.path + PLACES, ", ".join([*fields, "loaded_at timestamp"]), table.keys, table.partitions)
+
+
+def upsert_latest(table: RawTable, rows: DataFrame, read_order: list[str], staging: str) -> None:
+    """Upsert rows, one per key, but for those whose key the table holds from a later place.
+
+    `rows` brings the columns of `read_order` beside the table's own; they are kept in a narrow table of the
+    same runs, so batches may arrive in any order and give what one batch of all rows gives. A row from the very
+    same place is taken again: rows are written before their places, and a batch repeated after an interruption
+    between the two finishes what was begun. Keys that came in by `upsert` have no place and are overwritten.
+    """
+    spark = rows.sparkSession
+    new = settle(rows)
+    if new.isEmpty():
+        return
+    places = places_of(table, new, read_order)
+    place = F.struct(*read_order)
+    held = read_table(spark, places).filter(_only_runs(new.select(*table.partitions).distinct()))
+    held = held.select(*places.keys, place.alias("__held"))
+    met = join_null_safe(new, held, table.keys, "left")
+    later = settle(met.filter(F.col("__held").isNull() | (place >= F.col("__held"))).select(*new.columns))
+    upsert(table, later.drop(*[c for c in read_order if c not in table.keys]), f"{staging}/rows")
+    upsert(places, later.select(*dict.fromkeys([*places.keys, *read_order, *table.partitions])), f"{staging}/places")
+
+
 def _only_runs(runs: DataFrame) -> Column:
     """The partitions of these runs as literals, so that no other folder is read.
 
@@ -153,9 +185,10 @@ def _write_partitions(table: RawTable, rows: DataFrame) -> None:
 
 
 def replace_run(table: RawTable, rows: DataFrame, **run: str) -> None:
-    """Make one run hold exactly these rows, also when there are none."""
+    """Make one run hold exactly these rows, also when there are none; where its rows were read is forgotten."""
     spark = rows.sparkSession
     partition = "/".join(f"{name}={run[name]}" for name in table.partitions)
+    drop_folder(spark, f"{table.path}{PLACES}/{partition}")
     for name, value in run.items():
         rows = rows.filter(F.col(name) == F.lit(value).cast(dict(rows.dtypes)[name]))
     if rows.isEmpty():
@@ -184,7 +217,8 @@ def prune(spark: SparkSession, tables: list[RawTable], today: str, retain_days:
             pattern = "/".join(
                 f"run_date={run['run_date']}" if p == "run_date" else f"{p}=*" for p in table.partitions
             )
-            system, folder = _folder(spark, f"{table.path}/{pattern}")
-            for match in system.globStatus(folder):
-                system.delete(match.getPath(), True)
+            for path in (table.path, table.path + PLACES):
+                system, folder = _folder(spark, f"{path}/{pattern}")
+                for match in system.globStatus(folder) or []:
+                    system.delete(match.getPath(), True)
     return spark.createDataFrame(report, "table string, run_date date, rows bigint")

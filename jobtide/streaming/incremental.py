@@ -1,6 +1,7 @@
 """Landing new page files as they appear, with the batch upsert doing the writing.
 
-The checkpoint remembers which files were read; the upsert keeps a replayed batch harmless.
+The checkpoint remembers which files were read; the upsert keeps a replayed batch harmless, and a row whose file
+arrives late does not replace one that was read from a later place. Files in any order give what one batch gives.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.sources.landing import RUN_PATH, collapse
-from jobtide.sources.tables import RawTable, upsert
+from jobtide.session import settle
+from jobtide.sources.landing import READ_ORDER, RUN_PATH, collapse_written
+from jobtide.sources.tables import RawTable, upsert_latest
 
 
 def land_new_files(
@@ -38,7 +40,8 @@ def land_new_files(
     columns = [c.split()[0] for c in table.schema.split(", ") if not c.startswith("loaded_at")]
 
     def write(batch: DataFrame, _: int) -> None:
-        upsert(table, collapse(to_rows(batch)).select(*columns), staging)
+        rows = collapse_written(settle(to_rows(batch)))
+        upsert_latest(table, rows.select(*columns, *READ_ORDER), READ_ORDER, staging)
 
     query = (
         documents.writeStream.foreachBatch(write)

@@ -13,7 +13,7 @@ from jobtide.plans.model_checks import require_clean
 from jobtide.plans.staging import flatten_runs
 from jobtide.sources import landing, seeds, tables
 from jobtide.sources.schemas import RAW_TABLES
-from jobtide.sources.tables import RawTable, prune, read_table, replace_run, stamped, upsert
+from jobtide.sources.tables import RawTable, prune, read_table, replace_run, stamped, upsert, upsert_latest
 from jobtide.streaming.incremental import land_new_files
 from sample_runs import DAY, DETAILS, LISTINGS, OFFERS
 
@@ -178,6 +178,56 @@ def test_new_files_land_once(spark, raw, tmp_path):
     ]
 
 
+def test_files_in_the_wrong_order_land_like_one_batch(spark, tmp_path):
+    raw, table = str(tmp_path / "raw"), RawTable.at(str(tmp_path / "tables"), "board")
+    folder = f"{raw}/arbeitnow/2026-09-12"
+    pages = {
+        "0003": [{"slug": "b", "t": 3}, {"slug": "d", "t": 3}],
+        "0001": [{"slug": "a", "t": 1}, {"slug": "b", "t": 1}, {"slug": "b", "t": 1.5}],
+        "0002": [{"slug": "a", "t": 2}, {"slug": "b", "t": 2}, {"slug": "c", "t": 2}],
+    }
+    for number, data in pages.items():
+        write(f"{folder}/page_{number}.json", {"data": data})
+        land_new_files(
+            spark, f"{raw}/arbeitnow/*/page_*.json", table, landing.plain_rows, str(tmp_path / "seen"), str(tmp_path / "staging")
+        )
+    batch = landing.collapse(landing.plain_rows(landing.read_run_files(spark, raw, "arbeitnow", "page_*.json")))
+    assert content(spark, table) == sorted((r["source_id"], str(r["run_date"]), r["payload"]) for r in batch.collect())
+    assert [json.loads(r[2])["t"] for r in content(spark, table)] == [2, 3, 2, 3]
+
+
+def test_upsert_by_place(spark, tmp_path, monkeypatch):
+    table, staging = RawTable.at(str(tmp_path / "raw"), "board"), str(tmp_path / "staging")
+    schema = "source_id string, run_date string, payload string, place int"
+    placed = lambda *items: spark.createDataFrame(list(items), schema).withColumn("run_date", F.col("run_date").cast("date"))
+    early, late = placed(("a", "2026-09-01", "early", 1), ("b", "2026-09-01", "only", 1)), placed(("a", "2026-09-01", "late", 2))
+    upsert_latest(table, late, ["place"], staging)
+    upsert_latest(table, early.limit(0), ["place"], staging)
+    # Rows are written, then the executor that writes their places is lost; the batch is repeated.
+    real = tables.upsert
+
+    def half(target, rows, folder):
+        if target.path.endswith(tables.PLACES):
+            raise RuntimeError("executor lost")
+        real(target, rows, folder)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "upsert", half)
+        with pytest.raises(RuntimeError):
+            upsert_latest(table, early, ["place"], staging)
+    expected = [("a", "2026-09-01", "late"), ("b", "2026-09-01", "only")]
+    assert content(spark, table) == expected
+    upsert_latest(table, early, ["place"], staging)
+    upsert_latest(table, late, ["place"], staging)
+    assert content(spark, table) == expected
+    # A run that is replaced or pruned forgets its places.
+    replace_run(table, board_rows(spark, ("a", "2026-09-01", "replaced")), run_date="2026-09-01")
+    upsert_latest(table, early, ["place"], staging)
+    assert content(spark, table) == [("a", "2026-09-01", "early"), ("b", "2026-09-01", "only")]
+    prune(spark, [table], "2026-12-01", 30)
+    assert content(spark, table) == [] and not [n for n in os.listdir(table.path + tables.PLACES) if "=" in n]
+
+
 def test_load_runs(spark, raw, tmp_path):
     home = str(tmp_path / "tables")
     load = lambda **more: load_runs(spark, raw, home, "arbeitsagentur", "arbeitnow", **more)

@@ -15,7 +15,8 @@ from jobtide.operators.aggregates import exact_medians, joined_distinct
 from jobtide.operators.dictionary import dictionary_match
 from jobtide.operators.flags import in_scope
 from jobtide.operators.phrases import longest_only, phrase_join
-from jobtide.operators.ranking import By, number_rows
+from jobtide.operators.quality import AcceptedValues, NonNegative, NotNull, Relationship, Unique, run_checks
+from jobtide.operators.ranking import By, last_wins, last_written_wins, number_rows
 from jobtide.operators.tables import canonical_lines, column_differences, diff_tables
 from jobtide.params import ScopeRules
 from jobtide.plans.places import opens_with
@@ -200,3 +201,39 @@ def test_diff_and_dump(spark):
     with pytest.raises(ValueError):
         diff_tables(a, b.drop("s"))
     assert [r[0] for r in canonical_lines(b).collect()] == ["1|2.5|x", "3|1.0E30|l m"]
+
+
+def test_rules_of_odd_keys_in_one_scan_per_table(spark, tmp_path):
+    schema = "k string, d double, t timestamp, b binary, ref int, n int"
+    at = datetime.datetime(2026, 9, 1)
+    child = [
+        ("x", 0.0, at, b"\x00", 1, 1), ("x", -0.0, at.replace(microsecond=1), b"\x00", 1, -1), (None, None, None, None, None, None),
+        (None, 1.0, None, None, 9, 0), ("null", 1.5, at, b"\xff", 9, 2),
+    ]
+    spark.createDataFrame(child, schema).write.parquet(str(tmp_path / "child"))
+    spark.createDataFrame([(1,), (None,), (1,)], "id bigint").write.parquet(str(tmp_path / "parent"))
+    frames = {n: spark.read.parquet(str(tmp_path / n)) for n in ("child", "parent")}
+    checks = [
+        Unique("child", ("k",)), Unique("child", ("d",)), Unique("child", ("t",)), Unique("child", ("b",)), Unique("child", ("k", "t")),
+        Unique("parent", ("id",)), Relationship("child", "ref", "parent", "id"), Relationship("parent", "id", "child", "ref"),
+        NotNull("child", "k"), NonNegative("child", "n"), AcceptedValues("child", "n", (0, 1)), NotNull("child", "k"),
+    ]
+    report = run_checks(frames, checks)
+    expected = [1, 1, 1, 1, 1, 1, 2, 0, 2, 1, 2, 2]
+    assert sorted(tuple(r) for r in report.collect()) == sorted((c.check, c.table, c.column, n) for c, n in zip(checks, expected))
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("] parquet") == 2
+    empty = run_checks({n: f.limit(0) for n, f in frames.items()}, checks)
+    assert [r["violations"] for r in empty.collect()] == [0] * len(checks)
+
+
+def test_last_written_row_of_each_key(spark, tmp_path):
+    hot = [("hot", "2026-09-01", f"f{i % 7}", i, "x" * i) for i in range(500)]
+    items = [*hot, (None, None, "f1", 900, "a"), (None, None, "f0", 901, "b"), ("one", None, "f9", 902, None)]
+    spark.createDataFrame(items, "k string, day string, file string, position int, payload string").write.parquet(str(tmp_path / "rows"))
+    written = spark.read.parquet(str(tmp_path / "rows"))
+    got = last_written_wins(written, ["k", "day"], ["file", "position"])
+    assert got.columns == written.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, last_wins(written, ["k", "day"], ["file", "position"]).collect()), key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Sort" not in plan and "hashpartitioning" not in plan
+    assert last_written_wins(written.limit(0), ["k", "day"], ["file", "position"]).count() == 0
