@@ -9,6 +9,7 @@ from jobtide.checks import world as w
 from jobtide.checks.base import Registry, table
 from jobtide.checks.tables import DAILY_SQL, daily_marts
 from jobtide.fixed_values import MART_NAMES
+from jobtide.operators.ranking import By, number_rows
 from jobtide.plans import reporting
 from jobtide.plans.daily import daily_build
 from jobtide.plans.load import load_runs
@@ -155,6 +156,17 @@ def dump_with_header(spark, sf):
 
 
 PAGE_EVENTS = 20_000
+HOT_EVENTS = 1_000_000
+
+
+def _paged(events: DataFrame) -> DataFrame:
+    """Events with the page of their run they stand on, in the order of their ids.
+
+    Pages are filled within a run, so files are as many as events fill, and at most one more per run.
+    """
+    order = [By(F.col("event_id")), By(F.col("user_id"))]
+    numbered = number_rows(events, ["federal", "run_date"], order, "number", HOT_EVENTS)
+    return numbered.withColumn("page", F.floor((F.col("number") - 1) / PAGE_EVENTS).cast("int")).drop("number")
 
 
 def _land_pages(spark: SparkSession, pages: DataFrame, raw: str) -> None:
@@ -186,8 +198,8 @@ def load_runs_events(spark, sf):
     raw, warehouse = f"{_new_folder(spark)}/raw", _new_folder(spark)
     events = table(spark, sf, "events").select(
         "event_id", F.col("ts").cast("date").alias("run_date"), "user_id", F.col("event_type").isin("view", "click", "signup").alias("federal"),
-        F.floor(F.col("event_id") / PAGE_EVENTS).cast("int").alias("page"),
     )
+    events = _paged(events)
     federal = F.struct(F.concat(F.lit("u"), "user_id").alias("refnr"), "event_id")
     boarded = F.struct(F.concat(F.lit("b"), "user_id").alias("slug"), "event_id")
     in_order = lambda posting: F.transform(F.array_sort(F.collect_list(F.struct("event_id", posting.alias("p")))), lambda x: x["p"])

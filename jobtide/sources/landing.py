@@ -90,11 +90,11 @@ def enveloped_rows(documents: DataFrame) -> DataFrame:
     # A key outside the known list is looked up by name.
     fallback = F.element_at(F.from_json(payload, "map<string,string>"), key)
     array = F.when(key.isin(*fixed.RESULT_KEYS), array).otherwise(fallback)
-    elements = documents.select(
-        *[c for c in documents.columns if c != "document"],
-        json_text(document, "search_term").alias("search_term"),
-        F.posexplode(json_elements(array)).alias("position", "payload"),
-    )
+    # What a page says once is read once, in a generator of its own: beside the elements it would be read anew for each of them.
+    once = F.struct(json_text(document, "search_term").alias("search_term"), json_elements(array).alias("__elements"))
+    others = [c for c in documents.columns if c != "document"]
+    pages = documents.select(*others, F.inline(F.array(once)))
+    elements = pages.select(*others, "search_term", F.posexplode("__elements").alias("position", "payload"))
     found = F.coalesce(*[truthy_text(F.col("payload"), name) for name in fixed.ID_FIELDS])
     return elements.withColumn("source_id", found).filter(F.col("source_id").isNotNull())
 

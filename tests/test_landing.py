@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from jobtide.checks.publishing import PAGE_EVENTS, _paged
 from jobtide.plans.daily import daily_build
 from jobtide.plans.load import load_runs
 from jobtide.plans.model_checks import require_clean
@@ -228,6 +229,21 @@ def test_upsert_by_place(spark, tmp_path, monkeypatch):
     assert content(spark, table) == [] and not [n for n in os.listdir(table.path + tables.PLACES) if "=" in n]
 
 
+def test_a_page_is_read_once_and_not_per_element(spark):
+    document = json.dumps({"search_term": "t", "payload": {"ergebnisliste": [{"refnr": "a"}, {"refnr": "b"}]}})
+    rows = landing.enveloped_rows(spark.createDataFrame([("f", document)], "file string, document string"))
+    assert [tuple(r) for r in rows.orderBy("position").collect()] == [("f", "t", 0, '{"refnr":"a"}', "a"), ("f", "t", 1, '{"refnr":"b"}', "b")]
+    plan = rows._jdf.queryExecution().sparkPlan().toString().splitlines()
+    exploded = [line for line in plan if "Generate posexplode" in line]
+    # The whole page would come along with each of its elements, to be parsed again.
+    assert len(exploded) == 1 and "document#" not in exploded[0]
+
+
+def test_pages_are_filled_within_a_run(spark):
+    events = spark.range(200).select((F.col("id") * PAGE_EVENTS).alias("event_id"), F.lit(1).alias("user_id"), F.lit(True).alias("federal"), F.lit(DAY).cast("date").alias("run_date"))
+    assert [tuple(r) for r in _paged(events).groupBy("page").count().collect()] == [(0, 200)]
+
+
 def test_load_runs(spark, raw, tmp_path):
     home = str(tmp_path / "tables")
     load = lambda **more: load_runs(spark, raw, home, "arbeitsagentur", "arbeitnow", **more)
