@@ -40,6 +40,8 @@ from jobtide.session import local_frame
 
 END = b""
 REST, STOP = 0, 1
+# Blocks of units counted at once; tokens that are counted in 32 bits; tokens scored at once.
+SPAN, MOST_HELD, SCORED_TOKENS = 64, 1 << 30, 1 << 17
 
 
 @dataclass(frozen=True)
@@ -81,8 +83,9 @@ def chunks(docs: DataFrame, held_out: Column, rules: LmRules) -> DataFrame:
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
 
-        for batch in batches:
-            for doc_id, text, is_held in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+        parts = (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256))
+        for rows in parts:
+            for doc_id, text, is_held in zip(*[rows.column(i).to_pylist() for i in range(3)]):
                 raw = (text or "").encode("utf-8", "surrogatepass").lower()
                 words = raw.split()
                 for w in words:
@@ -324,37 +327,52 @@ def _tokens(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(tokens, dtype=np.int64), np.array(held, dtype=bool)
 
 
+def add_counts(held: dict[int, np.ndarray], units: np.ndarray, ids: np.ndarray, trains: np.ndarray, of: np.ndarray, k: int, size: int) -> None:
+    """Add to the blocks in `held` what stands beside the units of a chunk."""
+    local, number = np.unique(units, return_inverse=True)
+    now = number.astype(np.int32)[ids]
+    before = np.concatenate([np.searchsorted(local, [STOP]).astype(np.int32), now[:-1]])
+    now, before = now[trains], before[trains]
+    kind = of[local]
+    # Counts are dense, so only those of some blocks are put together at once.
+    spans = np.unique(local // (size * SPAN))
+    for lo, hi in zip(*[np.searchsorted(local, (spans + more) * (size * SPAN)) for more in (0, 1)]):
+        n, mine, theirs = int(hi - lo), (now >= lo) & (now < hi), (before >= lo) & (before < hi)
+        left = np.bincount((now[mine] - lo) * k + kind[before[mine]], minlength=n * k).reshape(n, k)
+        right = np.bincount((before[theirs] - lo) * k + kind[now[theirs]], minlength=n * k).reshape(n, k)
+        own = np.bincount(now[mine & (now == before)] - lo, minlength=n)
+        blocks, starts = np.unique(local[lo:hi] // size, return_index=True)
+        for b, first, last in zip(blocks.tolist(), starts, [*starts[1:], n]):
+            if b not in held:
+                held[b] = np.zeros((size, 2 * k + 1), dtype=np.int32)
+            at, rows = local[lo + first : lo + last] - b * size, slice(first, last)
+            held[b][at, :k] += left[rows].astype(np.int32)
+            held[b][at, k : 2 * k] += right[rows].astype(np.int32)
+            held[b][at, 2 * k] += own[rows].astype(np.int32)
+
+
 def beside(texts: DataFrame, of: np.ndarray, k: int, rules: LmRules) -> DataFrame:
     """block, counts: per unit of a block the classes before it, the classes after it, and its pairs with itself."""
-    shared, width, size = texts.sparkSession.sparkContext.broadcast(of), 2 * k + 1, rules.block
+    shared, size = texts.sparkSession.sparkContext.broadcast(of), rules.block
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, held = shared.value, {}
+        of, held, seen = shared.value, {}, 0
 
         def out() -> pa.RecordBatch:
             pack = zstandard.ZstdCompressor(1)
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([pack.compress(x.tobytes()) for x in held.values()], pa.binary())], names=["block", "counts"])
+            packed = [pack.compress(x.astype(np.int64).tobytes()) for x in held.values()]
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
         for batch in batches:
             for i in range(batch.num_rows):
                 tokens, is_held = _tokens(batch, i)
-                local, number = np.unique(_numbers(batch, i, "units", np.int32), return_inverse=True)
-                now = number[_numbers(batch, i, "ids", np.int32)]
-                before = np.concatenate([[np.searchsorted(local, STOP)], now[:-1]])
-                trains = np.repeat(~is_held, tokens)
-                now, before = now[trains], before[trains]
-                kind, n = of[local].astype(np.int64), len(local)
-                left = np.bincount(now * k + kind[before], minlength=n * k).reshape(n, k)
-                right = np.bincount(before * k + kind[now], minlength=n * k).reshape(n, k)
-                counts = np.concatenate([left, right, np.bincount(now[now == before], minlength=n)[:, None]], axis=1)
-                blocks, starts = np.unique(local // size, return_index=True)
-                for b, lo, hi in zip(blocks.tolist(), starts, [*starts[1:], n]):
-                    if b not in held:
-                        held[b] = np.zeros((size, width), dtype=np.int64)
-                    held[b][local[lo:hi] - b * size] += counts[lo:hi]
-                if len(held) > 512:
+                # Counts are kept in 32 bits until they are handed on.
+                if len(held) > 512 or (held and seen + int(tokens.sum()) > MOST_HELD):
                     yield out()
                     held.clear()
+                    seen = 0
+                seen += int(tokens.sum())
+                add_counts(held, _numbers(batch, i, "units", np.int32), _numbers(batch, i, "ids", np.int32), np.repeat(~is_held, tokens), of, k, size)
         if held:
             yield out()
 
@@ -497,17 +515,25 @@ def scored(texts: DataFrame, model: ClassModel) -> DataFrame:
             for i in range(batch.num_rows):
                 tokens, held = _tokens(batch, i)
                 ids, counts = _numbers(batch, i, "ids", np.int32), _numbers(batch, i, "counts", np.int64)
-                classes = m.of[_numbers(batch, i, "units", np.int32)].astype(np.int64)
-                base, score = m.token_scores(classes[ids], counts[ids])
+                classes = m.of[_numbers(batch, i, "units", np.int32)]
                 starts = np.concatenate([[0], np.cumsum(tokens)[:-1]])
+                known, base, score = np.zeros(len(tokens), dtype=np.int64), np.zeros(len(tokens)), np.zeros(len(tokens))
+                # Whole documents at once, each of which begins behind an end token.
+                cuts = np.flatnonzero(np.diff(starts // SCORED_TOKENS, prepend=-1))
+                for lo, hi in zip(cuts, [*cuts[1:], len(tokens)]):
+                    here = ids[starts[lo] : starts[hi - 1] + tokens[hi - 1]]
+                    inside, n = starts[lo:hi] - starts[lo], counts[here]
+                    by_token = m.token_scores(classes[here].astype(np.int64), n)
+                    base[lo:hi], score[lo:hi] = (np.add.reduceat(x, inside) for x in by_token)
+                    known[lo:hi] = np.add.reduceat((n > 0).astype(np.int64), inside)
                 columns = {
                     "doc_id": pa.array(batch.column(0)[i].as_py(), pa.int64()),
                     "held_out": pa.array(held),
                     "n_tokens": pa.array(tokens),
-                    "n_known": pa.array(np.add.reduceat((counts[ids] > 0).astype(np.int64), starts)),
-                    "train_tokens": pa.array(np.full(len(starts), m.total, dtype=np.int64)),
-                    "base_score": pa.array(np.add.reduceat(base, starts)),
-                    "score": pa.array(np.add.reduceat(score, starts)),
+                    "n_known": pa.array(known),
+                    "train_tokens": pa.array(np.full(len(tokens), m.total, dtype=np.int64)),
+                    "base_score": pa.array(base),
+                    "score": pa.array(score),
                 }
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 

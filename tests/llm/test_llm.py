@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables, and on awkward rows."""
 
 import collections
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -369,6 +370,26 @@ def test_units_grow_with_the_corpus(spark):
     assert len({found[w] for w in one}) == len({found[w] for w in two}) == 1 and found[one[0]] != found[two[0]]
 
 
+def test_counts_beside_units_need_little_memory():
+    rng, k, size, n, tokens = np.random.default_rng(1), 48, 256, 60_000, 400_000
+    units, of = np.arange(n, dtype=np.int32), rng.integers(0, k, n).astype(np.uint8)
+    ids, trains = rng.integers(0, n, tokens).astype(np.int32), rng.random(tokens) < 0.8
+    held = {}
+    tracemalloc.start()
+    class_lm.add_counts(held, units, ids, trains, of, k, size)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.concatenate([held[b] for b in sorted(held)])[:n]
+    before = np.concatenate([[class_lm.STOP], ids[:-1]])
+    want = np.zeros((n, 2 * k + 1), dtype=np.int64)
+    np.add.at(want, (ids[trains], of[before[trains]]), 1)
+    np.add.at(want, (before[trains], k + of[ids[trains]].astype(int)), 1)
+    np.add.at(want, (ids[trains & (ids == before)], 2 * k), 1)
+    assert (got == want).all()
+    # Half of what the counts of all units at once would take twice over in 64 bits.
+    assert peak < want.nbytes
+
+
 def test_classifier(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
