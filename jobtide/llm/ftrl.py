@@ -16,8 +16,10 @@ with a null are ignored, several labels of one document count as their mean; rep
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from pyspark.sql import types as T
 from jobtide.llm.common import mix64, settle, unused
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
+#: Texts whose features are held at once.
+BATCH = 256
 
 
 @dataclass(frozen=True)
@@ -60,7 +64,7 @@ class Features:
     def __init__(self, rules: FtrlRules):
         self.mask, self.most = np.uint64((1 << rules.bits) - 1), rules.cached_words
         self.known: dict[str, int] = {}
-        self.words, self.shapes = [], []
+        self.words, self.shapes = array("Q"), array("Q")
 
     def _learn(self, words: list[str]) -> np.ndarray:
         known = self.known
@@ -78,9 +82,10 @@ class Features:
 
     def of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         if len(self.known) > self.most:
-            self.known, self.words, self.shapes = {}, [], []
+            self.known, self.words, self.shapes = {}, array("Q"), array("Q")
         split = [self._learn(TOKEN.findall(t or "")) for t in texts]
-        words, shapes = np.array(self.words, dtype=np.uint64), np.array(self.shapes, dtype=np.uint64)
+        # Views, gone again before the next words come in.
+        words, shapes = (np.frombuffer(a, dtype=np.uint64) for a in (self.words, self.shapes))
         return [self._one(ids, words, shapes) for ids in split]
 
     def _one(self, ids: np.ndarray, words: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +149,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rules: FtrlRules) -> DataF
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(rules)
-        for batch in batches:
+        for batch in (whole.slice(at, BATCH) for whole in batches for at in range(0, whole.num_rows, BATCH)):
             doc_id, text, label = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text", "label"))
             found = features.of(text.to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -160,11 +165,14 @@ def _learner(rules: FtrlRules, z: np.ndarray, n: np.ndarray, turn: int):
 
     def learn(rows: pa.Table) -> pa.Table:
         state = Ftrl(rules, z.astype(np.float64), n.astype(np.float64))
-        seen = sorted(
-            zip(*[rows[c].to_pylist() for c in ("doc_id", "label", "index", "value")]), key=lambda r: (xxhash.xxh64_intdigest(str(r[0]), turn), r)
-        )
-        for _, label, index, value in seen:
-            state.learn(np.frombuffer(index, dtype=np.int32), np.frombuffer(value, dtype=np.float32), label)
+        ids, labels, index, value = (rows[c].combine_chunks() for c in ("doc_id", "label", "index", "value"))
+        turns = [(xxhash.xxh64_intdigest(str(d), turn), d, y) for d, y in zip(ids.to_pylist(), labels.to_pylist())]
+        order = sorted(range(len(turns)), key=turns.__getitem__)
+        for (_, _, label), alike in groupby(order, key=turns.__getitem__):
+            same = list(alike)
+            # Only rows alike so far are told apart by their features; the others stay where they lie.
+            for i in same if len(same) == 1 else sorted(same, key=lambda i: (index[i].as_py(), value[i].as_py())):
+                state.learn(np.frombuffer(index[i].as_buffer(), dtype=np.int32), np.frombuffer(value[i].as_buffer(), dtype=np.float32), label)
         return pa.table({c: pa.array([v.astype(np.float32).tobytes()], pa.binary()) for c, v in (("z", state.z), ("n", state.n))})
 
     return learn
@@ -194,8 +202,8 @@ def score(docs: DataFrame, weights: np.ndarray, rules: FtrlRules = FtrlRules())
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, w = Features(rules), held.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
                 found = features.of(part.column(text_at).to_pylist())
                 scores = [logistic(float(np.dot(w[i].astype(np.float64), v))) for i, v in found]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*part.schema.names, "score"])

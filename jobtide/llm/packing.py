@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class PackRules:
-    """attention: cost of one pair of tokens in the unit of one token's linear cost."""
+    """attention: cost of one pair of tokens in the unit of one token's linear cost; cached_words: words that a task
+    remembers; kept_words: words and pieces that stay with the worker process after it, through whatever it runs next."""
 
     vocabulary: str
     length: int = 4096
@@ -41,6 +42,7 @@ class PackRules:
     attention: float = 1 / 2048
     bucket_docs: int = 512
     cached_words: int = 1_000_000
+    kept_words: int = 200_000
 
 
 #: Words that a vocabulary of the plain kind treats letter by letter as is done here: all of Latin up to U+017F, but for
@@ -116,10 +118,13 @@ class Words(dict):
         self[word] = found
         return found
 
+    def forget(self) -> None:
+        self.clear()
+        self.pieces.clear()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self) > self.most:
-            self.clear()
-            self.pieces.clear()
+            self.forget()
         ids = self.__getitem__
         return [b"".join(map(ids, (t or "").encode("utf-8", "surrogatepass").split())) + self.end for t in texts]
 
@@ -144,6 +149,8 @@ def tokenize(docs: DataFrame, rules: PackRules, buckets: int) -> DataFrame:
                 part = batch.slice(at, 256)
                 ids = words.encode(part.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["bucket", "doc_id", "ids"])
+        if len(words) + len(words.pieces) > rules.kept_words:
+            words.forget()
 
     bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int").alias("bucket")
     return docs.select(bucket, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, "bucket int, doc_id long, ids binary")

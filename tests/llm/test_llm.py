@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables, and on awkward rows."""
 
 import collections
+import dataclasses
 import tracemalloc
 import zlib
 
@@ -370,6 +371,19 @@ def test_units_grow_with_the_corpus(spark):
     assert len({found[w] for w in one}) == len({found[w] for w in two}) == 1 and found[one[0]] != found[two[0]]
 
 
+def test_packing_leaves_no_large_cache_in_its_workers(spark):
+    rules = dataclasses.replace(queries.pack_rules(), kept_words=10)
+    docs = local_frame(spark, [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(64)], "doc_id bigint, text string")
+    assert packing.pack(docs, rules).count() >= 1
+
+    def kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([max([0, *[len(w) for r, w in packing._WORDS.items() if r == rules]])], pa.int64())], names=["n"])
+
+    # The same workers run this stage.
+    assert max(r[0] for r in spark.range(0, 64, 1, 8).mapInArrow(kept, "n long").collect()) <= 10
+
+
 def test_counts_beside_units_need_little_memory():
     rng, k, size, n, tokens = np.random.default_rng(1), 48, 256, 60_000, 400_000
     units, of = np.arange(n, dtype=np.int32), rng.integers(0, k, n).astype(np.uint8)
