@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from jobtide.plans.staging import flatten_runs
 from jobtide.sources import landing, seeds, tables
 from jobtide.sources.schemas import RAW_TABLES
 from jobtide.sources.tables import RawTable, prune, read_table, replace_run, stamped, upsert, upsert_latest
+from jobtide.sources.texts import TextStore
 from jobtide.streaming.incremental import land_new_files
 from sample_runs import DAY, DETAILS, LISTINGS, OFFERS
 
@@ -239,6 +241,16 @@ def test_a_page_is_read_once_and_not_per_element(spark):
     assert len(exploded) == 1 and "document#" not in exploded[0]
 
 
+def test_a_text_far_from_its_copy_costs_little(spark):
+    """Landed rows repeat a text every day; what lies between its copies must not keep them from being written as one."""
+    texts = [random.Random(i).randbytes(40_000).hex() for i in range(4)]
+    listed = spark.createDataFrame([(f"{day}{text}",) for day in range(6) for text in texts], "description string").coalesce(1)
+    store = TextStore.scratch(spark)
+    store.add(listed)
+    sizes = [os.path.getsize(f"{folder}/{name}") for folder, _, names in os.walk(store.path.removeprefix("file:")) for name in names if name.endswith(".parquet")]
+    assert store.read().count() == 24 and sum(sizes) < 24 * 80_000 / 2
+
+
 def test_pages_are_filled_within_a_run(spark):
     events = spark.range(200).select((F.col("id") * PAGE_EVENTS).alias("event_id"), F.lit(1).alias("user_id"), F.lit(True).alias("federal"), F.lit(DAY).cast("date").alias("run_date"))
     assert [tuple(r) for r in _paged(events).groupBy("page").count().collect()] == [(0, 200)]
