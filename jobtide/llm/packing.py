@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class PackRules:
-    """attention: cost of one pair of tokens in the unit of one token's linear cost; cached_words: words that a task
-    remembers; kept_words: words and pieces that stay with the worker process after it, through whatever it runs next."""
+    """attention: cost of one pair of tokens in the unit of one token's linear cost; cached_words: words that a worker
+    process remembers while it tokenizes; kept_words: words and pieces that stay with it once it fills sequences."""
 
     vocabulary: str
     length: int = 4096
@@ -118,13 +118,15 @@ class Words(dict):
         self[word] = found
         return found
 
-    def forget(self) -> None:
-        self.clear()
-        self.pieces.clear()
+    def release(self, most: int) -> None:
+        if len(self) + len(self.pieces) > most:
+            self.clear()
+            self.pieces.clear()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self) > self.most:
-            self.forget()
+            self.clear()
+            self.pieces.clear()
         ids = self.__getitem__
         return [b"".join(map(ids, (t or "").encode("utf-8", "surrogatepass").split())) + self.end for t in texts]
 
@@ -149,8 +151,6 @@ def tokenize(docs: DataFrame, rules: PackRules, buckets: int) -> DataFrame:
                 part = batch.slice(at, 256)
                 ids = words.encode(part.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["bucket", "doc_id", "ids"])
-        if len(words) + len(words.pieces) > rules.kept_words:
-            words.forget()
 
     bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int").alias("bucket")
     return docs.select(bucket, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, "bucket int, doc_id long, ids binary")
@@ -214,6 +214,8 @@ def pack(docs: DataFrame, rules: PackRules) -> DataFrame:
 
     def fill(rows: pa.Table) -> pa.Table:
         words = words_of(rules)
+        # All texts are tokenized by now, and the process goes on to other work.
+        words.release(rules.kept_words)
         bucket, ids = rows["bucket"][0].as_py(), [np.frombuffer(x, dtype=words.width) for x in rows["ids"].to_pylist()]
         # The order of rows in a group is not fixed: documents go by their ids' bytes, so that reruns agree.
         names = rows["doc_id"].to_pylist()

@@ -371,17 +371,20 @@ def test_units_grow_with_the_corpus(spark):
     assert len({found[w] for w in one}) == len({found[w] for w in two}) == 1 and found[one[0]] != found[two[0]]
 
 
-def test_packing_leaves_no_large_cache_in_its_workers(spark):
+def test_packing_lets_go_of_words_when_it_fills_sequences(spark):
     rules = dataclasses.replace(queries.pack_rules(), kept_words=10)
     docs = local_frame(spark, [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(64)], "doc_id bigint, text string")
-    assert packing.pack(docs, rules).count() >= 1
 
     def kept(batches):
+        # Tokenizes as a stage before has done, and fills as the last stage does.
+        words = packing.words_of(rules)
+        met = len(words.encode([f"a{k} b{k}" for k in range(50)])) and len(words)
+        words.release(rules.kept_words)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([max([0, *[len(w) for r, w in packing._WORDS.items() if r == rules]])], pa.int64())], names=["n"])
+            yield pa.RecordBatch.from_arrays([pa.array([met]), pa.array([len(words) + len(words.pieces)])], names=["met", "n"])
 
-    # The same workers run this stage.
-    assert max(r[0] for r in spark.range(0, 64, 1, 8).mapInArrow(kept, "n long").collect()) <= 10
+    found = spark.range(0, 8, 1, 2).mapInArrow(kept, "met long, n long").collect()
+    assert all(r["met"] >= 100 and r["n"] == 0 for r in found) and packing.pack(docs, rules).count() >= 1
 
 
 def test_counts_beside_units_need_little_memory():
