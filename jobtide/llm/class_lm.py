@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -40,8 +41,8 @@ from jobtide.session import local_frame
 
 END = b""
 REST, STOP = 0, 1
-# Blocks of units counted at once; tokens that are counted in 32 bits; tokens scored at once.
-SPAN, MOST_HELD, SCORED_TOKENS = 64, 1 << 30, 1 << 17
+# Blocks of units whose counts travel together; counts and tokens that a task adds up before it hands them on; tokens scored at once.
+SPAN, MOST_COUNTS, MOST_HELD, SCORED_TOKENS = 16, 1 << 20, 1 << 30, 1 << 17
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,16 @@ class LmRules:
     transition_prior: float = 20.0
 
 
+def pack(numbers: np.ndarray, level: int = 1) -> bytes:
+    """Numbers compressed, all their lowest bytes first."""
+    return zstandard.ZstdCompressor(level).compress(np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes())
+
+
+def unpack(packed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, tokens array<int>, ids binary, words binary"
 
 
@@ -72,35 +83,36 @@ def chunks(docs: DataFrame, held_out: Column, rules: LmRules) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, packer = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(3)
-        number: dict[bytes, int] = {END: 0}
-        doc_ids, held, tokens, ids, size = [], [], [], [], 0
+        rows: list[pa.RecordBatch] = []
 
         def out() -> pa.RecordBatch:
-            row = {
-                "chunk": (part << 32) + made, "doc_ids": doc_ids, "held": held, "tokens": tokens,
-                "ids": packer.compress(np.concatenate(ids).tobytes()), "words": packer.compress(b" ".join(number)),
-            }
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
-
-        parts = (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256))
-        for rows in parts:
-            for doc_id, text, is_held in zip(*[rows.column(i).to_pylist() for i in range(3)]):
-                raw = (text or "").encode("utf-8", "surrogatepass").lower()
-                words = raw.split()
-                for w in words:
-                    if w not in number:
-                        number[w] = len(number)
-                ids.append(np.array([number[w] for w in words] + [0], dtype=np.int32))
-                doc_ids.append(doc_id)
-                held.append(bool(is_held))
-                tokens.append(len(words) + 1)
-                size += len(raw) + 1
+            doc_ids, texts, held = (pa.concat_arrays([r.column(i) for r in rows]) for i in range(3))
+            pieces = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+            # Blanks at the ends of a text leave empty pieces.
+            real = pc.not_equal(pieces.flatten(), "")
+            so_far = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int32)])
+            n_words = np.diff(so_far[pieces.offsets.to_numpy()])
+            coded = pc.dictionary_encode(pieces.flatten().filter(real))
+            ids = np.insert(coded.indices.to_numpy() + np.int32(1), np.cumsum(n_words), 0)
+            words = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary) + 1], pa.concat_arrays([pa.array([""], texts.type), coded.dictionary])), " ")[0]
+            columns = [pa.array([(part << 32) + made]), *[pa.ListArray.from_arrays([0, len(x)], x) for x in (doc_ids, held, pa.array(n_words + 1, pa.int32()))]]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([pack(ids, 3)], pa.binary()), pa.array([packer.compress(words.as_buffer())], pa.binary())], names=["chunk", "doc_ids", "held", "tokens", "ids", "words"])
+
+        size = 0
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            at = gone = 0
+            while at < batch.num_rows:
+                # As far as the row that fills the chunk.
+                stop = min(int(np.searchsorted(ends, gone + rules.chunk_bytes - size)) + 1, batch.num_rows)
+                rows.append(batch.slice(at, stop - at))
+                size += int(ends[stop - 1]) - gone
+                at, gone = stop, int(ends[stop - 1])
                 if size >= rules.chunk_bytes:
                     yield out()
                     made += 1
-                    number, doc_ids, held, tokens, ids, size = {END: 0}, [], [], [], [], 0
-        if doc_ids:
+                    rows, size = [], 0
+        if rows:
             yield out()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held"))
@@ -118,9 +130,8 @@ class Chunk:
 
     @classmethod
     def of(cls, ids: bytes, words: bytes, tokens: list[int], held: list[bool]) -> "Chunk":
-        unpack = zstandard.ZstdDecompressor()
         return cls(
-            unpack.decompress(words).split(b" "), np.frombuffer(unpack.decompress(ids), dtype=np.int32),
+            zstandard.ZstdDecompressor().decompress(words).split(b" "), unpack(ids, np.int32),
             np.array(tokens, dtype=np.int64), np.array(held, dtype=bool),
         )
 
@@ -196,14 +207,14 @@ def pair_counts(held: DataFrame, reps: Representatives) -> DataFrame:
                 total += np.bincount(pair[c.trains], minlength=size * size)
         rows = total.reshape(size, size)
         used = np.flatnonzero(rows.any(axis=1))
-        pack = zstandard.ZstdCompressor(1)
+        packer = zstandard.ZstdCompressor(1)
         for k in range(0, len(used), 256):
             at = used[k : k + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([pack.compress(rows[i].tobytes()) for i in at], pa.binary())], names=["before", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([packer.compress(rows[i].tobytes()) for i in at], pa.binary())], names=["before", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor()
-        total = sum(np.frombuffer(unpack.decompress(x), dtype=np.int64) for x in rows["counts"].to_pylist())
+        reader = zstandard.ZstdDecompressor()
+        total = sum(np.frombuffer(reader.decompress(x), dtype=np.int64) for x in rows["counts"].to_pylist())
         return pa.table({"before": rows["before"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
     parts = held.select("ids", "words", "tokens", "held").mapInArrow(task, "before int, counts binary")
@@ -301,24 +312,31 @@ def tagged(held: DataFrame, lists: DataFrame, numbered: DataFrame, total: int, r
     # An ending stands for many words, so its rows are dealt to several places.
     salt = F.when(F.col("c") >= least, 0).otherwise(F.pmod(F.xxhash64("word", "chunk"), F.lit(salts)).cast("int"))
     salted = numbered.withColumn("salt", F.explode(F.when(F.col("key").startswith("e"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    rows = lists.withColumns({"key": F.when(F.col("word") != "", _key(least, rules)), "salt": salt}).join(salted, ["key", "salt"], "left")
-    unit = F.when(F.col("word") == "", F.lit(STOP)).otherwise(F.coalesce("unit", F.lit(REST)))
-    rows = rows.select("chunk", "at", "c", unit.alias("unit"), (F.col("is_first") & (F.col("c") == 1) & (F.col("word") != "")).alias("single"))
+    # Few and narrow columns, as there is a row for each word of a chunk; the end token has no key, a word counted once is marked by its sign.
+    once = F.when(F.col("is_first") & (F.col("c") == 1) & (F.col("word") != ""), F.lit(-1)).otherwise(F.col("c"))
+    rows = lists.select("chunk", "at", once.alias("n"), F.when(F.col("word") != "", _key(least, rules)).alias("key"), salt.alias("salt")).join(salted, ["key", "salt"], "left")
+    unit = F.when(F.col("key").isNull(), F.lit(STOP)).otherwise(F.coalesce("unit", F.lit(REST)))
+    rows = rows.select("chunk", "n", (F.shiftleft(F.col("at").cast("long"), 32) + unit).alias("place"))
 
     def task(texts: pa.Table, found: pa.Table) -> pa.Table:
-        at, unit = found["at"].to_numpy(), found["unit"].to_numpy().astype(np.int32)
+        place, n = found["place"].to_numpy(), found["n"].to_numpy()
+        at, unit = place >> 32, (place & 0xFFFFFFFF).astype(np.int32)
         units, counts = np.zeros(len(at), dtype=np.int32), np.zeros(len(at), dtype=np.int64)
-        units[at], counts[at] = unit, found["c"].to_numpy()
-        pack = zstandard.ZstdCompressor(3)
-        packed = {"units": units, "counts": counts, "single": unit[found["single"].to_numpy(zero_copy_only=False)]}
-        return pa.table({**{c: texts[c] for c in ("doc_ids", "held", "tokens", "ids")}, **{k: pa.array([pack.compress(v.tobytes())], pa.binary()) for k, v in packed.items()}})
+        units[at], counts[at] = unit, np.abs(n)
+        packer = zstandard.ZstdCompressor(3)
+        packed = {"units": units, "counts": counts, "single": unit[n < 0]}
+        return pa.table({**{c: texts[c] for c in ("doc_ids", "held", "tokens", "ids")}, **{k: pa.array([packer.compress(v.tobytes())], pa.binary()) for k, v in packed.items()}})
 
     schema = "doc_ids array<long>, held array<boolean>, tokens array<int>, ids binary, units binary, counts binary, single binary"
     return held.drop("words").groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(task, schema)
 
 
+def _cell(batch: pa.RecordBatch, row: int, name: str) -> bytes:
+    return batch.column(batch.schema.get_field_index(name))[row].as_py()
+
+
 def _numbers(batch: pa.RecordBatch, row: int, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(batch.schema.get_field_index(name))[row].as_py()), dtype=kind)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(_cell(batch, row, name)), dtype=kind)
 
 
 def _tokens(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
@@ -327,62 +345,84 @@ def _tokens(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(tokens, dtype=np.int64), np.array(held, dtype=bool)
 
 
-def add_counts(held: dict[int, np.ndarray], units: np.ndarray, ids: np.ndarray, trains: np.ndarray, of: np.ndarray, k: int, size: int) -> None:
-    """Add to the blocks in `held` what stands beside the units of a chunk."""
+def counts_beside(units: np.ndarray, ids: np.ndarray, trains: np.ndarray, of: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """What stands before, and then behind, the units of a chunk, without zeros: places in ascending order, and counts.
+
+    A unit has 2 x k + 1 places: classes before it, classes after it, and its pairs with itself.
+    """
     local, number = np.unique(units, return_inverse=True)
-    now = number.astype(np.int32)[ids]
-    before = np.concatenate([np.searchsorted(local, [STOP]).astype(np.int32), now[:-1]])
+    width = 2 * k + 1
+    kind = np.int32 if len(local) * width < 1 << 31 else np.int64
+    now = number.astype(kind)[ids]
+    before = np.concatenate([np.searchsorted(local, [STOP]).astype(kind), now[:-1]])
     now, before = now[trains], before[trains]
-    kind = of[local]
-    # Counts are dense, so only those of some blocks are put together at once.
-    spans = np.unique(local // (size * SPAN))
-    for lo, hi in zip(*[np.searchsorted(local, (spans + more) * (size * SPAN)) for more in (0, 1)]):
-        n, mine, theirs = int(hi - lo), (now >= lo) & (now < hi), (before >= lo) & (before < hi)
-        left = np.bincount((now[mine] - lo) * k + kind[before[mine]], minlength=n * k).reshape(n, k)
-        right = np.bincount((before[theirs] - lo) * k + kind[now[theirs]], minlength=n * k).reshape(n, k)
-        own = np.bincount(now[mine & (now == before)] - lo, minlength=n)
-        blocks, starts = np.unique(local[lo:hi] // size, return_index=True)
-        for b, first, last in zip(blocks.tolist(), starts, [*starts[1:], n]):
-            if b not in held:
-                held[b] = np.zeros((size, 2 * k + 1), dtype=np.int32)
-            at, rows = local[lo + first : lo + last] - b * size, slice(first, last)
-            held[b][at, :k] += left[rows].astype(np.int32)
-            held[b][at, k : 2 * k] += right[rows].astype(np.int32)
-            held[b][at, 2 * k] += own[rows].astype(np.int32)
+    classes = of[local].astype(kind)
+    for side in (0, 1):
+        places = before * width + (k + classes[now]) if side else np.concatenate([now * width + classes[before], now[now == before] * width + 2 * k])
+        places.sort()
+        starts = np.flatnonzero(np.diff(places, prepend=kind(-1)))
+        counts = np.diff(starts, append=len(places)).astype(np.int32)
+        found, at = np.divmod(places[starts], kind(width))
+        yield local[found].astype(np.int64) * width + at, counts
+
+
+def added(parts: list[tuple[np.ndarray, np.ndarray]], each: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The counts of several parts added up: for each range of `each` places its number, the places and their counts."""
+    for span in np.unique(np.concatenate([np.unique(places // each) for places, _ in parts])).tolist():
+        cuts = [slice(*np.searchsorted(places, [span * each, (span + 1) * each])) for places, _ in parts]
+        places, counts = (np.concatenate([part[i][cut] for part, cut in zip(parts, cuts)]) for i in (0, 1))
+        order = np.argsort(places, kind="stable")
+        starts = np.flatnonzero(np.diff(places[order], prepend=-1))
+        yield span, places[order[starts]], np.add.reduceat(counts[order], starts, dtype=np.int32)
+
+
+def add_counts(held: dict[int, np.ndarray], units: np.ndarray, ids: np.ndarray, trains: np.ndarray, of: np.ndarray, k: int, size: int) -> None:
+    """Add to the blocks in `held` what stands beside the units of a chunk."""
+    each = size * (2 * k + 1)
+    for b, places, counts in added([*counts_beside(units, ids, trains, of, k)], each):
+        if b not in held:
+            held[b] = np.zeros((size, 2 * k + 1), dtype=np.int32)
+        held[b].ravel()[places - b * each] += counts
 
 
 def beside(texts: DataFrame, of: np.ndarray, k: int, rules: LmRules) -> DataFrame:
-    """block, counts: per unit of a block the classes before it, the classes after it, and its pairs with itself."""
-    shared, size = texts.sparkSession.sparkContext.broadcast(of), rules.block
+    """block, counts: per unit of a block the classes before it, the classes after it, and its pairs with itself.
+
+    Tasks hand on no zeros, so what is counted and shuffled grows with the texts, however many blocks there are.
+    """
+    shared, each = texts.sparkSession.sparkContext.broadcast(of), SPAN * rules.block * (2 * k + 1)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, held, seen = shared.value, {}, 0
+        parts, size, seen = [], 0, 0
 
         def out() -> pa.RecordBatch:
-            pack = zstandard.ZstdCompressor(1)
-            packed = [pack.compress(x.astype(np.int64).tobytes()) for x in held.values()]
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
+            packed = [(s, pack(np.diff(places, prepend=s * each).astype(np.int32)), pack(counts)) for s, places, counts in added(parts, each)]
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in packed], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["span", "steps", "counts"])
 
         for batch in batches:
             for i in range(batch.num_rows):
                 tokens, is_held = _tokens(batch, i)
                 # Counts are kept in 32 bits until they are handed on.
-                if len(held) > 512 or (held and seen + int(tokens.sum()) > MOST_HELD):
+                if parts and (size > MOST_COUNTS or seen + int(tokens.sum()) > MOST_HELD):
                     yield out()
-                    held.clear()
-                    seen = 0
-                seen += int(tokens.sum())
-                add_counts(held, _numbers(batch, i, "units", np.int32), _numbers(batch, i, "ids", np.int32), np.repeat(~is_held, tokens), of, k, size)
-        if held:
+                    parts, size, seen = [], 0, 0
+                trains = np.repeat(~is_held, tokens)
+                parts += counts_beside(_numbers(batch, i, "units", np.int32), unpack(_cell(batch, i, "ids"), np.int32), trains, shared.value, k)
+                size, seen = sum(len(places) for places, _ in parts), seen + int(tokens.sum())
+        if parts:
             yield out()
 
-    def add(rows: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor()
-        total = sum(np.frombuffer(unpack.decompress(x.as_py()), dtype=np.int64) for x in rows["counts"])
-        return pa.table({"block": rows["block"].slice(0, 1), "counts": pa.array([zstandard.ZstdCompressor(1).compress(total.tobytes())], pa.binary())})
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, span = np.zeros(each, dtype=np.int64), key[0].as_py()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                total[np.cumsum(unpack(_cell(batch, i, "steps"), np.int32))] += unpack(_cell(batch, i, "counts"), np.int32)
+        blocks, packer = total.reshape(SPAN, -1), zstandard.ZstdCompressor(1)
+        used = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(span * SPAN + used, pa.int32()), pa.array([packer.compress(blocks[b].tobytes()) for b in used], pa.binary())], names=["block", "counts"])
 
-    parts = texts.select("held", "tokens", "ids", "units").mapInArrow(task, "block int, counts binary")
-    return settle(parts.groupBy("block").applyInArrow(add, "block int, counts binary"))
+    parts = texts.select("held", "tokens", "ids", "units").mapInArrow(task, "span int, steps binary, counts binary")
+    return settle(parts.groupBy("span").applyInArrow(add, "block int, counts binary"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], of: np.ndarray, k: int, rules: LmRules) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -514,7 +554,7 @@ def scored(texts: DataFrame, model: ClassModel) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 tokens, held = _tokens(batch, i)
-                ids, counts = _numbers(batch, i, "ids", np.int32), _numbers(batch, i, "counts", np.int64)
+                ids, counts = unpack(_cell(batch, i, "ids"), np.int32), _numbers(batch, i, "counts", np.int64)
                 classes = m.of[_numbers(batch, i, "units", np.int32)]
                 starts = np.concatenate([[0], np.cumsum(tokens)[:-1]])
                 known, base, score = np.zeros(len(tokens), dtype=np.int64), np.zeros(len(tokens)), np.zeros(len(tokens))
@@ -545,6 +585,7 @@ def score_documents(docs: DataFrame, held_out: Column, rules: LmRules = LmRules(
     """Learn from the rows of `docs` (doc_id, text) that are not held out, and score all of them."""
     held = settle(chunks(docs, held_out, rules))
     word = Window.partitionBy("word")
-    counted = word_lists(held).withColumn("c", F.sum("n").over(word)).withColumn("is_first", F.row_number().over(word.orderBy("chunk")) == 1)
-    lists = settle(counted.select("word", "chunk", "at", "c", "is_first"))
+    # In this order one sort of the rows serves both.
+    counted = word_lists(held).withColumn("is_first", F.row_number().over(word.orderBy("chunk")) == 1).withColumn("c", F.sum("n").over(word))
+    lists = settle(counted.select("word", "chunk", "at", "c", "is_first"), "zstd")
     return scored(*fit(held, lists, rules))

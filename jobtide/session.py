@@ -60,13 +60,14 @@ def require_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write a result that several later steps read, and go on from the written table.
 
     It cuts the lineage like a checkpoint, survives lost executors, and gives the planner true sizes.
+    `compression` is the session's own unless it is named.
     """
     path = f"{shared_folder(df.sparkSession)}/jobtide/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

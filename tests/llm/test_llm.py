@@ -2,6 +2,7 @@
 
 import collections
 import dataclasses
+import resource
 import tracemalloc
 import zlib
 
@@ -407,6 +408,44 @@ def test_counts_beside_units_need_little_memory():
     assert peak < want.nbytes
 
 
+def test_counts_of_units_far_apart_grow_with_the_text(spark):
+    """20,000 words, each the only unit met of its block: tasks that put whole blocks together take 2 GB here."""
+    n, k, rules = 20_000, 48, class_lm.LmRules()
+    units = np.concatenate([[class_lm.STOP], np.arange(1, n) * rules.block]).astype(np.int32)
+    ids, of = np.arange(n, dtype=np.int32)[::-1], (np.arange(n * rules.block) % k).astype(np.uint8)
+    row = [[False], [n], class_lm.pack(ids), class_lm.zstandard.ZstdCompressor().compress(units.tobytes())]
+    texts = class_lm.settle(local_frame(spark, [row], "held array<boolean>, tokens array<int>, ids binary, units binary"))
+    found = class_lm.beside(texts, of, k, rules)
+    got = {}
+    for block, counts in found.collect():
+        dense = np.frombuffer(class_lm.zstandard.ZstdDecompressor().decompress(counts), dtype=np.int64).reshape(-1, 2 * k + 1)
+        got |= {(block * rules.block + int(u), int(c)): int(dense[u, c]) for u, c in zip(*dense.nonzero())}
+    now = units[ids]
+    before = np.concatenate([[class_lm.STOP], now[:-1]])
+    want = collections.Counter((int(u), int(of[b])) for u, b in zip(now, before)) + collections.Counter((int(b), k + int(of[u])) for u, b in zip(now, before))
+    assert got == want
+
+    def peak(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([resource.getrusage(resource.RUSAGE_SELF).ru_maxrss])], names=["kb"]) for _ in batches)
+
+    assert max(r[0] for r in spark.range(0, 64, 1, 16).mapInArrow(peak, "kb long").collect()) < 1 << 20
+
+
+def test_chunks_hold_texts_in_few_bytes(spark, documents):
+    rules = class_lm.LmRules(chunk_bytes=100_000)
+    rows = class_lm.chunks(documents.coalesce(1), F.col("doc_id") % 10 == 0, rules).collect()
+    pairs = [(r, class_lm.Chunk.of(r["ids"], r["words"], r["tokens"], r["held"])) for r in rows]
+    words = {d: [] for r in rows for d in r["doc_ids"]}
+    for r, c in pairs:
+        ends = np.cumsum(c.tokens)
+        for d, lo, hi in zip(r["doc_ids"], ends - c.tokens, ends):
+            words[d] = [c.words[i] for i in c.ids[lo:hi]]
+        assert len(set(c.words)) == len(c.words) and r["held"] == [d % 10 == 0 for d in r["doc_ids"]]
+    assert len(rows) > 1 and words == {d: [*t.encode().lower().split(), b""] for d, t in texts_of(documents)}
+    plain = sum(len(class_lm.zstandard.ZstdCompressor(3).compress(c.ids.tobytes())) for _, c in pairs)
+    assert sum(len(r["ids"]) for r in rows) < 0.95 * plain
+
+
 def test_classifier(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
